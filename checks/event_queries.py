@@ -281,13 +281,14 @@ def refetch_plan(spark, sf):
 
 
 @query("parse_ts_arg", """SELECT event_id, CASE event_id % 5 WHEN 0 THEN epoch(date_trunc('second', ts))::BIGINT * 1000
-    WHEN 1 THEN epoch_ms(ts) WHEN 2 THEN epoch_ms(date_trunc('minute', ts)) END AS ms FROM events""")
+    WHEN 1 THEN epoch_us(ts) // 1000 WHEN 2 THEN epoch_ms(date_trunc('minute', ts)) ELSE -1 END AS ms FROM events""")
 def parse_ts_arg(spark, sf):
     k = F.col("event_id") % 5
     text = (
         F.when(k == 0, F.unix_seconds("ts").cast("string")).when(k == 1, F.unix_millis("ts").cast("string"))
         .when(k == 2, fn.file_stamp(F.col("ts"))).when(k == 3, F.col("event_id").cast("string")).otherwise("soon"))
-    return v.table(spark, sf, "events").select("event_id", fn.parse_ts(text).alias("ms"))
+    return v.table(spark, sf, "events").select(
+        "event_id", F.coalesce(fn.parse_ts(text), F.lit(-1)).alias("ms"))
 
 
 @query("valid_asn", """SELECT text, TRY_CAST(trim(text) AS BIGINT) IS NOT NULL AS valid, count(*) AS n FROM v_texts

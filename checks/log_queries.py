@@ -60,17 +60,18 @@ def log_tail(spark, sf):
     return flat(log.tail(v.v_log(spark, sf), 3, partition=1))
 
 
-@query("log_grep", f"""SELECT event_id, user_id, value, tag, printf('%016X', user_id) AS key FROM v_log
+@query("log_grep", f"""SELECT event_id, user_id, value, coalesce(tag, -1) AS tag, printf('%016X', user_id) AS key FROM v_log
     WHERE {IN_RANGE} AND (tag IS NULL OR tag = 3) ORDER BY "timestamp", topic, partition, "offset" LIMIT 100""", "v_log")
 def log_grep(spark, sf):
     found = log.grep(v.v_log(spark, sf), filters={"tag": 3, "absent": "x"}, start=START, end=END, n=100, meta=True)
-    return found.select("event_id", "user_id", "value", "tag", F.hex("key").alias("key"))
+    return found.select("event_id", "user_id", "value", F.coalesce("tag", F.lit(-1)).alias("tag"), F.hex("key").alias("key"))
 
 
-@query("log_grep_key", f"""SELECT event_id, user_id, value, tag FROM v_log WHERE user_id = 7 AND partition = 1
+@query("log_grep_key", f"""SELECT event_id, user_id, value, coalesce(tag, -1) AS tag FROM v_log WHERE user_id = 7 AND partition = 1
     AND {IN_RANGE}""", "v_log")
 def log_grep_key(spark, sf):
-    return log.grep(v.v_log(spark, sf), key=encode_key(F.lit(7)), partition=1, start=START, end=END).drop("props")
+    found = log.grep(v.v_log(spark, sf), key=encode_key(F.lit(7)), partition=1, start=START, end=END)
+    return found.select("event_id", "user_id", "value", F.coalesce("tag", F.lit(-1)).alias("tag"))
 
 
 @query("log_offsets", """SELECT topic, partition, min("offset") AS low, max("offset") + 1 AS high FROM v_log

@@ -8,6 +8,7 @@ from checks import views as v
 from checks.registry import query
 from checks.sql_views import cc
 from tidemark.functions import network
+from tidemark.functions.identifiers import with_family
 from tidemark.operators import dimensions, hegemony, prefixes
 from tidemark.plans import scores
 
@@ -199,12 +200,11 @@ def prefix_hegemony(spark, sf):
     return out.withColumn("visibility", F.round("visibility", 6))
 
 
-@query("location_lookup", """SELECT startpoint, d.id AS location_id, count(*) AS n
+@query("location_lookup", """SELECT startpoint, coalesce(d.id, -1) AS location_id, count(*) AS n
     FROM v_delay LEFT JOIN v_location_dim d ON startpoint = d.type || d.name || 'v' || d.af GROUP BY ALL""",
        "v_delay v_location_dim")
 def location_lookup(spark, sf):
     found = dimensions.lookup_location(v.v_delay(spark, sf), "startpoint", v.v_location_dim(spark, sf), "location_id")
-    from tidemark.functions.identifiers import with_family
-
-    return found.groupBy(with_family(F.col("startpoint")).alias("startpoint"), "location_id").agg(
-        F.count(F.lit(1)).alias("n"))
+    return found.groupBy(
+        with_family(F.col("startpoint")).alias("startpoint"), F.coalesce("location_id", F.lit(-1)).alias("location_id")
+    ).agg(F.count(F.lit(1)).alias("n"))

@@ -1 +1,64 @@
-"""Streaming forms, run to the end of the given tables."""
+"""Streaming forms, run to the end of the given tables.
+
+Each reads a table as a stream. The SQL covers the bins that the watermark has closed.
+"""
+
+from __future__ import annotations
+
+from checks import views as v
+from checks.event_queries import HISTORY, SPEC, SPEC_MEDIAN, anomaly_sql, flat_anomalies
+from checks.registry import query
+from checks.score_queries import CONE
+from tidemark.operators import hegemony, probes
+from tidemark.plans import scores
+from tidemark.session import work_dir
+from tidemark.streaming import bins, detector, outages, runs
+
+CLOSED = "timebin <= (SELECT max(timebin) FROM {0}) - INTERVAL 31 DAY"
+
+
+@query("hegemony_cone_stream", f"""SELECT timebin, {CONE} AS conesize, 4 AS af, asn_id FROM v_hege_rows
+    WHERE {CLOSED.format('v_hege_rows')} GROUP BY timebin, asn_id""", "v_hege v_hege_rows")
+def hegemony_cone_stream(spark, sf):
+    rows = hegemony.score_rows(v.v_hege(spark, sf, v.stream_table))
+    return runs.drain(bins.cone_stream(rows, 4, "31 days"), "cones")
+
+
+@query("moas_stream", f"SELECT timebin, prefix, moas FROM v_moas WHERE {CLOSED.format('v_moas')}",
+       "v_prefix_rows v_moas")
+def moas_stream(spark, sf):
+    rows = scores.prefix_rows(v.v_hege_prefix(spark, sf, v.stream_table))
+    return runs.drain(bins.moas_stream(rows, "31 days"), "moas")
+
+
+@query("hegemony_rows_stream", "SELECT timebin, originasn_id, asn_id, hege, 4 AS af FROM v_hege_rows WHERE hege <> 0",
+       "v_hege v_hege_rows")
+def hegemony_rows_stream(spark, sf):
+    return runs.drain(scores.as_hegemony(v.v_hege(spark, sf, v.stream_table), 4)[0], "scores")
+
+
+@query("anomalies_stream", anomaly_sql("mean_dev"), HISTORY)
+def anomalies_stream(spark, sf):
+    return flat_anomalies(runs.drain(detector.anomalies_stream(v.v_series(spark, sf, v.stream_table), SPEC), "anomalies"))
+
+
+@query("anomalies_stream_median", anomaly_sql("mad"), HISTORY)
+def anomalies_stream_median(spark, sf):
+    stream = v.v_series(spark, sf, v.stream_table)
+    return flat_anomalies(runs.drain(detector.anomalies_stream(stream, SPEC_MEDIAN), "anomalies"))
+
+
+@query("disco_stream", """SELECT streamtype, streamname, starttime, coalesce(last_end, starttime) AS endtime, avglevel,
+    totalprobes, nbdiscoprobes, last_end IS NULL AS ongoing FROM v_burst LEFT JOIN v_ends USING (o_orderkey)
+    WHERE NOT coalesce(short, false)""", "v_order_probes v_burst v_reconnect v_ends")
+def disco_stream(spark, sf):
+    """Bursts and reconnects are written as topics, read as streams and stored."""
+    base = work_dir(spark, "outages")
+    streams = []
+    for name, topic in (("bursts", v.v_burst(spark, sf)), ("reconnects", v.v_reconnect(spark, sf))):
+        topic.write.parquet(f"{base}/topic-{name}")
+        streams.append(runs.read_files(spark, f"{base}/topic-{name}", topic.schema))
+    for stored in outages.store(*streams, f"{base}/stored"):
+        stored.awaitTermination()
+    known = probes.probe_defaults(v.v_probe(spark, sf))
+    return outages.current(spark, f"{base}/stored", known)[0]

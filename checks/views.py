@@ -7,17 +7,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.identifiers import encode_key
 from tidemark.functions.network import ip_to_long, truncate
 from tidemark.operators.log import to_log
+from tidemark.streaming.runs import read_files
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, with its times as UTC timestamps."""
+def _utc(spark: SparkSession, df: DataFrame) -> DataFrame:
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*[
         F.col(c).cast("timestamp").alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in df.dtypes])
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, with its times as UTC timestamps."""
+    return _utc(spark, spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same as a stream."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return _utc(spark, read_files(spark, sf_dir, schema, glob=f"{name}.parquet"))
+
+
 def month_s(column: str) -> Column:
     return F.unix_seconds(F.date_trunc("month", F.col(column)))
 
@@ -31,12 +41,12 @@ def v_log(spark, sf):
                   ties=[F.col("event_id")], partition=F.col("user_id") % 3)
 
 
-def v_series(spark, sf):
-    return table(spark, sf, "events").select("event_id", "user_id", "value", F.col("ts").alias("timestamp"))
+def v_series(spark, sf, read=table):
+    return read(spark, sf, "events").select("event_id", "user_id", "value", F.col("ts").alias("timestamp"))
 
 
-def v_hege(spark, sf):
-    return table(spark, sf, "lineitem").select(
+def v_hege(spark, sf, read=table):
+    return read(spark, sf, "lineitem").select(
         month_s("l_shipdate").alias("timestamp"), (F.col("l_suppkey") - 1).cast("string").alias("scope"),
         (F.col("l_partkey") % 100).cast("string").alias("asn"), F.col("l_discount").alias("hege"),
         F.col("l_quantity").cast("int").alias("nb_peers"))
@@ -57,12 +67,12 @@ def prefix_text(column: str) -> Column:
                     (F.col(column) % 256).cast("string"), F.lit(".0/24"))
 
 
-def v_hege_prefix(spark, sf):
+def v_hege_prefix(spark, sf, read=table):
     supp = F.col("l_suppkey")
     origin = F.when(F.col("l_linenumber") == 7, F.concat(
         F.lit("{"), supp.cast("string"), F.lit(","), (supp + 1).cast("string"), F.lit("}"))
     ).otherwise((supp - 1).cast("string"))
-    return table(spark, sf, "lineitem").select(
+    return read(spark, sf, "lineitem").select(
         month_s("l_shipdate").alias("timestamp"),
         F.concat(prefix_text("l_partkey"), F.lit("_"), origin).alias("scope"),
         (F.col("l_partkey") % 100).cast("string").alias("asn"), F.col("l_discount").alias("hege"),

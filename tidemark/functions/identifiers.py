@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tidemark.functions.binding import bound
+
 # The type codes of tagged identifiers.
 AS, IP, EXCHANGE, MEMBER = "AS", "IP", "IX", "MB"
 
@@ -41,22 +43,26 @@ def split_scope(scope: Column) -> Column:
 def tr_identifier(text: Column, af: int) -> Column:
     """``(type, name, af)`` of a tagged identifier, or null where it is invalid.
 
-    A tag is taken off as a set of characters, so ``as|sa`` loses its letters too. An
-    exchange member whose AS is 0 is invalid.
+    A tag is taken off as a set of characters, so ``as|sa1`` is named ``1``. An exchange
+    member whose AS is 0 is invalid.
     """
     def named(kind, name):
         return F.struct(F.lit(kind).alias("type"), name.alias("name"), F.lit(af).alias("af"))
 
-    parts = F.split(text, ";")
-    exchange = F.ltrim(F.get(parts, F.lit(0)), F.lit("ix|"))
-    member = F.ltrim(F.get(parts, F.lit(1)), F.lit("as|"))
-    return (
-        F.when(text.startswith("as|"), named(AS, F.ltrim(text, F.lit("as|"))))
-        .when(text.startswith("ip|"), named(IP, F.ltrim(text, F.lit("ip|"))))
-        .when(~text.startswith("ix|"), F.lit(None))
-        .when(F.size(parts) == 1, named(EXCHANGE, F.ltrim(text, F.lit("ix|"))))
-        .when((F.size(parts) == 2) & (member != "0"), named(MEMBER, F.concat_ws(";", exchange, member)))
-    )
+    def member(parts):
+        port, owner = F.ltrim(parts[0], F.lit("ix|")), F.ltrim(parts[1], F.lit("as|"))
+        return F.when((F.size(parts) == 2) & (owner != "0"), named(MEMBER, F.concat_ws(";", port, owner)))
+
+    def parsed(t):
+        return (
+            F.when(t.startswith("as|"), named(AS, F.ltrim(t, F.lit("as|"))))
+            .when(t.startswith("ip|"), named(IP, F.ltrim(t, F.lit("ip|"))))
+            .when(~t.startswith("ix|"), F.lit(None))
+            .when(F.instr(t, ";") > 0, bound(F.split(t, ";"), member))
+            .otherwise(named(EXCHANGE, F.ltrim(t, F.lit("ix|"))))
+        )
+
+    return bound(text, parsed)
 
 
 def with_family(location: Column) -> Column:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tidemark.functions.binding import bound
+
 IPV4_TEXT = r"^(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(\.(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
 WIDTH = {4: 32, 6: 128}
 
@@ -23,10 +25,8 @@ def length_part(prefix: Column, af: int = 4) -> Column:
 
 def ip_to_long(ip: Column) -> Column:
     """An IPv4 address as a number; null for other text."""
-    octet = F.split(ip, r"\.")
-    number = sum((F.get(octet, F.lit(i)).try_cast("bigint") * F.lit(256 ** (3 - i)).cast("bigint")
-                  for i in range(1, 4)),
-                 F.get(octet, F.lit(0)).try_cast("bigint") * F.lit(256 ** 3).cast("bigint"))
+    number = F.aggregate(F.split(ip, r"\."), F.lit(0).cast("bigint"),
+                         lambda total, octet: total * 256 + octet.try_cast("bigint"))
     return F.when(ip.rlike(IPV4_TEXT), number)
 
 
@@ -35,43 +35,43 @@ def long_to_ip(number: Column) -> Column:
                               for i in (3, 2, 1, 0)])
 
 
+def _groups(half: Column) -> Column:
+    return F.when(half == "", F.array().cast("array<string>")).otherwise(F.split(half, ":"))
+
+
+def _plain_groups(text: Column) -> Column:
+    """Write a trailing IPv4 address as two groups."""
+    tail = F.regexp_extract(text, r"[0-9.]+$", 0)
+    as_groups = bound(ip_to_long(tail), lambda n: F.concat(
+        F.lower(F.hex(F.shiftright(n, 16))), F.lit(":"), F.lower(F.hex(n.bitwiseAND(F.lit(65535))))))
+    head = F.regexp_extract(text, r"^(.*?)[0-9.]+$", 1)
+    return F.when(F.instr(text, ".") > 0, F.concat(head, as_groups)).otherwise(text)
+
+
+def _all_groups(halves: Column) -> Column:
+    """The eight groups of an address split at ``::``, or null if it is none."""
+    def filled(left, right):
+        return bound(F.lit(8) - F.size(left) - F.size(right), lambda gap: F.when(
+            gap >= 1, F.concat(left, F.array_repeat(F.lit("0"), gap.cast("int")), right)))
+
+    both = bound(_groups(F.get(halves, F.lit(0))), lambda left: bound(
+        _groups(F.get(halves, F.lit(1))), lambda right: filled(left, right)))
+    return F.when(F.size(halves) == 1, _groups(F.get(halves, F.lit(0)))).when(F.size(halves) == 2, both)
+
+
 def ipv6_bits(ip: Column) -> Column:
     """An IPv6 address as 128 characters 0 and 1; null for other text.
 
     ``::`` stands for as many zero groups as are missing, and the last two groups may be
     written as an IPv4 address.
     """
-    text = F.lower(ip)
-    tail = F.regexp_extract(text, r"[0-9.]+$", 0)
-    tail_number = ip_to_long(tail)
-    high = F.lower(F.hex(F.shiftright(tail_number, 16)))
-    low = F.lower(F.hex(tail_number.bitwiseAND(F.lit(65535))))
-    text = F.when(
-        F.instr(text, ".") > 0,
-        F.concat(F.substring(text, F.lit(1), F.length(text) - F.length(tail)), high, F.lit(":"), low),
-    ).otherwise(text)
-    halves = F.split(text, "::")
-
-    def groups(i):
-        half = F.coalesce(F.get(halves, F.lit(i)), F.lit(""))
-        return F.when(half == "", F.array().cast("array<string>")).otherwise(F.split(half, ":"))
-
-    left, right = groups(0), groups(1)
-    missing = F.lit(8) - F.size(left) - F.size(right)
-    filled = F.when(
-        F.size(halves) == 2,
-        F.concat(left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right),
-    ).otherwise(left)
-    good = (
-        (F.size(halves) <= 2)
-        & (F.size(filled) == 8)
-        & ((F.size(halves) == 1) | (missing >= 1))
-        & F.forall(filled, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-    )
-    digits = F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), "")
-    bits = F.concat(F.lpad(F.conv(F.substring(digits, 1, 16), 16, 2), 64, "0"),
-                    F.lpad(F.conv(F.substring(digits, 17, 16), 16, 2), 64, "0"))
-    return F.when(good, bits)
+    def bits(groups):
+        good = (F.size(groups) == 8) & F.forall(groups, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+        each = F.transform(groups, lambda g: F.lpad(F.conv(g, 16, 2), 16, "0"))
+        return F.when(good, F.array_join(each, ""))
+
+    return bound(_plain_groups(F.lower(ip)), lambda text: bound(
+        _all_groups(F.split(text, "::")), bits))
 
 
 def address(ip: Column, af: int) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.identifiers import location_name, with_family
 from tidemark.operators.numbering import key_bucket, numbered
+from tidemark.session import kept
 
 # Codes that are not countries, and the code of an unknown one.
 REGION_NAMES = {"EU": "European Union", "AP": "Asia-Pacific"}
@@ -22,9 +23,10 @@ def register(dim: DataFrame, keys: DataFrame, natural: Sequence[str]) -> DataFra
     """The dimension with a row and a fresh ``id`` for each key it lacked.
 
     Only the new keys are numbered, in hash buckets, so a first load of many keys is
-    spread over the cluster. Existing ids never change.
+    spread over the cluster. They are kept, so the pass over ``keys`` runs once however
+    often the result is used. Existing ids never change.
     """
-    fresh = numbered(new_keys(dim, keys, natural), [], key_bucket(*natural), list(natural), "_at")
+    fresh = numbered(kept(new_keys(dim, keys, natural)), [], key_bucket(*natural), list(natural), "_at")
     top = F.coalesce(dim.agg(F.max("id").alias("top")).scalar(), F.lit(0))
     added = fresh.select((top + 1 + F.col("_at")).cast("bigint").alias("id"), *natural)
     return dim.select(F.col("id").cast("bigint").alias("id"), *natural).unionByName(added)

@@ -70,22 +70,32 @@ def origin_status(pairs: DataFrame, roa: DataFrame, out: str, extra: Sequence[st
     """Validation of distinct ``(prefix, originasn_id)`` pairs against ``(net, len, max_len, asn)``.
 
     NotFound without a covering entry; Valid if one has the origin and allows the length;
-    Invalid otherwise. Each column named in ``extra`` comes from the valid entry, or else
-    from the longest covering one.
+    Invalid otherwise. Each column named in ``extra`` comes from the longest valid entry,
+    or else from the longest covering one.
+
+    Covering entries are found for distinct prefixes and reduced to one row per prefix
+    and origin, so pairs and entries of a busy prefix are never multiplied.
     """
-    key = ["prefix", "originasn_id"]
-    distinct = pairs.select(*key).distinct()
     text = F.col("prefix")
     length = length_part(text, af)
-    found = covering(distinct.withColumn("_plen", length), address(address_part(text), af), F.col("_plen"), roa, af)
-    matches = (F.col("asn") == F.col("originasn_id")) & (F.col("_plen") <= F.col("max_len"))
-    ranked = found.withColumn("_ok", matches).groupBy(*key).agg(
-        F.max("_ok").alias("_ok"),
-        *[F.max_by(c, F.struct("_ok", "len", c)).alias(c) for c in extra])
-    return distinct.join(ranked, key, "left").select(
+    each = pairs.select("prefix").distinct().withColumn("_plen", length)
+    found = covering(each, address(address_part(text), af), F.col("_plen"), roa, af)
+
+    def longest(column):
+        return F.max_by(column, F.struct("len", column))
+
+    any_entry = found.groupBy("prefix").agg(
+        F.lit(True).alias("_covered"), *[longest(c).alias(f"_any_{c}") for c in extra])
+    valid = found.where(F.col("_plen") <= F.col("max_len")).groupBy(
+        "prefix", F.col("asn").cast("bigint").alias("originasn_id")).agg(
+        F.lit(True).alias("_valid"), *[longest(c).alias(f"_valid_{c}") for c in extra])
+    key = ["prefix", "originasn_id"]
+    joined = pairs.select(*key).distinct().join(any_entry, "prefix", "left").join(valid, key, "left")
+    return joined.select(
         *key,
-        F.when(F.col("_ok").isNull(), NOT_FOUND).when(F.col("_ok"), VALID).otherwise(INVALID).alias(out),
-        *[F.coalesce(c, F.lit("")).alias(c) for c in extra])
+        F.when(F.col("_valid"), VALID).when(F.col("_covered"), INVALID).otherwise(NOT_FOUND).alias(out),
+        *[F.coalesce(F.when(F.col("_valid"), F.col(f"_valid_{c}")).otherwise(F.col(f"_any_{c}")), F.lit("")).alias(c)
+          for c in extra])
 
 
 def validate_origin(df: DataFrame, roa: DataFrame, out: str, extra: Sequence[str] = (), af: int = 4) -> DataFrame:

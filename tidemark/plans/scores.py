@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.clock import from_epoch_s
 from tidemark.functions.identifiers import asn as asn_number, global_scope, parse_location, split_scope, tr_identifier
+from tidemark.functions.network import WIDTH, address, address_part, length_part
 from tidemark.operators import dimensions, hegemony, prefixes
-from tidemark.session import small_side
+from tidemark.session import kept, small_side
 
 TR_SHIFT_S = 21 * 24 * 3600  # Fixed value: traceroute scores are stamped three weeks early.
 
@@ -36,14 +37,64 @@ def prefix_rows(df: DataFrame, start: int | None = None, end: int | None = None)
     return each.withColumn("originasn_id", global_scope(F.col("originasn_id")).cast("bigint"))
 
 
+def _entries(kind: str, table: DataFrame, value: str | None = None, origins: bool = False) -> DataFrame:
+    null = F.lit(None)
+    return table.select(
+        "net", F.col("len").cast("int").alias("len"), F.lit(kind).alias("kind"),
+        (F.col(value) if value else null).cast("string").alias("value"),
+        (F.col("max_len") if origins else null).cast("int").alias("max_len"),
+        (F.col("asn") if origins else null).cast("bigint").alias("asn"))
+
+
 def prefix_facts(rows: DataFrame, geo: DataFrame, rpki: DataFrame, irr: DataFrame, prefix_blocks: DataFrame,
                  asn_blocks: DataFrame, af: int) -> DataFrame:
-    """Country, validation and delegation of each distinct ``(prefix, originasn_id)``."""
-    pairs = rows.select("prefix", "originasn_id").distinct()
-    facts = prefixes.longest_prefix(pairs, "prefix", geo.withColumnRenamed("cc", "country_id"), "country_id", af=af)
-    facts = prefixes.validate_origin(facts, rpki, "rpki_status", af=af)
-    facts = prefixes.validate_origin(facts, irr, "irr_status", ["descr"], af=af)
-    return prefixes.delegated(facts, prefix_blocks, asn_blocks, af=af)
+    """Country, validation and delegation of each distinct ``(prefix, originasn_id)``.
+
+    The four prefix tables are looked up in one pass: the networks of each distinct prefix
+    meet the entries of all tables in one join. Country and delegation go by the longest
+    network that covers the prefix's address, validation by those that cover the prefix.
+    """
+    pairs = kept(rows.select("prefix", "originasn_id").distinct())
+    entries = (
+        _entries("geo", geo, "cc")
+        .unionByName(_entries("delegated", prefix_blocks, "status"))
+        .unionByName(_entries("rpki", rpki, origins=True))
+        .unionByName(_entries("irr", irr, "descr", origins=True))
+    )
+    text, kind = F.col("prefix"), F.col("kind")
+    each = pairs.select("prefix").distinct().withColumn("_plen", length_part(text, af))
+    found = prefixes.covering(each, address(address_part(text), af), F.lit(WIDTH[af]), entries, af)
+    found = found.where(kind.isin("geo", "delegated") | (F.col("len") <= F.col("_plen")))
+
+    def longest(which: str):
+        at = F.when(kind == which, F.struct("len", "value"))
+        return F.max_by("value", at)
+
+    by_prefix = found.groupBy("prefix").agg(
+        longest("geo").alias("_cc"), longest("delegated").alias("_delegated"), longest("irr").alias("_any_descr"),
+        F.max(kind == "rpki").alias("_rpki"), F.max(kind == "irr").alias("_irr"))
+    allowed = kind.isin("rpki", "irr") & (F.col("_plen") <= F.col("max_len"))
+    by_origin = found.where(allowed).groupBy("prefix", F.col("asn").alias("originasn_id")).agg(
+        F.max(kind == "rpki").alias("_rpki_ok"), F.max(kind == "irr").alias("_irr_ok"), longest("irr").alias("_descr"))
+    by_asn = prefixes.asn_block_status(pairs, "originasn_id", asn_blocks, "delegated_asn_status")
+
+    def status(covered: str, ok: str):
+        return (F.when(F.col(ok), prefixes.VALID).when(F.col(covered), prefixes.INVALID)
+                .otherwise(prefixes.NOT_FOUND))
+
+    return (
+        pairs.join(by_prefix, "prefix", "left")
+        .join(by_origin, ["prefix", "originasn_id"], "left")
+        .join(by_asn, "originasn_id", "left")
+        .select(
+            "prefix", "originasn_id",
+            F.coalesce("_cc", F.lit(prefixes.UNKNOWN_COUNTRY)).alias("country_id"),
+            status("_rpki", "_rpki_ok").alias("rpki_status"), status("_irr", "_irr_ok").alias("irr_status"),
+            F.coalesce(F.when(F.col("_irr_ok"), F.col("_descr")).otherwise(F.col("_any_descr")), F.lit("")
+                       ).alias("descr"),
+            F.coalesce("_delegated", F.lit(prefixes.NOT_FOUND)).alias("delegated_prefix_status"),
+            F.coalesce("delegated_asn_status", F.lit(prefixes.NOT_FOUND)).alias("delegated_asn_status"))
+    )
 
 
 def prefix_hegemony(df: DataFrame, af: int, geo: DataFrame, rpki: DataFrame, irr: DataFrame,
@@ -58,7 +109,7 @@ def prefix_hegemony(df: DataFrame, af: int, geo: DataFrame, rpki: DataFrame, irr
     stored = rows.where(F.col("hege") != 0)
     facts = prefix_facts(stored, geo, rpki, irr, prefix_blocks, asn_blocks, af)
     return (
-        stored.join(facts, ["prefix", "originasn_id"])
+        stored.join(small_side(facts), ["prefix", "originasn_id"])
         .join(hegemony.moas(rows), ["timebin", "prefix"])
         .join(small_side(hegemony.peer_max(rows)), "timebin")
         .withColumn("visibility", hegemony.visibility(F.col("nb_peers"), F.col("peer_max")))
@@ -94,8 +145,11 @@ def endpoint_keys(rows: DataFrame, *columns: str) -> DataFrame:
 
 def _with_dimension(rows: DataFrame, dim: DataFrame, first: tuple[str, str], second: tuple[str, str]
                     ) -> tuple[DataFrame, DataFrame]:
-    """Register both endpoints of each row, then replace them by their ids."""
-    full = dimensions.register(dim, endpoint_keys(rows, first[0], second[0]), ["type", "name", "af"])
+    """Register both endpoints of each row, then replace them by their ids.
+
+    The dimension is kept, as it is looked up twice and stored by the caller.
+    """
+    full = small_side(dimensions.register(dim, endpoint_keys(rows, first[0], second[0]), ["type", "name", "af"]))
     rows = dimensions.attach_id(rows, full, *first)
     return dimensions.attach_id(rows, full, *second), full
 

@@ -51,15 +51,26 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table in the shared folder and read back.
+
+    For results that several steps read and that are small next to their input, such as
+    distinct keys. The table outlives lost executors, so nothing before it is run again,
+    and its size on disk tells Spark how to join it.
+    """
+    path = work_dir(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_side(side: DataFrame, max_rows: int = 500_000) -> DataFrame:
     """Mark ``side`` for broadcast after counting it; leave it alone if it is large.
 
-    The side is checkpointed first, so the pass that builds it runs once and the count
-    reads only the result. Beyond ``max_rows`` the plain join is left to adaptive
-    execution, which sorts, merges and splits skewed partitions.
+    The side is kept first, so the pass that builds it runs once and the count reads only
+    file footers. Beyond ``max_rows`` the plain join is left to adaptive execution, which
+    sorts, merges and splits skewed partitions.
     """
-    checkpoint_root(side.sparkSession)
-    kept = side.checkpoint()
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(kept)
-    return kept
+    side = kept(side)
+    if side.count() <= max_rows:
+        return F.broadcast(side)
+    return side
