@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import views as v
 from checks.registry import query
 from checks.sql_views import cc
+from tidemark import functions as fn
 from tidemark.functions import network
 from tidemark.functions.identifiers import with_family
 from tidemark.operators import dimensions, hegemony, prefixes
@@ -113,7 +114,7 @@ def dim_register(spark, sf):
 @query("location_register", "SELECT id, type, name, af FROM v_delay_dim",
        "v_location_dim v_delay v_delay_seen v_delay_dim")
 def location_register(spark, sf):
-    keys = scores.endpoint_keys(scores.delay_endpoints(v.v_delay(spark, sf)), "_from", "_to")
+    keys = scores.endpoint_texts(v.v_delay(spark, sf), ["startpoint", "endpoint"], fn.parse_location)
     return dimensions.register(v.v_location_dim(spark, sf), keys, ["type", "name", "af"])
 
 

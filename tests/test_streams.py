@@ -23,6 +23,7 @@ def test_rows_out_of_order_inside_the_watermark_count(spark):
         [(T0, "1", "9", 0.5), (T0 + DAY, "1", "9", 0.5)],
         [(T0, "2", "9", 0.5)],  # late, but not beyond a day
         [(T0 + 3 * DAY, "1", "9", 0.5)],
+        [(T0 + 3 * DAY, "2", "9", 0.5)],  # closes the first two bins
         [(T0 + DAY, "5", "9", 0.5)],  # beyond it: dropped
     ], "1 day 1 hour")
     assert rows(got, "timebin", "conesize") == [(datetime(2024, 1, 1), 2), (datetime(2024, 1, 2), 1)]

@@ -21,23 +21,20 @@ def valid_asn(text: Column) -> Column:
 
 def as_set_members(text: Column) -> Column:
     """The members of ``{a,b}`` as an array; a plain number is an array of itself."""
-    text = text.cast("string")
-    inner = F.substring(text, F.lit(2), F.greatest(F.length(text) - 2, F.lit(0)))
-    return F.when(valid_asn(text), F.array(text)).otherwise(F.split(inner, ","))
+    return F.split(F.translate(text.cast("string"), "{}", ""), ",")
 
 
 def global_scope(scope: Column) -> Column:
-    """The scope of the whole graph is written both as -1 and as 0; use 0."""
-    return F.when(scope.cast("string") == "-1", F.lit("0")).otherwise(scope.cast("string"))
+    """The number of a scope; the whole graph is written both as -1 and as 0, here 0."""
+    number = asn(scope)
+    return F.when(number == -1, 0).otherwise(number)
 
 
 def split_scope(scope: Column) -> Column:
     """``prefix_origin`` cut at its first underscore."""
-    at = F.instr(scope, "_")
-    return F.struct(
-        F.when(at > 0, F.substring(scope, F.lit(1), at - 1)).otherwise(scope).alias("prefix"),
-        F.when(at > 0, F.substring(scope, at + 1, F.length(scope))).otherwise("").alias("origin"),
-    )
+    parts = F.split(scope, "_", 2)
+    return F.struct(F.get(parts, F.lit(0)).alias("prefix"),
+                    F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("origin"))
 
 
 def tr_identifier(text: Column, af: int) -> Column:

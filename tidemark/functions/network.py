@@ -67,8 +67,10 @@ def ipv6_bits(ip: Column) -> Column:
     """
     def bits(groups):
         good = (F.size(groups) == 8) & F.forall(groups, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-        each = F.transform(groups, lambda g: F.lpad(F.conv(g, 16, 2), 16, "0"))
-        return F.when(good, F.array_join(each, ""))
+        digits = F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
+        return F.when(good, bound(digits, lambda d: F.concat(
+            F.lpad(F.conv(F.substring(d, 1, 16), 16, 2), 64, "0"),
+            F.lpad(F.conv(F.substring(d, 17, 16), 16, 2), 64, "0"))))
 
     return bound(_plain_groups(F.lower(ip)), lambda text: bound(
         _all_groups(F.split(text, "::")), bits))

@@ -66,15 +66,6 @@ def register_countries(dim: DataFrame, codes: DataFrame, names: DataFrame,
     return dim.withColumn("known", F.lit(True)).unionByName(added)
 
 
-def attach_id(df: DataFrame, dim: DataFrame, key: str, out: str) -> DataFrame:
-    """Look up the id of a ``(type, name, af)`` struct column; rows without one are dropped."""
-    ids = dim.select(F.col("id").alias(out), F.col("type").alias("_t"), F.col("name").alias("_n"),
-                     F.col("af").cast("int").alias("_a"))
-    k = F.col(key)
-    return df.join(ids, (k.getField("type") == F.col("_t")) & (k.getField("name") == F.col("_n"))
-                   & (k.getField("af") == F.col("_a"))).drop("_t", "_n", "_a")
-
-
 def lookup_location(df: DataFrame, column: str, dim: DataFrame, out: str) -> DataFrame:
     """Add the id of a location written as text; null where it is unknown."""
     ids = dim.select(location_name(F.col("type"), F.col("name"), F.col("af")).alias("_loc"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.clock import from_epoch_s
-from tidemark.functions.identifiers import as_set_members, asn as asn_number, global_scope, valid_asn
+from tidemark.functions.identifiers import as_set_members, asn as asn_number, global_scope
 from tidemark.operators.log import in_range
 
 MIN_SAMPLES = 10  # Fixed value: least number of peers behind a traceroute score.
@@ -29,8 +29,8 @@ def expand_as_set(df: DataFrame, column: str, out: str | None = None) -> DataFra
     out = out or column
     return (
         df.withColumn("_member", F.explode(as_set_members(F.col(column))))
-        .where(valid_asn(F.col("_member")))
         .withColumn(out, asn_number(F.col("_member")))
+        .where(F.col(out).isNotNull())
         .drop("_member")
     )
 
@@ -40,7 +40,7 @@ def score_rows(df: DataFrame, time_col: str = "timestamp", start: int | None = N
     """Typed rows ``timebin, originasn_id, asn_id, hege``; AS sets become one row each."""
     typed = payload_range(df, time_col, start, end).select(
         from_epoch_s(F.col(time_col)).alias("timebin"),
-        asn_number(global_scope(F.col("scope"))).alias("originasn_id"),
+        global_scope(F.col("scope")).alias("originasn_id"),
         F.col("asn").alias("_asn"),
         F.col("hege").cast("double").alias("hege"))
     return expand_as_set(typed, "_asn", "asn_id").select("timebin", "originasn_id", "asn_id", "hege")

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.network import WIDTH, address, address_part, length_part, truncate
+from tidemark.session import kept
 
 # The origin validation states of RFC 6811.
 VALID, INVALID, NOT_FOUND = "Valid", "Invalid", "NotFound"
@@ -38,7 +39,6 @@ def covering(keys: DataFrame, addr: Column, longest: Column, table: DataFrame, a
     """Each key with every table row whose network covers it; keys without one are absent."""
     at = (
         keys.withColumn("_addr", addr)
-        .where(F.col("_addr").isNotNull())
         .withColumn("_max", longest)
         .withColumn("len", F.explode(_lengths(table)))
         .where(F.col("len") <= F.col("_max"))
@@ -78,6 +78,7 @@ def origin_status(pairs: DataFrame, roa: DataFrame, out: str, extra: Sequence[st
     """
     text = F.col("prefix")
     length = length_part(text, af)
+    pairs = kept(pairs.select("prefix", "originasn_id").distinct())
     each = pairs.select("prefix").distinct().withColumn("_plen", length)
     found = covering(each, address(address_part(text), af), F.col("_plen"), roa, af)
 
@@ -90,7 +91,7 @@ def origin_status(pairs: DataFrame, roa: DataFrame, out: str, extra: Sequence[st
         "prefix", F.col("asn").cast("bigint").alias("originasn_id")).agg(
         F.lit(True).alias("_valid"), *[longest(c).alias(f"_valid_{c}") for c in extra])
     key = ["prefix", "originasn_id"]
-    joined = pairs.select(*key).distinct().join(any_entry, "prefix", "left").join(valid, key, "left")
+    joined = pairs.join(any_entry, "prefix", "left").join(valid, key, "left")
     return joined.select(
         *key,
         F.when(F.col("_valid"), VALID).when(F.col("_covered"), INVALID).otherwise(NOT_FOUND).alias(out),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.clock import from_epoch_s
-from tidemark.functions.identifiers import asn as asn_number, global_scope, parse_location, split_scope, tr_identifier
+from tidemark.functions.identifiers import asn as asn_number, parse_location, split_scope, tr_identifier
 from tidemark.functions.network import WIDTH, address, address_part, length_part
 from tidemark.operators import dimensions, hegemony, prefixes
 from tidemark.session import kept, small_side
@@ -34,7 +36,7 @@ def prefix_rows(df: DataFrame, start: int | None = None, end: int | None = None)
         scope.getField("origin").alias("_origin"), asn_number(F.col("asn")).alias("asn_id"),
         F.col("hege").cast("double").alias("hege"), F.col("nb_peers").cast("int").alias("nb_peers"))
     each = hegemony.expand_as_set(typed, "_origin", "originasn_id").drop("_origin")
-    return each.withColumn("originasn_id", global_scope(F.col("originasn_id")).cast("bigint"))
+    return each.withColumn("originasn_id", F.when(F.col("originasn_id") == -1, 0).otherwise(F.col("originasn_id")))
 
 
 def _entries(kind: str, table: DataFrame, value: str | None = None, origins: bool = False) -> DataFrame:
@@ -126,48 +128,52 @@ def country_hegemony(df: DataFrame, af: int) -> DataFrame:
         F.lower("weight").alias("weightscheme"), F.col("transit_only").alias("transitonly"))
 
 
-def tr_rows(df: DataFrame, af: int) -> DataFrame:
-    """Traceroute scores with enough peers and two valid identifiers."""
-    return (
-        df.where(F.col("nb_peers") >= hegemony.MIN_SAMPLES)
-        .select(
-            from_epoch_s(F.col("timestamp") + TR_SHIFT_S).alias("timebin"),
-            tr_identifier(F.col("scope"), af).alias("origin"), tr_identifier(F.col("asn"), af).alias("dependency"),
-            F.col("hege").cast("double").alias("hege"), F.lit(af).alias("af"), F.col("nb_peers").alias("nbsamples"))
-        .where(F.col("origin").isNotNull() & F.col("dependency").isNotNull())
-    )
-
+def endpoint_texts(rows: DataFrame, columns: Sequence[str], parse: Callable[[Column], Column]) -> DataFrame:
+    """The distinct texts of some columns with their ``type``, ``name`` and ``af``.
 
-def endpoint_keys(rows: DataFrame, *columns: str) -> DataFrame:
-    """The distinct ``(type, name, af)`` of some struct columns."""
-    return rows.select(F.explode(F.array(*columns)).alias("k")).select("k.*").distinct()
+    Texts that cannot be parsed are left out. Only distinct texts are parsed.
+    """
+    texts = rows.select(F.explode(F.array(*columns)).alias("text")).distinct()
+    parsed = texts.withColumn("_k", parse(F.col("text")))
+    return parsed.where(F.col("_k").isNotNull()).select("text", "_k.*")
 
 
-def _with_dimension(rows: DataFrame, dim: DataFrame, first: tuple[str, str], second: tuple[str, str]
-                    ) -> tuple[DataFrame, DataFrame]:
-    """Register both endpoints of each row, then replace them by their ids.
+def with_ids(rows: DataFrame, dim: DataFrame, ids: Mapping[str, str], parse: Callable[[Column], Column],
+             may_fail: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Register the endpoints named in ``ids`` (text column -> id column) and look them up.
 
-    The dimension is kept, as it is looked up twice and stored by the caller.
+    Returns the rows with both ids and the dimension. Rows meet their ids by text, one
+    string key per endpoint. Where ``parse`` may fail, rows with an invalid endpoint are
+    left out and do not register the other one.
     """
-    full = small_side(dimensions.register(dim, endpoint_keys(rows, first[0], second[0]), ["type", "name", "af"]))
-    rows = dimensions.attach_id(rows, full, *first)
-    return dimensions.attach_id(rows, full, *second), full
+    texts = kept(endpoint_texts(rows, list(ids), parse))
+    if may_fail:
+        valid = small_side(texts.select("text"))
+        good = rows
+        for text in ids:
+            good = good.join(valid.select(F.col("text").alias(text)), text, "left_semi")
+        used = good.select(F.explode(F.array(*ids)).alias("text")).distinct()
+        texts = kept(texts.join(used, "text", "left_semi"))
+    full = kept(dimensions.register(dim, texts, ["type", "name", "af"]))
+    known = small_side(texts.join(full, ["type", "name", "af"]).select("text", "id"))
+    for text, out in ids.items():
+        rows = rows.join(known.select(F.col("text").alias(text), F.col("id").alias(out)), text)
+    return rows, full
 
 
 def tr_hegemony(df: DataFrame, af: int, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(rows, identifiers)``. Zero scores are kept."""
-    rows, full = _with_dimension(tr_rows(df, af), dim, ("origin", "origin_id"), ("dependency", "dependency_id"))
-    return rows.select("timebin", "origin_id", "dependency_id", "hege", "af", "nbsamples"), full
-
-
-def delay_endpoints(df: DataFrame) -> DataFrame:
-    return df.withColumn("_from", parse_location(F.col("startpoint"))).withColumn(
-        "_to", parse_location(F.col("endpoint")))
+    """``(rows, identifiers)`` of traceroute scores with enough peers. Zero scores are kept."""
+    enough = df.where(F.col("nb_peers") >= hegemony.MIN_SAMPLES)
+    ids = {"scope": "origin_id", "asn": "dependency_id"}
+    rows, full = with_ids(enough, dim, ids, lambda text: tr_identifier(text, af), may_fail=True)
+    return rows.select(
+        from_epoch_s(F.col("timestamp") + TR_SHIFT_S).alias("timebin"), "origin_id", "dependency_id",
+        F.col("hege").cast("double").alias("hege"), F.lit(af).alias("af"), F.col("nb_peers").alias("nbsamples")), full
 
 
 def network_delay(df: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(rows, locations)``."""
-    rows, full = _with_dimension(delay_endpoints(df), dim, ("_from", "startpoint_id"), ("_to", "endpoint_id"))
+    rows, full = with_ids(df, dim, {"startpoint": "startpoint_id", "endpoint": "endpoint_id"}, parse_location)
     return rows.select(
         from_epoch_s(F.col("ts")).alias("timebin"), "startpoint_id", "endpoint_id", "median",
         F.col("nb_tracks").alias("nbtracks"), F.col("nb_probes").alias("nbprobes"), "entropy",
