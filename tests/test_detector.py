@@ -97,11 +97,12 @@ def ms(ts):
 
 
 @pytest.mark.parametrize("metric", ["mean", "median"])
-@pytest.mark.parametrize("blocks", [1, 3])
-def test_matches_brute_force_across_blocks(spark, metric, blocks):
+@pytest.mark.parametrize("blocks, dense_rows", [(1, 20_000), (3, 20_000), (1, 1), (2, 130)])
+def test_matches_brute_force_across_blocks(spark, metric, blocks, dense_rows):
+    """Few rows take lists, more than ``dense_rows`` in a block the index; 130 mixes both."""
     spec = replace(SPEC, dev_metric=metric, threshold=3.0)
     points = sample()
-    got = anomalies(series(spark, points), spec, blocks=blocks)
+    got = anomalies(series(spark, points), spec, blocks=blocks, dense_rows=dense_rows)
     assert sorted((ms(r.timestamp), round(r.deviation, 6)) for r in got.collect()) == brute(points, spec)
 
 
@@ -126,3 +127,28 @@ def test_stream_equals_batch(spark):
     flat = ["timestamp", "datapoint.k", F.round("deviation", 6)]
     assert rows(got, *flat) == rows(anomalies(both, spec), *flat)
     assert got.count() > 0
+
+
+def test_index_equals_lists_with_ties_and_nulls(spark):
+    random.seed(11)
+    data = [("ab"[i % 2], T0 + timedelta(hours=random.randrange(300)), random.choice([None, 1.0, 2.0, random.random()]), i)
+            for i in range(500)]
+    df = spark.createDataFrame(data, "k string, timestamp timestamp, v double, i int")
+    for order in ([], ["i"]):
+        lists, index = (rolling_mad(df, SPEC, order=order, gated=g, dense_rows=n)
+                        for g, n in ((True, 10_000), (True, 1)))
+        columns = ["i", "hist_n", *[F.round(c, 9).alias(c) for c in ("hist_median", "hist_mad", "hist_mean_dev")]]
+        assert rows(lists, *columns) == rows(index, *columns)
+
+
+def test_a_hot_key_is_not_quadratic(spark):
+    """60,000 rows of one key inside one history."""
+    df = spark.range(60_000).select(
+        F.lit("a").alias("k"), F.timestamp_millis(F.lit(1_704_067_200_000) + F.col("id") * 1000).alias("timestamp"),
+        (F.hash("id") % 1000).cast("double").alias("v"))
+    stats = rolling_mad(df, SPEC).where("hist_n = 59999").collect()[0]
+    values = [r.v for r in df.orderBy("timestamp").collect()][:-1]
+    middle = statistics.median(values)
+    away = [abs(x - middle) for x in values]
+    assert stats.hist_median == middle and stats.hist_mad == statistics.median(away)
+    assert stats.hist_mean_dev == pytest.approx(statistics.fmean(away), rel=1e-9)
