@@ -48,15 +48,14 @@ def _entries(kind: str, table: DataFrame, value: str | None = None, origins: boo
         (F.col("asn") if origins else null).cast("bigint").alias("asn"))
 
 
-def prefix_facts(rows: DataFrame, geo: DataFrame, rpki: DataFrame, irr: DataFrame, prefix_blocks: DataFrame,
-                 asn_blocks: DataFrame, af: int) -> DataFrame:
-    """Country, validation and delegation of each distinct ``(prefix, originasn_id)``.
+def prefix_facts(keys: DataFrame, geo: DataFrame, rpki: DataFrame, irr: DataFrame, prefix_blocks: DataFrame,
+                 af: int) -> tuple[DataFrame, DataFrame]:
+    """What the tables say of each distinct ``prefix``, and of its valid origins.
 
-    The four prefix tables are looked up in one pass: the networks of each distinct prefix
-    meet the entries of all tables in one join. Country and delegation go by the longest
-    network that covers the prefix's address, validation by those that cover the prefix.
+    The four prefix tables are looked up in one pass: the networks of each prefix meet the
+    entries of all tables in one join. Country and delegation go by the longest network
+    that covers the prefix's address, validation by those that cover the prefix.
     """
-    pairs = kept(rows.select("prefix", "originasn_id").distinct())
     entries = (
         _entries("geo", geo, "cc")
         .unionByName(_entries("delegated", prefix_blocks, "status"))
@@ -64,7 +63,7 @@ def prefix_facts(rows: DataFrame, geo: DataFrame, rpki: DataFrame, irr: DataFram
         .unionByName(_entries("irr", irr, "descr", origins=True))
     )
     text, kind = F.col("prefix"), F.col("kind")
-    each = pairs.select("prefix").distinct().withColumn("_plen", length_part(text, af))
+    each = keys.select("prefix").distinct().withColumn("_plen", length_part(text, af))
     found = prefixes.covering(each, address(address_part(text), af), F.lit(WIDTH[af]), entries, af)
     found = found.where(kind.isin("geo", "delegated") | (F.col("len") <= F.col("_plen")))
 
@@ -78,25 +77,12 @@ def prefix_facts(rows: DataFrame, geo: DataFrame, rpki: DataFrame, irr: DataFram
     allowed = kind.isin("rpki", "irr") & (F.col("_plen") <= F.col("max_len"))
     by_origin = found.where(allowed).groupBy("prefix", F.col("asn").alias("originasn_id")).agg(
         F.max(kind == "rpki").alias("_rpki_ok"), F.max(kind == "irr").alias("_irr_ok"), longest("irr").alias("_descr"))
-    by_asn = prefixes.asn_block_status(pairs, "originasn_id", asn_blocks, "delegated_asn_status")
+    return by_prefix, by_origin
 
-    def status(covered: str, ok: str):
-        return (F.when(F.col(ok), prefixes.VALID).when(F.col(covered), prefixes.INVALID)
-                .otherwise(prefixes.NOT_FOUND))
 
-    return (
-        pairs.join(by_prefix, "prefix", "left")
-        .join(by_origin, ["prefix", "originasn_id"], "left")
-        .join(by_asn, "originasn_id", "left")
-        .select(
-            "prefix", "originasn_id",
-            F.coalesce("_cc", F.lit(prefixes.UNKNOWN_COUNTRY)).alias("country_id"),
-            status("_rpki", "_rpki_ok").alias("rpki_status"), status("_irr", "_irr_ok").alias("irr_status"),
-            F.coalesce(F.when(F.col("_irr_ok"), F.col("_descr")).otherwise(F.col("_any_descr")), F.lit("")
-                       ).alias("descr"),
-            F.coalesce("_delegated", F.lit(prefixes.NOT_FOUND)).alias("delegated_prefix_status"),
-            F.coalesce("delegated_asn_status", F.lit(prefixes.NOT_FOUND)).alias("delegated_asn_status"))
-    )
+def _status(covered: str, ok: str) -> Column:
+    return (F.when(F.col(ok), prefixes.VALID).when(F.col(covered), prefixes.INVALID)
+            .otherwise(prefixes.NOT_FOUND))
 
 
 def prefix_hegemony(df: DataFrame, af: int, geo: DataFrame, rpki: DataFrame, irr: DataFrame,
@@ -104,18 +90,33 @@ def prefix_hegemony(df: DataFrame, af: int, geo: DataFrame, rpki: DataFrame, irr
                     end: int | None = None) -> DataFrame:
     """Prefix scores with country, validation, delegation, visibility and multiple origins.
 
-    Origins and peers are taken over all rows of a bin, zero scores included. Lookups run
-    on distinct prefixes and are joined back.
+    Origins and peers are taken over all rows of a bin, zero scores included. One pass
+    reduces the rows to one per bin and prefix; that table gives the peers, the distinct
+    prefixes to look up, and all that depends on bin and prefix, so the rows themselves
+    are shuffled once. What depends on the origin is joined from small tables.
     """
     rows = prefix_rows(df, start, end)
     stored = rows.where(F.col("hege") != 0)
-    facts = prefix_facts(stored, geo, rpki, irr, prefix_blocks, asn_blocks, af)
+    bins = kept(rows.groupBy("timebin", "prefix").agg(
+        (F.min("originasn_id") != F.max("originasn_id")).alias("moas"), F.max("nb_peers").alias("_most")))
+    peers = hegemony.peer_max(bins.select("timebin", F.col("_most").alias("nb_peers")))
+    by_prefix, by_origin = prefix_facts(bins, geo, rpki, irr, prefix_blocks, af)
+    by_asn = prefixes.asn_block_status(stored, "originasn_id", asn_blocks, "delegated_asn_status")
+    per_bin = bins.drop("_most").join(small_side(peers), "timebin").join(small_side(by_prefix), "prefix", "left")
     return (
-        stored.join(small_side(facts), ["prefix", "originasn_id"])
-        .join(hegemony.moas(rows), ["timebin", "prefix"])
-        .join(small_side(hegemony.peer_max(rows)), "timebin")
-        .withColumn("visibility", hegemony.visibility(F.col("nb_peers"), F.col("peer_max")))
-        .withColumn("af", F.lit(af))
+        stored.join(per_bin, ["timebin", "prefix"])
+        .join(small_side(by_origin), ["prefix", "originasn_id"], "left")
+        .join(small_side(by_asn), "originasn_id", "left")
+        .select(
+            "timebin", "prefix", "originasn_id", "asn_id",
+            F.coalesce("_cc", F.lit(prefixes.UNKNOWN_COUNTRY)).alias("country_id"), "hege",
+            _status("_rpki", "_rpki_ok").alias("rpki_status"), _status("_irr", "_irr_ok").alias("irr_status"),
+            F.coalesce("_delegated", F.lit(prefixes.NOT_FOUND)).alias("delegated_prefix_status"),
+            F.coalesce("delegated_asn_status", F.lit(prefixes.NOT_FOUND)).alias("delegated_asn_status"),
+            F.lit(af).alias("af"),
+            F.coalesce(F.when(F.col("_irr_ok"), F.col("_descr")).otherwise(F.col("_any_descr")), F.lit("")
+                       ).alias("descr"),
+            hegemony.visibility(F.col("nb_peers"), F.col("peer_max")).alias("visibility"), "moas")
         .select(*PREFIX_COLUMNS)
     )
 
