@@ -152,3 +152,16 @@ def test_a_hot_key_is_not_quadratic(spark):
     away = [abs(x - middle) for x in values]
     assert stats.hist_median == middle and stats.hist_mad == statistics.median(away)
     assert stats.hist_mean_dev == pytest.approx(statistics.fmean(away), rel=1e-9)
+
+
+@pytest.mark.parametrize("metric", ["mean", "median"])
+def test_stream_index_equals_row_by_row(monkeypatch, metric):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    us = np.sort(rng.integers(0, 400 * 3600 * 10**6, 500))
+    values = rng.choice([np.nan, 1.0, 2.0, 7.5, 100.0], 500)
+    spec = replace(SPEC, dev_metric=metric)
+    plain = streamed.deviations(us, values, spec)
+    monkeypatch.setattr(streamed, "INDEXED_ROWS", 1)
+    assert np.allclose(streamed.deviations(us, values, spec), plain, equal_nan=True)

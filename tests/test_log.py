@@ -39,6 +39,12 @@ def test_same_key_same_partition_and_unkeyed_spread(spark):
     assert free.select("partition").distinct().count() == 4
 
 
+def test_values_with_maps_and_no_key(spark):
+    df = spark.range(50).withColumn("m", F.create_map(F.lit("a"), F.col("id")))
+    m = log.to_log(df, "t", None, F.lit(T0), F.struct("m"), 3)
+    assert m.groupBy("partition", "offset").count().where("count > 1").count() == 0 and m.count() == 50
+
+
 def test_range_bounds(spark):
     m = messages(spark)
     start, end = T0 + timedelta(minutes=3), T0 + timedelta(minutes=6)

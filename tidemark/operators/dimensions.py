@@ -16,7 +16,9 @@ UNKNOWN_COUNTRY = {"ZZ": "Unknown"}
 
 
 def new_keys(dim: DataFrame, keys: DataFrame, natural: Sequence[str]) -> DataFrame:
-    return keys.select(*natural).distinct().join(dim.select(*natural), list(natural), "left_anti")
+    """The distinct keys that ``dim`` lacks; a key with a null part is none."""
+    known = keys.select(*natural).dropna().distinct()
+    return known.join(dim.select(*natural), list(natural), "left_anti")
 
 
 def register(dim: DataFrame, keys: DataFrame, natural: Sequence[str]) -> DataFrame:

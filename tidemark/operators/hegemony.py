@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.clock import from_epoch_s
 from tidemark.functions.identifiers import as_set_members, asn as asn_number, global_scope
-from tidemark.operators.log import in_range
 
 MIN_SAMPLES = 10  # Fixed value: least number of peers behind a traceroute score.
 
@@ -111,8 +110,3 @@ def bin_stats(messages: DataFrame, bin_start) -> DataFrame:
 def bin_scopes_by_partition(messages: DataFrame, bin_start) -> DataFrame:
     return _at_bin(messages, bin_start).groupBy("partition").agg(F.count_distinct("scope").alias("nb_scopes"))
 
-
-__all__ = [
-    "MIN_SAMPLES", "bin_scopes_by_partition", "bin_stats", "cone", "counts_for_cone", "expand_as_set",
-    "in_range", "moas", "payload_range", "peer_max", "score_rows", "visibility",
-]

@@ -131,33 +131,35 @@ def grep(log: DataFrame, key: Column | None = None, filters: Mapping[str, object
     return found.select("key", "timestamp", "topic", "partition", "offset", "headers", "value.*")
 
 
-def partition_of(key: Column | None, value: Column, n: int) -> Column:
-    """A partition by the key's CRC, or by the whole value where there is no key."""
-    spread = F.pmod(F.xxhash64(value), F.lit(n)).cast("int")
-    if key is None:
-        return spread
-    return F.when(key.isNull(), spread).otherwise(F.pmod(F.crc32(key), F.lit(n)).cast("int"))
-
-
 def to_log(df: DataFrame, topic: Column | str, key: Column | None, ts: Column, value: Column, n: int,
            ties: Sequence[Column] = (), partition: Column | None = None, slice_seconds: int = 60) -> DataFrame:
-    """Messages with a partition by key and offsets by event time.
+    """Messages with a partition and offsets by event time.
 
-    ``ties`` orders messages of one timestamp. Offsets are counted in slices of time, so a
-    partition that holds much of the log is spread over as many tasks as it has slices.
+    The partition is the CRC of the key, or where there is no key a hash of the value, so
+    that unkeyed topics spread. ``ties`` orders messages of one timestamp, then their hash
+    does, so that offsets come out the same when a task is run again. Offsets are counted
+    in slices of time: a partition that holds much of the log is spread over as many tasks
+    as it has slices.
     """
     topic = F.lit(topic) if isinstance(topic, str) else topic
     tie_names = [f"_tie{i}" for i in range(len(ties))]
     rows = df.select(
         topic.alias("topic"),
-        (partition if partition is not None else partition_of(key, value, n)).cast("int").alias("partition"),
+        (partition if partition is not None else F.lit(None)).cast("int").alias("partition"),
         (key if key is not None else F.lit(None)).cast("binary").alias("key"),
         value.alias("value"),
         ts.cast("timestamp").alias("timestamp"),
         *[t.alias(name) for t, name in zip(ties, tie_names)],
     )
+    # Spark does not hash maps, so values with one are hashed as text.
+    whole = F.to_json("value") if "map<" in rows.schema["value"].dataType.simpleString() else F.col("value")
+    rows = rows.withColumn("_hash", F.xxhash64("key", whole))
+    if partition is None:
+        rows = rows.withColumn("partition", F.pmod(
+            F.when(F.col("key").isNull(), F.col("_hash")).otherwise(F.crc32("key")), F.lit(n)).cast("int"))
     slice_of = F.floor(F.unix_seconds("timestamp") / F.lit(slice_seconds))
-    return numbered(rows, ["topic", "partition"], slice_of, ["timestamp", *tie_names], "offset").select(
+    order = ["timestamp", *tie_names, "_hash"]
+    return numbered(rows, ["topic", "partition"], slice_of, order, "offset").select(
         "topic", "partition", "offset", "key", "value", "timestamp",
         F.lit(CREATE_TIME).alias("timestampType"), F.lit(None).cast(HEADERS).alias("headers"))
 

@@ -10,25 +10,43 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from tidemark.operators.dense_history import Ranges
 from tidemark.operators.detector import MAD_SCALE, DetectorSpec
 from tidemark.streaming.runs import use_rocksdb
 
+INDEXED_ROWS = 2_000
 HISTORY = StructType([StructField("us", LongType()), StructField("value", DoubleType())])
 
 
-def deviations(us: np.ndarray, values: np.ndarray, first: int, spec: DetectorSpec) -> np.ndarray:
-    """Deviation of the rows from ``first`` on, in time order; NaN for those not tested."""
-    out = np.full(len(us) - first, np.nan)
-    low = np.searchsorted(us, us[first:] - spec.history_us, side="left")
-    high = np.searchsorted(us, us[first:], side="left")
-    for i in np.flatnonzero(high - low > spec.min_samples):
-        history = values[low[i]:high[i]]
-        middle = np.median(history)
-        away = np.abs(history - middle)
-        spread = np.median(away) if spec.dev_metric == "median" else away.mean()
-        scale = MAD_SCALE * (spec.min_dev + spread)
-        if scale > 0:
-            out[i] = (values[first + i] - middle) / scale
+def deviations(us: np.ndarray, values: np.ndarray, spec: DetectorSpec) -> np.ndarray:
+    """Deviation of each row from the rows before it, in time order; NaN where not tested.
+
+    Long runs are answered together from an index, short ones row by row.
+    """
+    out = np.full(len(us), np.nan)
+    known = ~np.isnan(values)
+    past_us, past = us[known], values[known]
+    low = np.searchsorted(past_us, us - spec.history_us, side="left")
+    high = np.searchsorted(past_us, us, side="left")
+    tested = np.flatnonzero((high - low > spec.min_samples) & (high > low))
+    if not len(tested):
+        return out
+    low, high = low[tested], high[tested]
+    if len(past) > INDEXED_ROWS:
+        index = Ranges(past)
+        middle = index.median(low, high)
+        if spec.dev_metric == "median":
+            n = high - low
+            spread = (index.kth_dev(low, high, middle, (n - 1) // 2) + index.kth_dev(low, high, middle, n // 2)) / 2
+        else:
+            spread = index.mean_dev(low, high, middle)
+    else:
+        reduce = np.median if spec.dev_metric == "median" else np.mean
+        middle = np.array([np.median(past[a:b]) for a, b in zip(low, high)])
+        spread = np.array([reduce(np.abs(past[a:b] - m)) for a, b, m in zip(low, high, middle)])
+    scale = MAD_SCALE * (spec.min_dev + spread)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out[tested] = np.where(scale > 0, (values[tested] - middle) / scale, np.nan)
     return out
 
 
@@ -52,10 +70,10 @@ class KeyHistory(StatefulProcessor):
         values = np.concatenate([old["event_value"].to_numpy("float64"), fresh["event_value"].to_numpy("float64")])
         # Late rows belong before some of the kept ones, so all are put in time order.
         order = np.argsort(us, kind="stable")
-        is_new = (order >= len(old))
+        is_new = order >= len(old)
         us, values = us[order], values[order]
-        deviation = deviations(us, values, 0, self.spec)[is_new]
-        recent = us >= us[-1] - self.spec.history_us
+        deviation = deviations(us, values, self.spec)[is_new]
+        recent = (us >= us[-1] - self.spec.history_us) & ~np.isnan(values)
         self.history.put([(int(t), float(v)) for t, v in zip(us[recent], values[recent])])
         fresh = fresh.assign(deviation=deviation)
         found = fresh[fresh["deviation"].abs() > self.spec.threshold]
