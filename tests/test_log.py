@@ -39,6 +39,16 @@ def test_same_key_same_partition_and_unkeyed_spread(spark):
     assert free.select("partition").distinct().count() == 4
 
 
+@pytest.mark.parametrize("tied", [True, False])
+def test_many_messages_of_one_time(spark, monkeypatch, tied):
+    monkeypatch.setattr(log, "TIES_PER_SLICE", 7)
+    df = spark.range(300).withColumn("ts", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") % 2))
+    ties = [F.col("id")] if tied else []
+    args = (df, "t", None, F.col("ts"), F.struct("id"), 2)
+    usual, cut = (log.to_log(*args, ties=ties, few_times=few) for few in (False, True))
+    assert rows(cut, "partition", "offset", "value.id") == rows(usual, "partition", "offset", "value.id")
+
+
 def test_values_with_maps_and_no_key(spark):
     df = spark.range(50).withColumn("m", F.create_map(F.lit("a"), F.col("id")))
     m = log.to_log(df, "t", None, F.lit(T0), F.struct("m"), 3)

@@ -16,6 +16,7 @@ from tidemark.session import small_side
 
 CREATE_TIME = 0  # Fixed value: the timestamp type of messages stamped by their producer.
 LOG_COLUMNS = ["topic", "partition", "offset", "key", "value", "timestamp", "timestampType", "headers"]
+TIES_PER_SLICE = 1_000_000
 HEADERS = "array<struct<key:string,value:binary>>"
 
 
@@ -132,7 +133,8 @@ def grep(log: DataFrame, key: Column | None = None, filters: Mapping[str, object
 
 
 def to_log(df: DataFrame, topic: Column | str, key: Column | None, ts: Column, value: Column, n: int,
-           ties: Sequence[Column] = (), partition: Column | None = None, slice_seconds: int = 60) -> DataFrame:
+           ties: Sequence[Column] = (), partition: Column | None = None, slice_seconds: int = 60,
+           few_times: bool = False) -> DataFrame:
     """Messages with a partition and offsets by event time.
 
     The partition is the CRC of the key, or where there is no key a hash of the value, so
@@ -140,6 +142,10 @@ def to_log(df: DataFrame, topic: Column | str, key: Column | None, ts: Column, v
     does, so that offsets come out the same when a task is run again. Offsets are counted
     in slices of time: a partition that holds much of the log is spread over as many tasks
     as it has slices.
+
+    ``few_times`` is for topics such as table dumps, where very many messages share a
+    timestamp: slices are then single timestamps, cut further by ranges of the first tie
+    (a number) or of the hash.
     """
     topic = F.lit(topic) if isinstance(topic, str) else topic
     tie_names = [f"_tie{i}" for i in range(len(ties))]
@@ -158,6 +164,9 @@ def to_log(df: DataFrame, topic: Column | str, key: Column | None, ts: Column, v
         rows = rows.withColumn("partition", F.pmod(
             F.when(F.col("key").isNull(), F.col("_hash")).otherwise(F.crc32("key")), F.lit(n)).cast("int"))
     slice_of = F.floor(F.unix_seconds("timestamp") / F.lit(slice_seconds))
+    if few_times:
+        inner = F.floor(F.col(tie_names[0]) / F.lit(TIES_PER_SLICE)) if ties else F.shiftright("_hash", 52)
+        slice_of = F.struct(F.unix_micros("timestamp").alias("us"), inner.cast("bigint").alias("part"))
     order = ["timestamp", *tie_names, "_hash"]
     return numbered(rows, ["topic", "partition"], slice_of, order, "offset").select(
         "topic", "partition", "offset", "key", "value", "timestamp",
