@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import work_dir
@@ -72,3 +74,29 @@ def _stars(edges: DataFrame) -> DataFrame:
     return large.join(least, "a").select(F.explode(F.array(
         F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))
     )).alias("e")).select("e.*").where("a <> b").distinct()
+
+
+def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id`` and ``text`` alone, a null text as the empty one; no other column can clash."""
+    return docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+
+
+def kind(df: DataFrame, column: str) -> str:
+    """The column's type as DDL, to declare what a function over Arrow batches returns."""
+    return df.schema[column].dataType.simpleString()
+
+
+class Memo(dict):
+    """A bounded memo for short keys: it starts again when full, and computes long keys anew."""
+
+    def __init__(self, make: Callable, most: int = 300_000, longest: int = 64):
+        super().__init__()
+        self.make, self.most, self.longest = make, most, longest
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import bpe, exact_dedup, packing, token_counts
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_bpe": bpe.op3_bpe,
+    "op7_packing": packing.op7_packing,
+    "op9_token_counts": token_counts.op9_token_counts,
 }
 
 SQL = {
