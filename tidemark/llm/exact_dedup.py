@@ -65,7 +65,9 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
                        ascii_lower(F.coalesce(F.col(text_column), F.lit(""))).alias("body"))
     body = body.withColumn("text_sha256", F.sha2("body", 256))
     recipes = written(chunk_recipes(body, "body", chunk_hash, pattern), "recipes")
-    groups = recipes.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # written, so that the join deals both sides anew and a recipe with very many rows can be split
+    groups = written(recipes.groupBy("recipe").agg(
+        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
     return recipes.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256",
         F.size("recipe").alias("n_chunks"))
