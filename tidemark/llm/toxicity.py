@@ -27,10 +27,10 @@ class Ftrl:
     documents of each class are learnt from, those with the smallest hash of their identifier."""
     bits: int = 22
     per_class: int = 6_000
-    epochs: int = 3
-    alpha: float = 0.1
+    epochs: int = 10
+    alpha: float = 3.0
     beta: float = 1.0
-    l1: float = 1.0
+    l1: float = 6.0
     l2: float = 0.1
     seed: int = 7
 
@@ -70,12 +70,8 @@ def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, importance: np.ndarray, rule: Ftrl) -> Model:
-    """Passes over the rows in a seeded order, one update per row.
-
-    ``importance`` weighs a row's gradient, so that classes sampled at different rates keep
-    their share and a score stays a probability. Without rows every score is 0.
-    """
+def fit(rows: list[np.ndarray], labels: np.ndarray, rule: Ftrl) -> Model:
+    """Passes over the rows in a seeded order, one update per row. Without rows every score is 0."""
     z, n = np.zeros(1 << rule.bits, np.float32), np.zeros(1 << rule.bits, np.float32)
     bias_z = bias_n = 0.0
     order = np.random.default_rng(rule.seed)
@@ -91,7 +87,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, importance: np.ndarray, rule
         for i in order.permutation(len(rows)):
             at = rows[i]
             w, squares, b = weights(z[at], n[at]), n[at], bias()
-            g = float(sigmoid(w.sum() + b) - labels[i]) * importance[i]
+            g = float(sigmoid(w.sum() + b) - labels[i])
             z[at] += g - (np.sqrt(squares + g * g) - np.sqrt(squares)) / rule.alpha * w
             n[at] += g * g
             bias_z += g - (np.sqrt(bias_n + g * g) - np.sqrt(bias_n)) / rule.alpha * b
@@ -106,16 +102,12 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 
 def sample(labels: DataFrame, per_class: int) -> DataFrame:
-    """At most ``per_class`` rows ``doc_id, label, importance`` of labels 1 and of labels 0, in
-    order of the hash of the identifier. Null labels and identifiers are left out, and an
-    identifier with several labels counts as 1 if any is."""
+    """At most ``per_class`` rows ``doc_id, label`` of labels 1 and of labels 0, in order of the
+    hash of the identifier. Null labels and identifiers are left out, and an identifier with
+    several labels counts as 1 if any is. Where the bound cuts one class, scores refer to the
+    classes' shares in the sample."""
     one = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
-    sizes = {r["label"]: r["n"] for r in one.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
-    kept = sum(min(n, per_class) for n in sizes.values())
-    parts = [one.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).withColumn(
-        "importance", F.lit(float(sizes.get(c, 0) / max(min(sizes.get(c, 0), per_class), 1) * kept / max(total, 1))))
-        for c in (0, 1)]
+    parts = [one.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
     return parts[0].union(parts[1])
 
 
@@ -132,13 +124,12 @@ def train(docs: DataFrame, labels: DataFrame, rule: Ftrl = Ftrl()) -> Model:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             found = pa.array([features(t.as_py(), bits).tobytes() for t in part.column(0)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], found], ["doc_id", "label", "importance", "features"])
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], found], ["doc_id", "label", "features"])
 
-    rows = picked.select("text", "doc_id", "label", "importance").mapInArrow(
-        batches, f"doc_id {kind(picked, 'doc_id')}, label int, importance double, features binary").toArrow()
+    rows = picked.select("text", "doc_id", "label").mapInArrow(
+        batches, f"doc_id {kind(picked, 'doc_id')}, label int, features binary").toArrow()
     rows = rows.sort_by("doc_id")
-    return fit([np.frombuffer(f.as_py(), np.int32) for f in rows["features"]], rows["label"].to_numpy(),
-               rows["importance"].to_numpy(), rule)
+    return fit([np.frombuffer(f.as_py(), np.int32) for f in rows["features"]], rows["label"].to_numpy(), rule)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
