@@ -27,6 +27,18 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def split_join(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join rows to an aggregated ``side`` so that a key with very many rows can be split.
+
+    An aggregate leaves its side dealt by the keys, and adaptive execution does not split
+    what it cannot deal anew. With a hash of the keys as a further key both sides are.
+    """
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("join_mark", F.xxhash64(*keys))
+
+    return marked(rows).join(marked(side), ["join_mark", *keys], how).drop("join_mark")
+
+
 def in_units(rows: DataFrame, keys: list[str], spread: Column, rows_per_block: int) -> DataFrame:
     """Cut each group of ``keys`` into work units that together meet every pair of its rows.
 
@@ -36,7 +48,7 @@ def in_units(rows: DataFrame, keys: list[str], spread: Column, rows_per_block: i
     Groups of one row meet nobody and go. Adds ``unit_a``, ``unit_b`` and ``block``.
     """
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("unit_rows")).where("unit_rows > 1")
-    cut = rows.join(sizes, keys).withColumn("unit_n", F.ceil(F.col("unit_rows") / rows_per_block))
+    cut = split_join(rows, sizes, keys).withColumn("unit_n", F.ceil(F.col("unit_rows") / rows_per_block))
     cut = cut.withColumn("block", F.pmod(spread, F.col("unit_n")).cast("int"))
     cut = cut.withColumn("unit_j", F.explode(F.sequence(F.lit(0), F.col("unit_n").cast("int") - 1)))
     return cut.withColumn("unit_a", F.least("block", "unit_j")).withColumn(
@@ -69,9 +81,9 @@ def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step over edges ``a > b``."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    large = split_join(both, least, ["a"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     least = large.groupBy("a").agg(F.min("b").alias("m"))
-    return large.join(least, "a").select(F.explode(F.array(
+    return split_join(large, least, ["a"]).select(F.explode(F.array(
         F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))
     )).alias("e")).select("e.*").where("a <> b").distinct()
 

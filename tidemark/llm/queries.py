@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, exact_dedup, packing, quality, simhash, token_counts, toxicity
+from tidemark.llm import bpe, embeddings, exact_dedup, packing, quality, simhash, token_counts, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_quality": quality.op4_quality,
     "op6_simhash": simhash.op6_simhash,
     "op7_packing": packing.op7_packing,
+    "op8_embeddings": embeddings.op8_embeddings,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_toxicity": toxicity.op10_toxicity,
 }

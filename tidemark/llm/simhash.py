@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import components, in_units, kind, table, texts, written
+from tidemark.llm.common import components, in_units, kind, split_join, table, texts, written
 
 LOWERED = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BITS = 64
@@ -200,7 +200,7 @@ def near_groups(docs: DataFrame, limit: int = 3, id_column: str = "doc_id", text
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = written(rooted, "rooted")
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(rooted.join(names, "root").select("fp", "component_id"), "components")
+    named = written(split_join(rooted, names, ["root"]).select("fp", "component_id"), "components")
     return found.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
