@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, embeddings, exact_dedup, packing, quality, simhash, token_counts, toxicity
+from tidemark.llm import bpe, embeddings, exact_dedup, packing, quality, secrets, simhash, token_counts, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_bpe": bpe.op3_bpe,
     "op4_quality": quality.op4_quality,
+    "op5_secrets": secrets.op5_secrets,
     "op6_simhash": simhash.op6_simhash,
     "op7_packing": packing.op7_packing,
     "op8_embeddings": embeddings.op8_embeddings,
