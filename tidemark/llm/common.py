@@ -64,8 +64,8 @@ def components(links: DataFrame) -> DataFrame:
     joins on the node, which adaptive execution splits for a node with very many links. Each
     round is a written table, and the driver sees two numbers a round.
     """
-    edges = _stars(links.where("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = _stars(written(links.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"))
     before = None
     while True:
         edges = written(edges, "stars")

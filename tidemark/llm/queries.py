@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, embeddings, exact_dedup, packing, quality, secrets, simhash, token_counts, toxicity
+from tidemark.llm import bpe, embeddings, exact_dedup, line_dedup, packing, quality, secrets, simhash, token_counts, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_bpe": bpe.op3_bpe,
     "op4_quality": quality.op4_quality,
     "op5_secrets": secrets.op5_secrets,
@@ -18,4 +19,5 @@ QUERIES = {
 
 SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op2_line_dedup": line_dedup.SQL,
 }
