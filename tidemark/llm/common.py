@@ -93,6 +93,14 @@ def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     return docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def kind(df: DataFrame, column: str) -> str:
     """The column's type as DDL, to declare what a function over Arrow batches returns."""
     return df.schema[column].dataType.simpleString()

@@ -84,32 +84,49 @@ class Ledger:
         rows.write.mode("append").parquet(f"{self.path}/{name}")
 
 
-def scan(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Scan ``path, text`` rows, every one a version of what stands under its path.
-
-    Returns one row per row of ``versions``: ``path, blob, spans``, the spans of all rules'
-    present versions as structs ``start, rank, kind, end`` in that order, ``rank`` being the
-    rule's place in ``rules``. A null text is empty. Findings are written before the pairs
-    that were scanned, so a scan that is broken off is taken up again without loss.
+def find(blobs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scan what the ledger lacks of ``blob, text``, and return ``blob, spans`` of the blobs in the
+    ledger that hold anything, for the rules' present versions.
+
+    ``blob`` names ``text``, and rows may repeat. ``spans`` are structs ``start, rank, kind,
+    end`` in that order, ``rank`` being the rule's place in ``rules``. Findings are written
+    before the pairs that were scanned, so a scan that is broken off is taken up again
+    without loss.
     """
-    versions = versions.select("path", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "blob", F.sha2("text", 256))
-    paths = written(versions.select("path", "blob"), "paths")
     wanted = F.array(*[F.struct(F.lit(r.name).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
-    pairs = paths.select("blob").distinct().select("blob", F.explode(wanted).alias("r")).select("blob", "r.*")
+    pairs = blobs.select("blob").distinct().select("blob", F.explode(wanted).alias("r")).select("blob", "r.*")
     fresh = written(pairs.join(ledger.read("scanned", Ledger.SCANNED), ["blob", "kind", "version"], "left_anti"), "unseen")
     todo = fresh.groupBy("blob").agg(F.collect_set("kind").alias("todo"))
-    blobs = versions.groupBy("blob").agg(F.min("text").alias("text"))
-    ledger.add("findings", scan_blobs(blobs.join(todo, "blob"), rules))
+    once = blobs.groupBy("blob").agg(F.min("text").alias("text"))
+    ledger.add("findings", scan_blobs(once.join(todo, "blob"), rules))
     ledger.add("scanned", fresh)
     now = F.array(*[F.struct(F.lit(r.name).alias("kind"), F.lit(r.version).alias("version"), F.lit(i).alias("rank"))
                     for i, r in enumerate(rules)])
     found = ledger.read("findings", Ledger.FINDINGS).withColumn("rank", F.filter(
         now, lambda r: (r["kind"] == F.col("kind")) & (r["version"] == F.col("version")))[0]["rank"])
-    found = found.where("rank IS NOT NULL").groupBy("blob").agg(
+    return found.where("rank IS NOT NULL").groupBy("blob").agg(
         F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans"))
+
+
+def blob_of(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def with_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with the ``spans`` of their ``blob``; an empty array where nothing was found."""
     empty = F.array().cast(found.schema["spans"].dataType)
-    return split_join(paths, found, ["blob"], "left").select("path", "blob", F.coalesce("spans", empty).alias("spans"))
+    return split_join(rows, found, ["blob"], "left").withColumn("spans", F.coalesce("spans", empty))
+
+
+def scan(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scan ``path, text`` rows, every one a version of what stands under its path.
+
+    Returns one row per row of ``versions``: ``path, blob, spans``. A null text is empty, and
+    a null path is a path like others. See ``find`` for the spans.
+    """
+    versions = versions.select("path", F.coalesce("text", F.lit("")).alias("text")).withColumn("blob", blob_of(F.col("text")))
+    paths = written(versions.select("path", "blob"), "paths")
+    return with_spans(paths, find(versions.select("blob", "text"), ledger, rules))
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:

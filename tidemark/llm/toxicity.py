@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.common import Memo, kind, table, texts
 
@@ -132,19 +132,21 @@ def train(docs: DataFrame, labels: DataFrame, rule: Ftrl = Ftrl()) -> Model:
     return fit([np.frombuffer(f.as_py(), np.int32) for f in rows["features"]], rows["label"].to_numpy(), rule)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, score`` of each whole text; a null text is empty and scores as the bias alone."""
-    docs = texts(docs)
+def score(docs: DataFrame, model: Model, name: str = "score", text_column: str = "text") -> DataFrame:
+    """``docs`` and the score of each whole text as column ``name``, which ``docs`` lacks; a null
+    text is empty and scores as the bias alone."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    names, at = [*docs.columns, name], docs.columns.index(text_column)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         w = m.dense()
         for part in parts:
-            sums = np.array([w[features(t.as_py(), m.bits)].sum(dtype=np.float64) for t in part.column(1)])
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sigmoid(sums + m.bias))], ["doc_id", "score"])
+            sums = np.array([w[features(t.as_py() or "", m.bits)].sum(dtype=np.float64) for t in part.column(at)])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sigmoid(sums + m.bias), pa.float64())], names)
 
-    return docs.mapInArrow(batches, f"doc_id {kind(docs, 'doc_id')}, score double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.mapInArrow(batches, schema)
 
 
 def known_labels(labels: DataFrame, name: str, folds: int, fold: int) -> DataFrame:
@@ -158,5 +160,5 @@ FOLDS, FOLD = 5, 0
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, known_labels(table(spark, sf_dir, "labels"), "toxic", FOLDS, FOLD))
-    return score(docs, model).select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "score",
+    return score(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "score",
                                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
