@@ -43,9 +43,9 @@ class WordBpe:
         model = spec["model"]
         self.end = model["end_of_word_suffix"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.last = models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=self.end)
-        self.inner = models.BPE(vocab=model["vocab"], merges=merges)
         self.library = Tokenizer.from_file(path)
+        self.last = self.library.model  # marks word ends
+        self.inner = models.BPE(vocab=model["vocab"], merges=merges)
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")")
@@ -56,8 +56,9 @@ class WordBpe:
         self.tokens = np.full(size, "", dtype=object)
         for token, i in [*model["vocab"].items(), *self.specials.items()]:
             self.tokens[i] = token
-        self.last_pieces, self.inner_pieces = Memo(self._merge(self.last)), Memo(self._merge(self.inner))
-        self.chunks = Memo(self._chunk)
+        self.last_pieces, self.inner_pieces = (
+            Memo(self._merge(m), most=100_000) for m in (self.last, self.inner))
+        self.chunks = Memo(self._chunk, most=200_000)
 
     def pieces(self, word: str) -> list[str]:
         """Cut where two letters stand together in no token."""

@@ -83,7 +83,8 @@ class GrayIndex:
 
     def pairs(self, limit: int, at_once: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places ``i < j`` of all fingerprints that differ in at most ``limit`` bits, in blocks."""
-        stack = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        top = np.zeros(min(1, len(self.levels) - 1), np.int64)  # a fingerprint alone has no pair
+        stack = [(len(self.levels) - 1, top, top)]
         while stack:
             level, a, b = stack.pop()
             low, high = self.levels[level]
