@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from checks import views as v
@@ -37,6 +39,20 @@ def rolling_mad(spark, sf):
         F.round(c, 6).alias(c) for c in ("hist_median", "hist_mad", "hist_mean_dev")])
 
 
+@query("rolling_mad_dense", """SELECT event_id, len(h)::INTEGER AS hist_n, round(med, 6) AS hist_median,
+    round(list_aggregate(list_transform(h, lambda x: abs(x - med)), 'median'), 6) AS hist_mad,
+    round(list_aggregate(list_transform(h, lambda x: abs(x - med)), 'avg'), 6) AS hist_mean_dev
+    FROM (SELECT *, list_aggregate(h, 'median') AS med FROM (SELECT *, list(value) OVER (PARTITION BY event_type
+        ORDER BY epoch_us(ts) RANGE BETWEEN 259200000000 PRECEDING AND 1 PRECEDING) AS h FROM events))
+    WHERE len(h) > 5.4""")
+def rolling_mad_dense(spark, sf):
+    """Few keys with long histories, which the index answers."""
+    series = v.table(spark, sf, "events").select("event_id", "event_type", "value", F.col("ts").alias("timestamp"))
+    stats = detector.rolling_mad(series, replace(SPEC, key=("event_type",)), dense_rows=20)
+    return stats.select("event_id", "hist_n", *[
+        F.round(c, 6).alias(c) for c in ("hist_median", "hist_mad", "hist_mean_dev")])
+
+
 @query("anomalies_mean", anomaly_sql("mean_dev"), HISTORY)
 def anomalies_mean(spark, sf):
     return flat_anomalies(detector.anomalies(v.v_series(spark, sf), SPEC))
@@ -73,12 +89,17 @@ def bgp_batches(spark, sf):
                     F.array_join(F.transform("elements", lambda e: e["fields"]["prefix"]), " ").alias("prefixes"))
 
 
-@query("bgp_records", """SELECT collector, hour AS time, count(*)::INTEGER AS size,
-    string_agg(prefix, ' ' ORDER BY pos) AS prefixes FROM v_bgp GROUP BY collector, record_type, hour""", "v_bgp")
+@query("bgp_records", """SELECT collector, hour AS time, hour - hour % 7200 AS dump_time, status,
+    CASE WHEN hour % 7200 = 0 THEN 'start' ELSE 'middle' END AS dump_position, count(*)::INTEGER AS size,
+    string_agg(prefix, ' ' ORDER BY pos) AS prefixes FROM v_bgp GROUP BY collector, record_type, hour, status""", "v_bgp")
 def bgp_records(spark, sf):
-    e = bgp.bgp_elements(v.v_bgp(spark, sf, "hour"))
-    r = bgp.bgp_records(e, ("project", "collector", "type", "time"))
-    return r.select("rec.collector", "rec.time", F.size("elements").alias("size"),
+    hour = F.col("time")
+    raw = v.v_bgp(spark, sf, "hour").withColumn("dump_time", hour - hour % 7200).withColumn(
+        "dump_position", F.when(hour % 7200 == 0, "start").otherwise("middle"))
+    record = ("project", "collector", "type", "dump_time", "time", "status", "dump_position")
+    r = bgp.bgp_records(bgp.bgp_elements(raw), record)
+    return r.select("rec.collector", "rec.time", "rec.dump_time", "rec.status", "rec.dump_position",
+                    F.size("elements").alias("size"),
                     F.array_join(F.transform("elements", lambda x: x["fields"]["prefix"]), " ").alias("prefixes"))
 
 

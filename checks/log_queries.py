@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from checks import views as v
 from checks.registry import query
@@ -26,9 +26,18 @@ def log_scan(spark, sf):
     return flat(log.scan_log(v.v_log(spark, sf)))
 
 
-@query("to_log", f"SELECT {COLUMNS} FROM v_log WHERE topic IN ('click', 'view')", "v_log")
+@query("to_log", """SELECT event_type AS topic, printf('%016X', user_id) AS key, event_id, ts AS "timestamp",
+    true AS own_partition, true AS next_offset FROM events""")
 def to_log(spark, sf):
-    return flat(log.scan_log(v.v_log(spark, sf), topic=["click", "view"]))
+    """All topics, keyed. SQL has no CRC, so each row says whether its partition is that of its
+    key and whether its offset follows the one before it in time."""
+    e = v.table(spark, sf, "events")
+    out = log.to_log(e, F.col("event_type"), encode_key(F.col("user_id")), F.col("ts"), F.struct("event_id"), 3,
+                     ties=[F.col("event_id")])
+    place = F.row_number().over(Window.partitionBy("topic", "partition").orderBy("timestamp", "value.event_id")) - 1
+    return out.select("topic", F.hex("key").alias("key"), "value.event_id", "timestamp",
+                      (F.col("partition") == F.crc32("key") % 3).alias("own_partition"),
+                      (F.col("offset") == place).alias("next_offset"))
 
 
 @query("log_scan_range", f"SELECT {COLUMNS} FROM v_log WHERE {IN_RANGE}", "v_log")
@@ -54,6 +63,13 @@ def log_head(spark, sf):
     return flat(log.head(v.v_log(spark, sf), 5))
 
 
+@query("log_head_gaps", f"""SELECT {COLUMNS} FROM v_log WHERE event_id % 4 <> 0
+    QUALIFY row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") <= 5""", "v_log")
+def log_head_gaps(spark, sf):
+    """A compacted log, whose offsets have gaps."""
+    return flat(log.head(v.v_log(spark, sf).where("value.event_id % 4 <> 0"), 5))
+
+
 @query("log_tail", f"""SELECT {COLUMNS} FROM v_log WHERE partition = 1
     QUALIFY row_number() OVER (PARTITION BY topic ORDER BY "offset" DESC) <= 3""", "v_log")
 def log_tail(spark, sf):
@@ -67,6 +83,17 @@ def log_grep(spark, sf):
     return found.select("event_id", "user_id", "value", F.coalesce("tag", F.lit(-1)).alias("tag"), F.hex("key").alias("key"))
 
 
+@query("log_grep_typed", f"""SELECT event_id, user_id, value, event_type AS kind, even FROM (
+        SELECT *, topic AS event_type, event_id % 2 = 0 AS even FROM v_log)
+    WHERE even AND value >= 2 AND value < 3 AND {IN_RANGE}""", "v_log")
+def log_grep_typed(spark, sf):
+    """A boolean, and a number that text would write in another way."""
+    typed = v.v_log(spark, sf).withColumn("value", F.struct(
+        "value.event_id", "value.user_id", "value.value", F.col("topic").alias("kind"),
+        (F.col("value.event_id") % 2 == 0).alias("even"), (F.floor("value.value") * 5e14).alias("scaled")))
+    return log.grep(typed, filters={"even": True, "scaled": 1e15}, start=START, end=END).drop("scaled")
+
+
 @query("log_grep_key", f"""SELECT event_id, user_id, value, coalesce(tag, -1) AS tag FROM v_log WHERE user_id = 7 AND partition = 1
     AND {IN_RANGE}""", "v_log")
 def log_grep_key(spark, sf):
@@ -92,18 +119,27 @@ def log_create_time(spark, sf):
     return flat(log.create_time_only(stamped))
 
 
-@query("log_copy", f"""SELECT 'copied' AS topic, (user_id % 3)::INTEGER AS partition, "offset", key, event_id,
+@query("log_copy", f"""SELECT 'copied' AS topic, (user_id % 3)::INTEGER AS partition,
+    row_number() OVER (PARTITION BY user_id % 3 ORDER BY "offset") - 1 AS "offset", key, event_id,
     "timestamp" FROM v_log WHERE topic = 'error' AND {IN_RANGE}""", "v_log")
 def log_copy(spark, sf):
     source = log.scan_log(v.v_log(spark, sf), topic="error")
     return flat(log.copy_log(source, "copied", start=START, end=END)).drop("value")
 
 
+@query("log_copy_topics", f"""SELECT 'copied' AS topic, partition,
+    row_number() OVER (PARTITION BY partition ORDER BY "offset", topic) - 1 AS "offset", key, event_id, "timestamp"
+    FROM v_log WHERE {IN_RANGE}""", "v_log")
+def log_copy_topics(spark, sf):
+    """All topics copied into one, which has each offset once."""
+    return flat(log.copy_log(v.v_log(spark, sf), "copied", start=START, end=END)).drop("value")
+
+
 @query("log_copy_repartitioned", """SELECT 'copied' AS topic, key, event_id, "timestamp", true AS own_partition,
-    count(*) OVER () AS messages FROM v_log WHERE topic = 'error'""", "v_log")
+    count(*) OVER () AS messages FROM v_log""", "v_log")
 def log_copy_repartitioned(spark, sf):
     """The partition is a CRC of the key; that it is the same for all of a key is checked."""
-    moved = log.copy_log(log.scan_log(v.v_log(spark, sf), topic="error"), "copied", partitions=4)
+    moved = log.copy_log(v.v_log(spark, sf), "copied", partitions=4)
     total = moved.agg(F.count(F.lit(1)).alias("n")).scalar()
     return moved.select(
         "topic", F.hex("key").alias("key"), "value.event_id", "timestamp",
@@ -120,8 +156,9 @@ def log_dump_manifest(spark, sf):
     return log.manifest(error, "error", start=START).drop("config", "replication_factor")
 
 
-@query("log_restore", f"""SELECT 'again' AS topic, partition, "offset", key, event_id, value, "timestamp" FROM v_log
-    WHERE topic = 'view' AND {IN_RANGE}""", "v_log")
+@query("log_restore", f"""SELECT 'again' AS topic, partition,
+    row_number() OVER (PARTITION BY partition ORDER BY "offset") - 1 AS "offset", key, event_id, value, "timestamp"
+    FROM v_log WHERE topic = 'view' AND {IN_RANGE}""", "v_log")
 def log_restore(spark, sf):
     """Dump a topic to files, then restore a time range of it under another name."""
     path = work_dir(spark, "dump")
@@ -129,6 +166,16 @@ def log_restore(spark, sf):
     return flat(files.restore_log(spark, path, topic="again", start=START, end=END))
 
 
+@query("log_restore_topics", f"""SELECT topic, partition,
+    row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") - 1 AS "offset", key, event_id, value,
+    "timestamp" FROM v_log WHERE {IN_RANGE}""", "v_log")
+def log_restore_topics(spark, sf):
+    """Dump all topics, then restore a time range of them under their own names."""
+    path = work_dir(spark, "dump")
+    files.dump_log(v.v_log(spark, sf), path, "all")
+    return flat(files.restore_log(spark, path, start=START, end=END))
+
+
 @query("log_written_scan", f"SELECT {COLUMNS} FROM v_log WHERE topic = 'purchase' AND {IN_RANGE}", "v_log")
 def log_written_scan(spark, sf):
     """Write the log in folders by topic and date, then scan a pruned range."""

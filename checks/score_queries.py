@@ -82,6 +82,56 @@ def asn_register_prefix(spark, sf):
     return dimensions.register_asns(v.v_asn_dim(spark, sf), rows, ["originasn_id", "asn_id"], ashash=False)
 
 
+@query("hegemony_asns", """SELECT number, coalesce(d.name, '') AS name, coalesce(d.tartiflette, false) AS tartiflette,
+    coalesce(d.disco, false) AS disco, coalesce(d.ashash, false) OR s.number IS NOT NULL AS ashash
+    FROM v_asn_dim d FULL JOIN (SELECT originasn_id AS number FROM v_hege_rows WHERE hege <> 0
+        UNION SELECT asn_id FROM v_hege_rows WHERE hege <> 0) s USING (number)""", "v_asn_dim v_hege v_hege_rows")
+def hegemony_asns(spark, sf):
+    rows, _ = scores.as_hegemony(v.v_hege(spark, sf), 4)
+    return scores.registered(rows, v.v_asn_dim(spark, sf))[0]
+
+
+def _prefix_dims(spark, sf):
+    rows = prefix_hegemony(spark, sf)
+    return scores.registered(rows, v.v_asn_dim(spark, sf), countries=v.v_country_dim(spark, sf),
+                             names=v.v_country_names(spark, sf),
+                             special=dimensions.REGION_NAMES | dimensions.UNKNOWN_COUNTRY)
+
+
+@query("prefix_asns", """SELECT number, coalesce(d.name, '') AS name, coalesce(d.tartiflette, false) AS tartiflette,
+    coalesce(d.disco, false) AS disco, coalesce(d.ashash, false) OR s.number IS NOT NULL AS ashash
+    FROM v_asn_dim d FULL JOIN (SELECT originasn_id AS number FROM v_prefix_rows WHERE hege <> 0
+        UNION SELECT asn_id FROM v_prefix_rows WHERE hege <> 0) s USING (number)""", "v_asn_dim v_prefix_rows")
+def prefix_asns(spark, sf):
+    return _prefix_dims(spark, sf)[0]
+
+
+def countries_sql(codes: str, special: str) -> str:
+    return f"""SELECT {cc('n_nationkey')} AS code, n_name AS name, false AS tartiflette, false AS disco,
+        true AS known FROM nation WHERE n_nationkey BETWEEN 5 AND 9
+    UNION ALL SELECT cc, CASE cc {special} ELSE coalesce(n_name, cc) END, false, false,
+        n_name IS NOT NULL OR cc IN ('EU', 'AP', 'ZZ')
+    FROM (SELECT DISTINCT country_id AS cc FROM ({codes})) LEFT JOIN (SELECT {cc('n_nationkey')} AS code, n_name
+        FROM nation WHERE n_nationkey < 20) ON cc = code
+    WHERE cc NOT IN (SELECT {cc('n_nationkey')} FROM nation WHERE n_nationkey BETWEEN 5 AND 9)"""
+
+
+REGIONS = "WHEN 'EU' THEN 'European Union' WHEN 'AP' THEN 'Asia-Pacific'"
+
+
+@query("prefix_countries", countries_sql("SELECT country_id FROM v_prefix_rows JOIN v_prefix_cc USING (prefix) WHERE hege <> 0",
+                                         f"{REGIONS} WHEN 'ZZ' THEN 'Unknown'"), PREFIX_VIEWS)
+def prefix_countries(spark, sf):
+    return _prefix_dims(spark, sf)[1]
+
+
+@query("country_dim", countries_sql("SELECT cc AS country_id FROM v_country WHERE hege <> 0", REGIONS), "v_country")
+def country_dim(spark, sf):
+    rows = scores.country_hegemony(v.v_hege_country(spark, sf), 4)
+    return scores.registered(rows, v.v_asn_dim(spark, sf), ["asn_id"], v.v_country_dim(spark, sf),
+                             v.v_country_names(spark, sf))[1]
+
+
 @query("country_register", f"""SELECT {cc('n_nationkey')} AS code, n_name AS name, false AS tartiflette, false AS disco,
         true AS known FROM nation WHERE n_nationkey BETWEEN 5 AND 9
     UNION ALL SELECT cc, CASE cc WHEN 'EU' THEN 'European Union' WHEN 'AP' THEN 'Asia-Pacific' ELSE

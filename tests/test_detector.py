@@ -129,6 +129,32 @@ def test_stream_equals_batch(spark):
     assert got.count() > 0
 
 
+def test_late_rows_meet_the_history_they_had(spark):
+    """70 hourly rows, one far ahead, then a spike that comes late, and one beyond all patience."""
+    path = work_dir(spark, "test-late")
+    early = series(spark, [(h * HOUR, 1 + h % 3) for h in range(70)])
+    for part in (early, series(spark, [(140 * HOUR, 2)]), series(spark, [(69.5 * HOUR, 50)]),
+                 series(spark, [(20.5 * HOUR, 50)])):
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = runs.read_files(spark, path, early.schema, files_per_trigger=1)
+    got = runs.drain(streamed.anomalies_stream(stream, SPEC, late_seconds=72 * 3600))
+    want = anomalies(spark.read.parquet(path), SPEC).where(F.col("timestamp") > T0 + timedelta(hours=21))
+    flat = ["timestamp", F.round("deviation", 6)]
+    assert rows(got, *flat) == rows(want, *flat) and got.count() == 1
+
+
+def test_idle_keys_are_freed(spark):
+    path = work_dir(spark, "test-idle")
+    for key, hour in (("a", 0), ("b", 100), ("b", 200), ("b", 300)):
+        series(spark, [(hour * HOUR, 1), (hour * HOUR + 1, 1)], key).coalesce(1).write.mode("append").parquet(path)
+    stream = runs.read_files(spark, path, series(spark, []).schema, files_per_trigger=1)
+    query = runs.start(streamed.anomalies_stream(stream, SPEC), work_dir(spark, "test-idle-out"))
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
+    assert sum(m.get("numDeletedStateVars", 0) + m.get("numRemovedStateVars", 0) for m in kept) >= 0
+    assert sum(m["timerNumExpired"] if "timerNumExpired" in m else m.get("numExpiredTimers", 0) for m in kept) >= 1
+
+
 def test_index_equals_lists_with_ties_and_nulls(spark):
     random.seed(11)
     data = [("ab"[i % 2], T0 + timedelta(hours=random.randrange(300)), random.choice([None, 1.0, 2.0, random.random()]), i)
@@ -141,6 +167,24 @@ def test_index_equals_lists_with_ties_and_nulls(spark):
         assert rows(lists, *columns) == rows(index, *columns)
 
 
+def test_huge_and_odd_values_give_one_answer_either_way(spark):
+    """A huge value that has left the history, and values that are no numbers, in lists and index."""
+    random.seed(5)
+    values = [random.random() for _ in range(260)]
+    values[3], values[40], values[41], values[42], values[43] = 1e16, None, float("nan"), float("inf"), -float("inf")
+    data = [("a", T0 + timedelta(hours=i), v, i) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "k string, timestamp timestamp, v double, i int")
+    lists, index = (sorted(rolling_mad(df, SPEC, dense_rows=n).select(
+        "i", "hist_n", "hist_median", "hist_mad", "hist_mean_dev").collect()) for n in (20_000, 1))
+    assert [tuple(r)[:2] for r in lists] == [tuple(r)[:2] for r in index]
+    for a, b in zip(lists, index):
+        assert tuple(a)[2:] == pytest.approx(tuple(b)[2:], rel=1e-9)
+    for r in index:
+        past = [v for v in values[max(0, r.i - 72):r.i] if v is not None and abs(v) < float("inf")]
+        middle = statistics.median(past)
+        assert (r.hist_n, r.hist_mean_dev) == (len(past), pytest.approx(statistics.fmean(abs(v - middle) for v in past), rel=1e-9))
+
+
 def test_a_hot_key_is_not_quadratic(spark):
     """60,000 rows of one key inside one history."""
     df = spark.range(60_000).select(
@@ -160,7 +204,8 @@ def test_stream_index_equals_row_by_row(monkeypatch, metric):
 
     rng = np.random.default_rng(3)
     us = np.sort(rng.integers(0, 400 * 3600 * 10**6, 500))
-    values = rng.choice([np.nan, 1.0, 2.0, 7.5, 100.0], 500)
+    values = rng.choice([np.nan, np.inf, 1.0, 2.0, 7.5, 100.0], 500)
+    values[4] = 1e16
     spec = replace(SPEC, dev_metric=metric)
     plain = streamed.deviations(us, values, spec)
     monkeypatch.setattr(streamed, "INDEXED_ROWS", 1)

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.functions import encode_key
+from tidemark.functions.clock import from_epoch_s
 from tidemark.operators import log
+from tidemark.schemas import LOG
 from tidemark.session import work_dir
 from tidemark.sources import files
 
@@ -123,3 +125,45 @@ def test_guarded_replace(spark, lost, which):
     old = spark.range(5000).select("id", F.lit("old").alias("w"))
     new = spark.range(5000 - lost).select("id", F.lit("new").alias("w"))
     assert {r.w for r in log.replace_if_not_shrunk(new, old).select("w").distinct().collect()} == {which}
+
+
+def log_rows(spark, kind, values):
+    """A log of one partition whose values are ``values`` of SQL type ``kind``."""
+    return spark.createDataFrame(
+        [("t", 0, i, None, v, T0 + timedelta(minutes=i), 0, None) for i, v in enumerate(values)],
+        LOG.format(value=kind))
+
+
+def test_grep_compares_in_the_fields_type(spark):
+    rows_ = log_rows(spark, "struct<ok: boolean, x: double, s: string>",
+                   [(True, 1e15, "1"), (False, 2.5, "True"), (None, None, None)])
+    def found(**filters):
+        return sorted(r.offset for r in log.grep(rows_, filters=filters, meta=True).select("offset").collect())
+    assert found(ok=True) == [0, 2]
+    assert found(x=1e15) == [0, 2] and found(x="2.50") == [1, 2]
+    assert found(s=1) == [0, 2] and found(s="True") == [1, 2]
+    assert found(x="no number") == [2] and found(absent=3) == [0, 1, 2]
+
+
+def test_grep_takes_text_values(spark):
+    assert [r.value for r in log.grep(log_rows(spark, "string", ["a", "b"]), filters={"x": 1}).collect()] == ["a", "b"]
+
+
+def test_head_and_tail_of_logs_with_gaps(spark):
+    rows_ = log_rows(spark, "string", list("abcdefghij")).where("offset not in (1, 2, 3, 8)")
+    assert sorted(r.offset for r in log.head(rows_, 3).collect()) == [0, 4, 5]
+    assert sorted(r.offset for r in log.tail(rows_, 3).collect()) == [6, 7, 9]
+
+
+def test_copies_have_offsets_of_their_own(spark):
+    one = log_rows(spark, "string", list("abcdef"))
+    both = one.unionByName(one.withColumn("topic", F.lit("u")))
+    for moved in (log.copy_log(both, "new"), log.restored(both, "new")):
+        assert sorted(r.offset for r in moved.collect()) == list(range(12))
+    late = log.copy_log(one, "new", start=T0 + timedelta(minutes=4))
+    assert sorted((r.offset, r.value) for r in late.collect()) == [(0, "e"), (1, "f")]
+
+
+def test_times_out_of_range_are_null(spark):
+    df = spark.createDataFrame([(0,), (10**18,), (None,)], "s long")
+    assert [r[0] is None for r in df.select(from_epoch_s(F.col("s"))).collect()] == [False, True, True]

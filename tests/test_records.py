@@ -49,10 +49,11 @@ def test_element_fields(spark):
     assert elements(spark, [1]).collect()[0].project == "ris"
 
 
-def test_large_records_come_in_parts(spark):
-    got = bgp.bgp_records(elements(spark, [1] * 25), ("collector", "time"), max_elements=10).orderBy("part").collect()
-    assert [(r.part, len(r.elements)) for r in got] == [(0, 10), (1, 10), (2, 5)]
-    assert [e.fields.prefix for r in got for e in r.elements] == [f"x{i}" for i in range(25)]
+def test_records_are_whole_and_keep_their_fields(spark):
+    raw = elements(spark, [1] * 25).withColumn("status", F.lit("valid")).withColumn("dump_position", F.lit("start"))
+    got = bgp.bgp_records(raw, ("collector", "time", "status", "dump_position")).collect()
+    assert len(got) == 1 and (got[0].rec.status, got[0].rec.dump_position) == ("valid", "start")
+    assert [e.fields.prefix for e in got[0].elements] == [f"x{i}" for i in range(25)]
 
 
 def test_exchange_rejects(spark):

@@ -12,8 +12,12 @@ ARGUMENT_FORMAT = "yyyy-M-d'T'H:m"
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm"
 
 
+MAX_EPOCH_S = 9_223_372_036_854  # Fixed value: the last second whose microseconds fit a BIGINT.
+
+
 def from_epoch_s(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+    """The timestamp of epoch seconds; null where it is out of range."""
+    return F.when(seconds.between(-MAX_EPOCH_S, MAX_EPOCH_S), F.timestamp_seconds(seconds))
 
 
 def epoch_s(ts: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.numbering import earlier_buckets, numbered
+from tidemark.operators.numbering import earlier_buckets
 
 ELEMENTS_PER_RECORD = 20  # Fixed value: elements in one batched record.
 POSITIONS_PER_BUCKET = 100_000
@@ -25,8 +25,12 @@ def element(df: DataFrame) -> Column:
 
 
 def bgp_elements(df: DataFrame) -> DataFrame:
-    """Normalised elements with their project, collector, record type and position."""
+    """Normalised elements with their project, collector, record type and position.
+
+    ``dump_time``, ``status`` and ``dump_position`` of the record are carried along if given.
+    """
     return df.select(
+        *[c for c in ("dump_time", "status", "dump_position") if c in df.columns],
         F.when(F.col("collector").contains("rrc"), "ris").otherwise("routeviews").alias("project"),
         "collector",
         F.when(F.col("record_type") == "updates", "update").otherwise("rib").alias("type"),
@@ -78,20 +82,16 @@ def batch_records(elements: DataFrame, size: int = ELEMENTS_PER_RECORD,
     )
 
 
-def bgp_records(elements: DataFrame, record: tuple[str, ...], max_elements: int = 10_000) -> DataFrame:
-    """Records as they were delivered, with all of their elements.
+def bgp_records(elements: DataFrame, record: tuple[str, ...]) -> DataFrame:
+    """Records as they were delivered, each one row with all of its elements.
 
-    ``record`` names the columns that identify a record. One with more than
-    ``max_elements`` elements comes in several parts, numbered from 0, so that no task
-    gathers a group of any size.
+    ``record`` names the columns that identify a record. ``batch_records`` makes records of
+    bounded size where the delivered ones may be too large for a row.
     """
-    placed = numbered(elements, list(record), F.floor(F.col("pos") / F.lit(POSITIONS_PER_BUCKET)), ["pos"], "_at")
     return (
-        placed.withColumn("part", F.floor(F.col("_at") / F.lit(max_elements)).cast("int"))
-        .groupBy(*record, "part")
+        elements.groupBy(*record)
         .agg(F.sort_array(F.collect_list(F.struct("pos", "element"))).alias("_e"))
-        .select(F.struct(*record).alias("rec"), "part",
-                F.transform("_e", lambda e: e.getField("element")).alias("elements"))
+        .select(F.struct(*record).alias("rec"), F.transform("_e", lambda e: e.getField("element")).alias("elements"))
     )
 
 

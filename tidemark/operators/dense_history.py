@@ -11,30 +11,59 @@ import numpy as np
 import pyarrow as pa
 
 
+class Sums:
+    """Sums of stretches, added up from pair sums inside them.
+
+    Differences of running sums would let a huge value outside a stretch spoil its sum.
+    """
+
+    def __init__(self, values: np.ndarray):
+        self.levels = [values.astype("float64")]
+        while len(self.levels[-1]) > 1:
+            below = self.levels[-1]
+            self.levels.append(np.concatenate([below, np.zeros(len(below) % 2)]).reshape(-1, 2).sum(axis=1))
+
+    def of(self, lo, hi):
+        lo, hi, total = lo.copy(), hi.copy(), np.zeros(len(lo))
+        for level in self.levels:
+            padded = np.append(level, 0.0)
+            left, right = (lo < hi) & (lo % 2 == 1), (lo < hi) & (hi % 2 == 1)
+            total += np.where(left, padded[np.minimum(lo, len(level))], 0.0)
+            lo = (lo + left) // 2
+            total += np.where(right, padded[np.maximum(hi - 1, 0)], 0.0)
+            hi = hi // 2
+        return total
+
+
 class Ranges:
-    """Order statistics of any stretch ``values[lo:hi]``, for arrays of stretches."""
+    """Order statistics of any stretch ``values[lo:hi]``, for arrays of stretches.
+
+    Sums are of distances from a value in the middle of all, ``centre``, which are smaller.
+    """
 
     def __init__(self, values: np.ndarray):
         order = np.argsort(values, kind="stable")
         self.sorted = values[order]
-        self.running = np.concatenate([[0.0], np.cumsum(values)])
+        self.centre = self.sorted[len(values) // 2]
+        self.sums = Sums(values - self.centre)
         rank = np.empty(len(values), dtype=np.int64)
         rank[order] = np.arange(len(values))
-        self.levels = []
+        self.levels, self.upper = [], {}
         for bit in reversed(range(max(1, int(len(values) - 1).bit_length()))):
             low = (rank >> bit) & 1 == 0
             before = np.concatenate([[0], np.cumsum(low)])
-            sums = np.concatenate([[0.0], np.cumsum(np.where(low, self.sorted[rank], 0.0))])
-            self.levels.append((bit, before, sums))
+            self.levels.append((bit, before, Sums(np.where(low, self.sorted[rank] - self.centre, 0.0))))
             rank = np.concatenate([rank[low], rank[~low]])
+            self.upper[bit] = Sums(self.sorted[rank] - self.centre)
+        self.bottom = Sums(self.sorted[rank] - self.centre)
 
     def kth(self, lo, hi, k):
-        """The value with ``k`` smaller ones before it in its stretch, and the sum of those."""
+        """The value with ``k`` smaller ones before it in its stretch, and the sum of those from the centre."""
         rank, below = np.zeros(len(lo), dtype=np.int64), np.zeros(len(lo))
         for bit, before, sums in self.levels:
             from_low, to_low = before[lo], before[hi]
             high = k >= to_low - from_low
-            below += np.where(high, sums[hi] - sums[lo], 0.0)
+            below += np.where(high, sums.of(lo, hi), 0.0)
             k = np.where(high, k - (to_low - from_low), k)
             rank |= high.astype(np.int64) << bit
             lo = np.where(high, before[-1] + lo - from_low, from_low)
@@ -49,9 +78,24 @@ class Ranges:
         n = hi - lo
         half = (n + 1) // 2
         last, below = self.kth(lo, hi, half - 1)
-        low = below + last
-        high = self.running[hi] - self.running[lo] - low
-        return (median * half - low + high - median * (n - half)) / n
+        middle = median - self.centre
+        upper = self.kth_above(lo, hi, half)
+        return (middle * half - (below + last - self.centre) + upper - middle * (n - half)) / n
+
+    def kth_above(self, lo, hi, k):
+        """The sum, from the centre, of what follows the ``k`` smallest values of each stretch."""
+        above = np.zeros(len(lo))
+        none = k >= hi - lo
+        k = np.where(none, 0, k)
+        for bit, before, sums in self.levels:
+            from_low, to_low = before[lo], before[hi]
+            high = k >= to_low - from_low
+            up = before[-1] + lo - from_low, before[-1] + hi - to_low
+            above += np.where(high, 0.0, self.upper[bit].of(*up))
+            k = np.where(high, k - (to_low - from_low), k)
+            lo, hi = np.where(high, up[0], from_low), np.where(high, up[1], to_low)
+        # equal values remain, of which those from the k-th on count
+        return np.where(none, 0.0, above + self.bottom.of(lo + k, np.maximum(hi, lo + k)))
 
     def kth_dev(self, lo, hi, median, k):
         """The ``k``-th smallest distance from the median.
@@ -84,7 +128,7 @@ def block_stats(block: pa.Table, span: int, min_samples: float, ties: list[str])
     block = block.sort_by([("_us", "ascending"), *[(t, "ascending") for t in ties]])
     us = block["_us"].to_numpy()
     values = block["_value"].to_numpy(zero_copy_only=False).astype("float64")
-    known = ~np.isnan(values)
+    known = np.isfinite(values)
     lo = np.searchsorted(us[known], us - span, side="left")
     # The rows before a row: all earlier times, and with an order those before it at its own.
     hi = np.cumsum(known) - known if ties else np.searchsorted(us[known], us, side="left")

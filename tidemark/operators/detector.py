@@ -46,6 +46,11 @@ SCORE_DETECTOR_V6 = SCORE_DETECTOR
 DELAY_DETECTOR = DetectorSpec(key=("startpoint", "endpoint"), value="median", min_dev=1.0, granularity_min=30.0)
 
 
+def _finite(value: Column) -> Column:
+    """The value, or null where it is no number or infinite; such values are in no history."""
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+
+
 def _placed(df: DataFrame, spec: DetectorSpec, ts: str, order: Sequence[str], blocks: int) -> DataFrame:
     """Rows with their key, time and value beside them, in the block they belong to.
 
@@ -61,7 +66,7 @@ def _placed(df: DataFrame, spec: DetectorSpec, ts: str, order: Sequence[str], bl
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(spec.key)],
         *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
         us.alias("_us"),
-        F.col(spec.value).cast("double").alias("_value"),
+        _finite(F.col(spec.value).cast("double")).alias("_value"),
         F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
         F.explode(F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block))).alias("_block"),
         block.alias("_home"),
@@ -87,7 +92,7 @@ def _listed(placed: DataFrame, spec: DetectorSpec, order: Sequence[str]) -> Data
 
 def with_history(df: DataFrame, spec: DetectorSpec, ts: str = "timestamp",
                  order: Sequence[str] = (), blocks: int = 2) -> DataFrame:
-    """Add ``history``: the key's values in the hours before the row.
+    """Add ``history``: the key's finite values in the hours before the row.
 
     Rows of one timestamp are not in each other's history, unless ``order`` says which
     of them came first.

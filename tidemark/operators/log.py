@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DataType, StringType, StructType
 
 from tidemark.functions.clock import file_stamp
 from tidemark.operators.numbering import numbered
-from tidemark.session import small_side
 
 CREATE_TIME = 0  # Fixed value: the timestamp type of messages stamped by their producer.
 LOG_COLUMNS = ["topic", "partition", "offset", "key", "value", "timestamp", "timestampType", "headers"]
 TIES_PER_SLICE = 1_000_000
+OFFSETS_PER_SLICE = 1_000_000
 HEADERS = "array<struct<key:string,value:binary>>"
 
 
@@ -83,28 +84,31 @@ def describe(log: DataFrame) -> DataFrame:
     return log.groupBy("topic").agg(F.count_distinct("partition").alias("partitions"))
 
 
-def _with_offsets(log: DataFrame) -> DataFrame:
-    return log.join(small_side(offsets(log)), ["topic", "partition"])
+def _first(log: DataFrame, n: int, order: Column) -> DataFrame:
+    """The first ``n`` messages of every log partition; each task passes on its own first ``n``."""
+    if n <= 0:
+        raise ValueError("n must be positive")
+    place = F.row_number().over(Window.partitionBy("topic", "partition").orderBy(order))
+    return log.withColumn("_place", place).where(F.col("_place") <= n).select(*log.columns)
 
 
 def head(log: DataFrame, n: int = 1) -> DataFrame:
-    """The first ``n`` messages of every log partition.
-
-    Offsets are dense, so this is a filter against the low watermark: no sort and no
-    shuffle of the messages.
-    """
-    if n <= 0:
-        raise ValueError("n must be positive")
-    return _with_offsets(log).where(F.col("offset") < F.col("low") + n).select(*log.columns)
+    """The first ``n`` messages of every log partition, whatever gaps its offsets have."""
+    return _first(log, n, F.col("offset").asc())
 
 
 def tail(log: DataFrame, n: int = 1, partition: int | None = 0) -> DataFrame:
     """The last ``n`` messages of one partition of each topic, or of all with ``None``."""
-    if n <= 0:
-        raise ValueError("n must be positive")
     if partition is not None:
         log = log.where(F.col("partition") == partition)
-    return _with_offsets(log).where(F.col("offset") >= F.col("high") - n).select(*log.columns)
+    return _first(log, n, F.col("offset").desc())
+
+
+def _equals(field: Column, kind: DataType, wanted: object) -> Column:
+    """Whether a field equals a value in the field's own type; text is compared as text."""
+    if isinstance(kind, StringType):
+        return field == F.lit(str(wanted))
+    return F.coalesce(field == F.lit(wanted).try_cast(kind), F.lit(False))
 
 
 def grep(log: DataFrame, key: Column | None = None, filters: Mapping[str, object] | None = None,
@@ -112,24 +116,27 @@ def grep(log: DataFrame, key: Column | None = None, filters: Mapping[str, object
          meta: bool = False) -> DataFrame:
     """Messages by partition, key, time and field values.
 
-    A field filter compares text, and a message without the field passes. With ``n`` the
-    first messages by time are kept, ties broken by topic, partition and offset.
+    A field filter compares in the field's type, and a message without the field passes;
+    so do all where values are plain text. With ``n`` the first messages by time are kept,
+    ties broken by topic, partition and offset.
     """
     found = create_time_only(scan_log(log, start=start, end=end, at=at))
     if partition is not None:
         found = found.where(F.col("partition") == partition)
     if key is not None:
         found = found.where(F.col("key") == key)
-    fields = log.schema["value"].dataType.fieldNames()
+    kind = log.schema["value"].dataType
+    fields = {f.name: f.dataType for f in kind} if isinstance(kind, StructType) else {}
     for name, wanted in (filters or {}).items():
         if name in fields:
             field = F.col("value").getField(name)
-            found = found.where(field.isNull() | (field.cast("string") == F.lit(str(wanted))))
+            found = found.where(field.isNull() | _equals(field, fields[name], wanted))
+    values = "value.*" if fields else "value"
     if n is not None:
         found = found.orderBy("timestamp", "topic", "partition", "offset").limit(n)
     if not meta:
-        return found.select("value.*")
-    return found.select("key", "timestamp", "topic", "partition", "offset", "headers", "value.*")
+        return found.select(values)
+    return found.select("key", "timestamp", "topic", "partition", "offset", "headers", values)
 
 
 def to_log(df: DataFrame, topic: Column | str, key: Column | None, ts: Column, value: Column, n: int,
@@ -173,15 +180,24 @@ def to_log(df: DataFrame, topic: Column | str, key: Column | None, ts: Column, v
         F.lit(CREATE_TIME).alias("timestampType"), F.lit(None).cast(HEADERS).alias("headers"))
 
 
+def _rebased(log: DataFrame) -> DataFrame:
+    """Offsets from 0 on in every log partition, in the order of the old ones and ``_source``."""
+    place = numbered(log, ["topic", "partition"], F.floor(F.col("offset") / F.lit(OFFSETS_PER_SLICE)),
+                     ["offset", "_source"], "_at")
+    return place.withColumn("offset", F.col("_at")).drop("_at")
+
+
 def copy_log(log: DataFrame, topic: str, start=None, end=None, partitions: int | None = None) -> DataFrame:
     """Messages under another topic name, with keys, values and timestamps kept.
 
-    With a new partition count, partitions and offsets are assigned afresh; messages of
-    one timestamp keep the order of their old partition and offset.
+    The copy is a fresh log, so offsets start at 0 and have no gaps. Without a new partition
+    count a message keeps its partition and its place there; of several topics that are
+    copied into one, messages stand by their old offset. With one, partitions are assigned
+    afresh as well; messages of one timestamp keep the order of their old partition and offset.
     """
     moved = create_time_only(scan_log(log, start=start, end=end))
     if partitions is None:
-        return moved.withColumn("topic", F.lit(topic))
+        return _rebased(moved.withColumn("_source", F.col("topic")).withColumn("topic", F.lit(topic))).drop("_source")
     return to_log(moved, topic, F.col("key"), F.col("timestamp"), F.col("value"), partitions,
                   ties=[F.col("topic"), F.col("partition"), F.col("offset")])
 
@@ -211,13 +227,14 @@ def manifest(log: DataFrame, name: str, start=None, end=None, at=None, config: M
 
 def restored(messages: DataFrame, topic: str | None = None, start=None, end=None,
              partitions: int | None = None) -> DataFrame:
-    """Messages of a dump with its overrides applied."""
+    """Messages of a dump with its overrides applied, as a fresh log whose offsets start at 0."""
     kept = in_range(messages, "timestamp", start, end)
     if partitions is not None:
         return copy_log(kept, topic, partitions=partitions) if topic else to_log(
             kept, F.col("topic"), F.col("key"), F.col("timestamp"), F.col("value"), partitions,
             ties=[F.col("partition"), F.col("offset")])
-    return kept.withColumn("topic", F.lit(topic)) if topic else kept
+    kept = kept.withColumn("_source", F.col("topic"))
+    return _rebased(kept.withColumn("topic", F.lit(topic)) if topic else kept).drop("_source")
 
 
 def replace_if_not_shrunk(new: DataFrame, old: DataFrame, tolerance: int = 4000) -> DataFrame:

@@ -10,10 +10,15 @@ EARTH_RADIUS_KM = 6371.0
 NEAR_KM = 50.0
 
 
-def latest_snapshot(df: DataFrame, ids: str, order: str = "offset") -> DataFrame:
-    """The last record of each id by ``order``."""
+def latest_snapshot(df: DataFrame, ids: str,
+                    order: Sequence[str] = ("timestamp", "partition", "offset")) -> DataFrame:
+    """The last record of each id by those columns of ``order`` that there are.
+
+    Offsets alone are no order across partitions.
+    """
     rest = [c for c in df.columns if c != ids]
-    return df.groupBy(ids).agg(F.max_by(F.struct(*rest), order).alias("_last")).select(ids, "_last.*")
+    by = F.struct(*[c for c in order if c in df.columns])
+    return df.groupBy(ids).agg(F.max_by(F.struct(*rest), by).alias("_last")).select(ids, "_last.*")
 
 
 def probe_defaults(df: DataFrame) -> DataFrame:

@@ -28,6 +28,21 @@ def as_hegemony(df: DataFrame, af: int, start: int | None = None, end: int | Non
     return stored, hegemony.cone(rows, af)
 
 
+def registered(rows: DataFrame, asns: DataFrame, columns: Sequence[str] = ("originasn_id", "asn_id"),
+               countries: DataFrame | None = None, names: DataFrame | None = None,
+               special: Mapping[str, str] = dimensions.REGION_NAMES) -> tuple[DataFrame, DataFrame | None]:
+    """``(asns, countries)``: the dimensions with all that score rows refer to.
+
+    Without ``countries`` only AS numbers are registered. Prefix scores take
+    ``dimensions.UNKNOWN_COUNTRY`` as a further ``special`` name.
+    """
+    numbers = dimensions.register_asns(asns, rows, list(columns))
+    if countries is None:
+        return numbers, None
+    codes = rows.select(F.col("country_id").alias("code"))
+    return numbers, dimensions.register_countries(countries, codes, names, special)
+
+
 def prefix_rows(df: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
     """One typed row per origin of a prefix score, zero scores included."""
     scope = split_scope(F.col("scope"))

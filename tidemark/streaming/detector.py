@@ -24,7 +24,7 @@ def deviations(us: np.ndarray, values: np.ndarray, spec: DetectorSpec) -> np.nda
     Long runs are answered together from an index, short ones row by row.
     """
     out = np.full(len(us), np.nan)
-    known = ~np.isnan(values)
+    known = np.isfinite(values)
     past_us, past = us[known], values[known]
     low = np.searchsorted(past_us, us - spec.history_us, side="left")
     high = np.searchsorted(past_us, us, side="left")
@@ -53,10 +53,12 @@ def deviations(us: np.ndarray, values: np.ndarray, spec: DetectorSpec) -> np.nda
 class KeyHistory(StatefulProcessor):
     """Keeps the values of the last hours per key and reports rows beyond the threshold."""
 
-    def __init__(self, spec: DetectorSpec):
+    def __init__(self, spec: DetectorSpec, late_seconds: int):
         self.spec = spec
+        self.kept_us = spec.history_us + late_seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.history = handle.getListState("history", HISTORY)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -73,29 +75,42 @@ class KeyHistory(StatefulProcessor):
         is_new = order >= len(old)
         us, values = us[order], values[order]
         deviation = deviations(us, values, self.spec)[is_new]
-        recent = (us >= us[-1] - self.spec.history_us) & ~np.isnan(values)
+        recent = (us >= us[-1] - self.kept_us) & np.isfinite(values)
         self.history.put([(int(t), float(v)) for t, v in zip(us[recent], values[recent])])
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(int(us[-1] + self.kept_us) // 1000 + 1)
         fresh = fresh.assign(deviation=deviation)
         found = fresh[fresh["deviation"].abs() > self.spec.threshold]
         if len(found):
             yield found.drop(columns=["event_us", "event_value"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """No row to come can have this key's rows in its history."""
+        self.history.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
-def anomalies_stream(stream: DataFrame, spec: DetectorSpec, ts: str = "timestamp") -> DataFrame:
+def anomalies_stream(stream: DataFrame, spec: DetectorSpec, ts: str = "timestamp",
+                     late_seconds: int = 3600) -> DataFrame:
     """``(timestamp, datapoint, deviation)`` for a stream of rows.
 
     Rows of a micro-batch are taken in event-time order, so a stream read in time order
-    gives what ``operators.detector.anomalies`` gives. Limit the source's batch size to
-    bound what one key gathers at a time.
+    gives what ``operators.detector.anomalies`` gives. A row that is late by up to
+    ``late_seconds`` meets the history it would have had in time; later ones are dropped and
+    counted by Spark (``numRowsDroppedByWatermark``). A key's state goes when no row to come
+    can need it. Limit the source's batch size to bound what one key gathers at a time.
     """
     use_rocksdb(stream.sparkSession)
+    stream = stream.withWatermark(ts, f"{late_seconds} seconds")
     timed = stream.withColumn("event_us", F.unix_micros(ts)).withColumn("event_value", F.col(spec.value).cast("double"))
     fields = [f for f in stream.schema.fields]
     out = StructType([*fields, StructField("deviation", DoubleType())])
     found = timed.groupBy(*spec.key).transformWithStateInPandas(
-        statefulProcessor=KeyHistory(spec), outputStructType=out, outputMode="append", timeMode="none")
+        statefulProcessor=KeyHistory(spec, late_seconds), outputStructType=out, outputMode="append",
+        timeMode="EventTime")
     return found.select(
         F.col(ts).alias("timestamp"), F.struct(*stream.columns).alias("datapoint"), "deviation")
