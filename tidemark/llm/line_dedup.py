@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import table, written
 
-#: Letters whose counts are compared before two lines meet; each edit changes two at most by one.
-COUNTED = "eant"
+#: Letters whose counts are compared before two lines meet, and before they are verified; an edit
+#: changes two counts at most, by one each.
+COUNTED, MORE_COUNTED = "eant", "abcdefghijklmnopqrstuvwxyzABDEILST .,|$#*%&!0123456789"
 
 
 def segment(length: Column, i: int, k: int) -> tuple[Column, Column]:
@@ -37,23 +38,29 @@ def probes(k: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def edit_distance(k: int, a: str = "a_", b: str = "b_") -> Column:
-    """Edits between two arrays of characters, ``b`` at most ``k`` shorter than ``a`` and not longer:
-    exact up to ``k``, more than ``k`` beyond it. ``a`` has more than ``2 k`` characters.
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` uses it."""
+    return F.transform(F.array(value), then)[0]
+
+
+def edit_distance(long: Column, short: Column, k: int) -> Column:
+    """Edits between two texts, ``short`` at most ``k`` characters shorter than ``long`` and not
+    longer: exact up to ``k``, more than ``k`` beyond it. ``long`` has more than ``2 k`` characters.
 
     Column by column of the table of distances, ``2 k + 1`` bits keep which vertical steps
     around the diagonal rise or fall, the highest bit for the lowest row. While the band moves
     down, the distance follows that row; once it has met the end of ``a``, it follows the
     last row as that climbs through the band.
     """
+    return let(F.split(long, ""), lambda a: let(F.split(short, ""), lambda b: _banded(a, b, k)))
+
+
+def _banded(a: Column, b: Column, k: int) -> Column:
+    """``edit_distance`` of two arrays of characters."""
     width = 2 * k + 1
     full = (1 << width) - 1
     met = F.size(a) - k  # from this column on the band holds the last row
 
-    def let(value: Column, then: Callable[[Column], Column]) -> Column:
-        """A name for a value that is used more than once."""
-        return F.transform(F.array(value), then)[0]
-
     def no(value: Column) -> Column:
         return value.bitwiseXOR(F.lit(full))
 
@@ -80,10 +87,13 @@ def edit_distance(k: int, a: str = "a_", b: str = "b_") -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(b) - 1), begin, step, lambda s: s["d"])
 
 
+def count_of(line: Column, letter: str) -> Column:
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+
+
 def letter_counts(line: Column) -> Column:
     """Counts of a few letters, modulo 256, in one integer."""
-    return sum((F.shiftleft(F.pmod(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(256)), 8 * i)
-                for i, c in enumerate(COUNTED)), F.lit(0))
+    return sum((F.shiftleft(F.pmod(count_of(line, c), F.lit(256)), 8 * i) for i, c in enumerate(COUNTED)), F.lit(0))
 
 
 def count_difference(a: Column, b: Column) -> Column:
@@ -106,7 +116,6 @@ def candidates(lines: DataFrame, k: int, least: int) -> DataFrame:
     for less, i, shift in probes(k):
         start, length = segment(size - less, i, k)
         probe.append(F.when(size - less >= least, key(i, size - less, start + shift, length)))
-    lines = lines.withColumn("counts", letter_counts(F.col("line")))
     held = lines.select(F.col("id").alias("a"), F.col("counts").alias("a_counts"), F.explode(F.array(*index)).alias("key"))
     asked = lines.select(F.col("id").alias("b"), F.col("counts").alias("b_counts"),
                          F.explode(F.filter(F.array(*probe), lambda x: x.isNotNull())).alias("key"))
@@ -118,7 +127,7 @@ def candidates(lines: DataFrame, k: int, least: int) -> DataFrame:
 def near_repeats(lines: DataFrame, k: int, least: int, broadcast_rows: int = 500_000) -> DataFrame:
     """``id`` of each line that lies within ``k`` edits of a line that comes before it.
 
-    ``lines`` has ``id, line, size, place``. Few lines are candidates; their identifiers are
+    ``lines`` has ``id, line, size, counts, place``. Few lines are candidates; their identifiers are
     broadcast if there are at most ``broadcast_rows`` of them, and else joined by a shuffle.
     """
     lines = lines.where(F.col("size") >= least)
@@ -132,8 +141,8 @@ def near_repeats(lines: DataFrame, k: int, least: int, broadcast_rows: int = 500
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select(
         F.greatest("a_line", "b_line").alias("long"), F.least("a_line", "b_line").alias("short"))
-    both = both.withColumn("a_", F.split("long.line", "")).withColumn("b_", F.split("short.line", ""))
-    near = both.where(edit_distance(k) <= k)
+    differ = sum((F.abs(count_of(F.col("long.line"), c) - count_of(F.col("short.line"), c)) for c in MORE_COUNTED), F.lit(0))
+    near = both.where(differ <= 2 * k).where(edit_distance(F.col("long.line"), F.col("short.line"), k) <= k)
     later = F.struct("long.place", "long.line") > F.struct("short.place", "short.line")
     return near.select(F.when(later, F.col("long.id")).otherwise(F.col("short.id")).alias("id")).distinct()
 
@@ -156,7 +165,7 @@ def kept_lines(docs: DataFrame, k: int = 2, least: int = 30) -> DataFrame:
     place = F.col("doc_key").cast("decimal(20,0)") * F.lit(SPAN).cast("decimal(11,0)") + F.col("pos").cast("decimal(10,0)")
     lines = numbered.groupBy("line").agg(F.min(place.cast("decimal(38,0)")).alias("place"))
     lines = written(lines.select(F.monotonically_increasing_id().alias("id"), "line", F.length("line").alias("size"),
-                                 "place"), "lines")
+                                 letter_counts(F.col("line")).alias("counts"), "place"), "lines")
     gone = written(near_repeats(lines, k, least), "near-lines")
     stay = lines.select("id", "place").join(gone, "id", "left_anti")
     pos = F.pmod(F.col("place"), F.lit(SPAN).cast("decimal(11,0)")).cast("int")
