@@ -17,7 +17,7 @@ from tidemark.llm.common import table, written
 
 #: Letters whose counts are compared before two lines meet, and before they are verified; an edit
 #: changes two counts at most, by one each.
-COUNTED, MORE_COUNTED = "eant", "abcdefghijklmnopqrstuvwxyzABDEILST .,|$#*%&!0123456789"
+COUNTED, MORE_COUNTED = "en", "abcdefghijklmnopqrstuvwxyzABDEILST .,|$#*%&!0123456789"
 
 
 def segment(length: Column, i: int, k: int) -> tuple[Column, Column]:
@@ -118,7 +118,7 @@ def candidates(lines: DataFrame, k: int, least: int) -> DataFrame:
         probe.append(F.when(size - less >= least, key(i, size - less, start + shift, length)))
     held = lines.select(F.col("id").alias("a"), F.col("counts").alias("a_counts"), F.explode(F.array(*index)).alias("key"))
     asked = lines.select(F.col("id").alias("b"), F.col("counts").alias("b_counts"),
-                         F.explode(F.filter(F.array(*probe), lambda x: x.isNotNull())).alias("key"))
+                         F.explode(F.array(*probe)).alias("key")).where("key IS NOT NULL")
     met = held.join(asked, "key").where((F.col("a") != F.col("b")) & (
         count_difference(F.col("a_counts"), F.col("b_counts")) <= 2 * k))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
