@@ -138,7 +138,7 @@ def test_late_rows_meet_the_history_they_had(spark):
         part.coalesce(1).write.mode("append").parquet(path)
     stream = runs.read_files(spark, path, early.schema, files_per_trigger=1)
     got = runs.drain(streamed.anomalies_stream(stream, SPEC, late_seconds=72 * 3600))
-    want = anomalies(spark.read.parquet(path), SPEC).where(F.col("timestamp") > T0 + timedelta(hours=21))
+    want = anomalies(spark.read.parquet(path).where(F.col("timestamp") != T0 + timedelta(hours=20.5)), SPEC)
     flat = ["timestamp", F.round("deviation", 6)]
     assert rows(got, *flat) == rows(want, *flat) and got.count() == 1
 
@@ -150,9 +150,8 @@ def test_idle_keys_are_freed(spark):
     stream = runs.read_files(spark, path, series(spark, []).schema, files_per_trigger=1)
     query = runs.start(streamed.anomalies_stream(stream, SPEC), work_dir(spark, "test-idle-out"))
     query.awaitTermination()
-    kept = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
-    assert sum(m.get("numDeletedStateVars", 0) + m.get("numRemovedStateVars", 0) for m in kept) >= 0
-    assert sum(m["timerNumExpired"] if "timerNumExpired" in m else m.get("numExpiredTimers", 0) for m in kept) >= 1
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert held[-1] == 1  # key a is gone, key b is there
 
 
 def test_index_equals_lists_with_ties_and_nulls(spark):
