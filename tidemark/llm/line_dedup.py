@@ -17,15 +17,15 @@ from tidemark.llm.common import table, written
 
 #: Letters whose counts are compared before two lines meet, and before they are verified; an edit
 #: changes two counts at most, by one each.
-COUNTED, MORE_COUNTED = "en", "abcdefghijklmnopqrstuvwxyzABDEILST .,|$#*%&!0123456789"
+COUNTED, MORE_COUNTED = "en", "abcdehilmorstu ."
 
 
-def segment(length: Column, i: int, k: int) -> tuple[Column, Column]:
+def segment(length: Column, i: Column, k: int) -> tuple[Column, Column]:
     """Start (from 0) and size of segment ``i`` of ``k + 1``; the last ones take the remainder."""
     n = k + 1
-    small, more = F.floor(length / n), length % n
-    longer = F.greatest(F.lit(0), F.lit(i - n) + more)  # longer segments before this one
-    return small * i + longer, small + F.when(F.lit(i) >= F.lit(n) - more, 1).otherwise(0)
+    more = F.pmod(length, F.lit(n))
+    small = ((length - more) / n).cast("int")
+    return small * i + F.greatest(F.lit(0), i - n + more), small + (i >= F.lit(n) - more).cast("int")
 
 
 def probes(k: int) -> list[tuple[int, int, int]]:
@@ -107,18 +107,19 @@ def count_difference(a: Column, b: Column) -> Column:
 def candidates(lines: DataFrame, k: int, least: int) -> DataFrame:
     """Distinct ``a, b``, ``a < b``: identifiers of lines that share a segment in a place where
     ``k`` edits allow it, and whose letter counts ``k`` edits can bring together."""
-    def key(i: int, length: Column, start: Column, size: Column) -> Column:
-        return F.xxhash64(F.lit(i), length, F.substring("line", (start + 1).cast("int"), size.cast("int")))
-
-    size = F.col("size")
-    index = [key(i, size, *segment(size, i, k)) for i in range(k + 1)]
-    probe = []
-    for less, i, shift in probes(k):
-        start, length = segment(size - less, i, k)
-        probe.append(F.when(size - less >= least, key(i, size - less, start + shift, length)))
-    held = lines.select(F.col("id").alias("a"), F.col("counts").alias("a_counts"), F.explode(F.array(*index)).alias("key"))
-    asked = lines.select(F.col("id").alias("b"), F.col("counts").alias("b_counts"),
-                         F.explode(F.array(*probe)).alias("key")).where("key IS NOT NULL")
+    def keyed(name: str, where: list[tuple[int, int, int]]) -> DataFrame:
+        """A row for each place: one short expression for all of them, which is what compiles well."""
+        places = F.array(*[F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+                           for less, i, shift in where])
+        at = lines.select("id", "counts", "line", "size", F.explode(places).alias("p")).where(
+            F.col("size") - F.col("p.less") >= least)
+        start, size = segment(F.col("size") - F.col("p.less"), F.col("p.i"), k)
+        return at.select(F.col("id").alias(name), F.col("counts").alias(f"{name}_counts"), F.xxhash64(
+            F.col("p.i"), F.col("size") - F.col("p.less"),
+            F.substring("line", start + F.col("p.shift") + 1, size)).alias("key"))
+
+    held = keyed("a", [(0, i, 0) for i in range(k + 1)])
+    asked = keyed("b", probes(k))
     met = held.join(asked, "key").where((F.col("a") != F.col("b")) & (
         count_difference(F.col("a_counts"), F.col("b_counts")) <= 2 * k))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
