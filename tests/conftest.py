@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,8 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = session("local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="8g")
+    s = session("local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="8g",
+                spark__checkpoint__dir=tempfile.mkdtemp(prefix="tests-"))
     s.sparkContext.setLogLevel("ERROR")
     return s
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.functions.network import long_to_ip
+from tidemark.functions.network import address, address_part, long_to_ip
 from tidemark.operators import dimensions, hegemony, prefixes
 from tidemark.plans import mapped_tables, scores
 from tidemark.operators.mapping import MapSpec, map_rows
@@ -159,3 +159,16 @@ def test_all_mappings_are_declared():
     assert len(specs) == 15 and len({s.topic for s in specs}) == 15
     with pytest.raises(ValueError):
         MapSpec("t", "x", ("a",), ("int", "int"), ("a",))
+
+
+def test_a_busy_prefix_is_not_multiplied(spark):
+    """250 prefixes below one network that has 300 entries."""
+    roa = spark.range(300).select(F.lit(10 << 24).cast("bigint").alias("net"), F.lit(8).alias("len"),
+                                  F.lit(24).alias("max_len"), (F.col("id") + 1).alias("asn"))
+    pairs = spark.range(250).select(F.format_string("10.%d.0.0/16", "id").alias("prefix"),
+                                    F.when(F.col("id") % 2 == 0, 7).otherwise(9999).cast("bigint").alias("originasn_id"))
+    got = prefixes.origin_status(pairs, roa, "status")
+    assert rows(got.groupBy("status").count()) == [("Invalid", 125), ("Valid", 125)]
+    owned = roa.withColumnRenamed("asn", "originasn_id")
+    met = prefixes.covering(pairs, address(address_part(F.col("prefix")), 4), F.lit(16), owned, 4, ["originasn_id"])
+    assert met.count() == 125

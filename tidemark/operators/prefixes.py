@@ -35,8 +35,13 @@ def _lengths(table: DataFrame) -> Column:
     return table.agg(F.collect_set("len").alias("lengths")).scalar()
 
 
-def covering(keys: DataFrame, addr: Column, longest: Column, table: DataFrame, af: int) -> DataFrame:
-    """Each key with every table row whose network covers it; keys without one are absent."""
+def covering(keys: DataFrame, addr: Column, longest: Column, table: DataFrame, af: int,
+             on: Sequence[str] = ()) -> DataFrame:
+    """Each key with every table row whose network covers it; keys without one are absent.
+
+    ``on`` names further columns in which key and row must agree. Reduce the table to one
+    row per network and ``on`` first, and a key has at most one row for each length.
+    """
     at = (
         keys.withColumn("_addr", addr)
         .withColumn("_max", longest)
@@ -45,7 +50,7 @@ def covering(keys: DataFrame, addr: Column, longest: Column, table: DataFrame, a
         .withColumn("net", truncate(F.col("_addr"), F.col("len"), af))
         .drop("_addr", "_max")
     )
-    return at.join(table, ["net", "len"])
+    return at.join(table, ["net", "len", *on])
 
 
 def best_match(keys: DataFrame, ip: str, table: DataFrame, value: str, af: int = 4) -> DataFrame:
@@ -55,8 +60,9 @@ def best_match(keys: DataFrame, ip: str, table: DataFrame, value: str, af: int =
     """
     distinct = keys.select(ip).distinct()
     text = address_part(F.col(ip))
-    found = covering(distinct, address(text, af), F.lit(WIDTH[af]), table.select("net", "len", value), af)
-    return found.groupBy(ip).agg(F.max_by(value, "len").alias(value))
+    table = table.groupBy("net", "len").agg(F.max(value).alias(value))  # of equal networks the largest value counts
+    found = covering(distinct, address(text, af), F.lit(WIDTH[af]), table, af)
+    return found.groupBy(ip).agg(F.max_by(value, F.struct("len", value)).alias(value))
 
 
 def longest_prefix(df: DataFrame, ip: str, table: DataFrame, value: str, default=UNKNOWN_COUNTRY,
@@ -73,24 +79,30 @@ def origin_status(pairs: DataFrame, roa: DataFrame, out: str, extra: Sequence[st
     Invalid otherwise. Each column named in ``extra`` comes from the longest valid entry,
     or else from the longest covering one.
 
-    Covering entries are found for distinct prefixes and reduced to one row per prefix
-    and origin, so pairs and entries of a busy prefix are never multiplied.
+    Prefixes meet the distinct networks, and pairs the distinct networks of their own
+    origin, so a pair has at most one row for each length and longest length allowed,
+    however many entries cover a busy prefix.
     """
     text = F.col("prefix")
-    length = length_part(text, af)
-    pairs = kept(pairs.select("prefix", "originasn_id").distinct())
-    each = pairs.select("prefix").distinct().withColumn("_plen", length)
-    found = covering(each, address(address_part(text), af), F.col("_plen"), roa, af)
+    key = ["prefix", "originasn_id"]
+    pairs = kept(pairs.select(*key).distinct())
+    at, plen = address(address_part(text), af), F.col("_plen")
+
+    def values(named):
+        return [F.max(c).alias(c) for c in named]
 
     def longest(column):
         return F.max_by(column, F.struct("len", column))
 
-    any_entry = found.groupBy("prefix").agg(
-        F.lit(True).alias("_covered"), *[longest(c).alias(f"_any_{c}") for c in extra])
-    valid = found.where(F.col("_plen") <= F.col("max_len")).groupBy(
-        "prefix", F.col("asn").cast("bigint").alias("originasn_id")).agg(
-        F.lit(True).alias("_valid"), *[longest(c).alias(f"_valid_{c}") for c in extra])
-    key = ["prefix", "originasn_id"]
+    networks = roa.groupBy("net", "len").agg(F.lit(True).alias("_any"), *values(extra))
+    owned = roa.groupBy("net", "len", F.col("asn").cast("bigint").alias("originasn_id"), "max_len").agg(
+        F.lit(True).alias("_own"), *values(extra))
+    each = pairs.select("prefix").distinct().withColumn("_plen", length_part(text, af))
+    any_entry = covering(each, at, plen, networks, af).groupBy("prefix").agg(
+        F.max("_any").alias("_covered"), *[longest(c).alias(f"_any_{c}") for c in extra])
+    own = covering(pairs.withColumn("_plen", length_part(text, af)), at, plen, owned, af, ["originasn_id"])
+    valid = own.where(plen <= F.col("max_len")).groupBy(*key).agg(
+        F.max("_own").alias("_valid"), *[longest(c).alias(f"_valid_{c}") for c in extra])
     joined = pairs.join(any_entry, "prefix", "left").join(valid, key, "left")
     return joined.select(
         *key,
@@ -107,7 +119,7 @@ def asn_block_status(keys: DataFrame, asn: str, blocks: DataFrame, out: str, def
     """Status of each distinct AS number from blocks ``(lo, hi, status)``.
 
     Blocks and numbers meet in cells of 1,024 numbers, so the join is an equi join and a
-    cell holds few of either. The block that starts last wins.
+    cell holds few of either. The block that starts last wins, of those the largest status.
     """
     width = F.lit(ASN_BLOCK)
     cells = blocks.withColumn(
@@ -115,7 +127,7 @@ def asn_block_status(keys: DataFrame, asn: str, blocks: DataFrame, out: str, def
     distinct = keys.select(asn).where(F.col(asn).isNotNull()).distinct().withColumn(
         "_cell", F.floor(F.col(asn) / width))
     found = distinct.join(cells, "_cell").where(F.col(asn).between(F.col("lo"), F.col("hi")))
-    found = found.groupBy(asn).agg(F.max_by("status", "lo").alias(out))
+    found = found.groupBy(asn).agg(F.max_by("status", F.struct("lo", "status")).alias(out))
     return distinct.select(asn).join(found, asn, "left").withColumn(out, F.coalesce(out, F.lit(default)))
 
 

@@ -63,13 +63,14 @@ def _entries(kind: str, table: DataFrame, value: str | None = None, origins: boo
         (F.col("asn") if origins else null).cast("bigint").alias("asn"))
 
 
-def prefix_facts(keys: DataFrame, geo: DataFrame, rpki: DataFrame, irr: DataFrame, prefix_blocks: DataFrame,
+def prefix_facts(pairs: DataFrame, geo: DataFrame, rpki: DataFrame, irr: DataFrame, prefix_blocks: DataFrame,
                  af: int) -> tuple[DataFrame, DataFrame]:
-    """What the tables say of each distinct ``prefix``, and of its valid origins.
+    """What the tables say of each prefix of ``pairs`` (``prefix, originasn_id``), and of its valid origins.
 
-    The four prefix tables are looked up in one pass: the networks of each prefix meet the
-    entries of all tables in one join. Country and delegation go by the longest network
-    that covers the prefix's address, validation by those that cover the prefix.
+    The networks of each prefix meet those of all four tables in one join, a row for each
+    network and table, and the networks of each pair those entries that name its origin.
+    Country and delegation go by the longest network that covers the prefix's address,
+    validation by those that cover the prefix.
     """
     entries = (
         _entries("geo", geo, "cc")
@@ -78,19 +79,22 @@ def prefix_facts(keys: DataFrame, geo: DataFrame, rpki: DataFrame, irr: DataFram
         .unionByName(_entries("irr", irr, "descr", origins=True))
     )
     text, kind = F.col("prefix"), F.col("kind")
-    each = keys.select("prefix").distinct().withColumn("_plen", length_part(text, af))
-    found = prefixes.covering(each, address(address_part(text), af), F.lit(WIDTH[af]), entries, af)
+    at = address(address_part(text), af)
+    networks = entries.groupBy("net", "len", "kind").agg(F.max("value").alias("value"))
+    each = pairs.select("prefix").distinct().withColumn("_plen", length_part(text, af))
+    found = prefixes.covering(each, at, F.lit(WIDTH[af]), networks, af)
     found = found.where(kind.isin("geo", "delegated") | (F.col("len") <= F.col("_plen")))
 
     def longest(which: str):
-        at = F.when(kind == which, F.struct("len", "value"))
-        return F.max_by("value", at)
+        return F.max_by("value", F.when(kind == which, F.struct("len", "value")))
 
     by_prefix = found.groupBy("prefix").agg(
         longest("geo").alias("_cc"), longest("delegated").alias("_delegated"), longest("irr").alias("_any_descr"),
         F.max(kind == "rpki").alias("_rpki"), F.max(kind == "irr").alias("_irr"))
-    allowed = kind.isin("rpki", "irr") & (F.col("_plen") <= F.col("max_len"))
-    by_origin = found.where(allowed).groupBy("prefix", F.col("asn").alias("originasn_id")).agg(
+    owned = entries.where(kind.isin("rpki", "irr")).groupBy(
+        "net", "len", F.col("asn").alias("originasn_id"), "kind", "max_len").agg(F.max("value").alias("value"))
+    own = prefixes.covering(pairs.withColumn("_plen", length_part(text, af)), at, F.col("_plen"), owned, af, ["originasn_id"])
+    by_origin = own.where(F.col("_plen") <= F.col("max_len")).groupBy("prefix", "originasn_id").agg(
         F.max(kind == "rpki").alias("_rpki_ok"), F.max(kind == "irr").alias("_irr_ok"), longest("irr").alias("_descr"))
     return by_prefix, by_origin
 
@@ -106,22 +110,24 @@ def prefix_hegemony(df: DataFrame, af: int, geo: DataFrame, rpki: DataFrame, irr
     """Prefix scores with country, validation, delegation, visibility and multiple origins.
 
     Origins and peers are taken over all rows of a bin, zero scores included. One pass
-    reduces the rows to one per bin and prefix; that table gives the peers, the distinct
-    prefixes to look up, and all that depends on bin and prefix, so the rows themselves
-    are shuffled once. What depends on the origin is joined from small tables.
+    reduces the rows to one per bin, prefix and origin, the only table that is written; the
+    peers, the pairs to look up and all that depends on them come from it. How small sides
+    are joined is left to adaptive execution, which goes by their bytes.
     """
     rows = prefix_rows(df, start, end)
     stored = rows.where(F.col("hege") != 0)
-    bins = kept(rows.groupBy("timebin", "prefix").agg(
-        (F.min("originasn_id") != F.max("originasn_id")).alias("moas"), F.max("nb_peers").alias("_most")))
-    peers = hegemony.peer_max(bins.select("timebin", F.col("_most").alias("nb_peers")))
-    by_prefix, by_origin = prefix_facts(bins, geo, rpki, irr, prefix_blocks, af)
-    by_asn = prefixes.asn_block_status(stored, "originasn_id", asn_blocks, "delegated_asn_status")
-    per_bin = bins.drop("_most").join(small_side(peers), "timebin").join(small_side(by_prefix), "prefix", "left")
+    seen = kept(rows.groupBy("timebin", "prefix", "originasn_id").agg(F.max("nb_peers").alias("_most")))
+    bins = seen.groupBy("timebin", "prefix").agg(
+        (F.min("originasn_id") != F.max("originasn_id")).alias("moas"), F.max("_most").alias("_most"))
+    peers = hegemony.peer_max(seen.select("timebin", F.col("_most").alias("nb_peers")))
+    pairs = seen.select("prefix", "originasn_id").distinct()
+    by_prefix, by_origin = prefix_facts(pairs, geo, rpki, irr, prefix_blocks, af)
+    by_asn = prefixes.asn_block_status(seen, "originasn_id", asn_blocks, "delegated_asn_status")
+    per_bin = bins.drop("_most").join(peers, "timebin").join(by_prefix, "prefix", "left")
     return (
         stored.join(per_bin, ["timebin", "prefix"])
-        .join(small_side(by_origin), ["prefix", "originasn_id"], "left")
-        .join(small_side(by_asn), "originasn_id", "left")
+        .join(by_origin, ["prefix", "originasn_id"], "left")
+        .join(by_asn, "originasn_id", "left")
         .select(
             "timebin", "prefix", "originasn_id", "asn_id",
             F.coalesce("_cc", F.lit(prefixes.UNKNOWN_COUNTRY)).alias("country_id"), "hege",
