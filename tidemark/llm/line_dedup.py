@@ -17,7 +17,7 @@ from tidemark.llm.common import table, written
 
 #: Letters whose counts are compared before two lines meet, and before they are verified; an edit
 #: changes two counts at most, by one each.
-COUNTED, MORE_COUNTED = "en", "abcdehilmorstu ."
+COUNTED, MORE_COUNTED = "eantir", "abcdehilmorstu ."
 
 
 def segment(length: Column, i: Column, k: int) -> tuple[Column, Column]:
@@ -92,15 +92,15 @@ def count_of(line: Column, letter: str) -> Column:
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts of a few letters, modulo 256, in one integer."""
-    return sum((F.shiftleft(F.pmod(count_of(line, c), F.lit(256)), 8 * i) for i, c in enumerate(COUNTED)), F.lit(0))
+    """Counts of a few letters, modulo 16, in one integer."""
+    return sum((F.shiftleft(F.pmod(count_of(line, c), F.lit(16)), 4 * i) for i, c in enumerate(COUNTED)), F.lit(0))
 
 
 def count_difference(a: Column, b: Column) -> Column:
     """The summed difference of two ``letter_counts``; no edit changes it by more than 2."""
     def one(i: int) -> Column:
-        d = F.abs(F.shiftrightunsigned(a, 8 * i).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * i).bitwiseAND(F.lit(255)))
-        return F.least(d, 256 - d)
+        d = F.abs(F.shiftrightunsigned(a, 4 * i).bitwiseAND(F.lit(15)) - F.shiftrightunsigned(b, 4 * i).bitwiseAND(F.lit(15)))
+        return F.least(d, 16 - d)
     return sum((one(i) for i in range(1, len(COUNTED))), one(0))
 
 
@@ -181,15 +181,16 @@ def line_dedup(docs: DataFrame, k: int = 2, least: int = 30) -> DataFrame:
 
     All rows and other columns come back; a document whose lines all stand elsewhere has an
     empty text, and so has a null one. ``docs`` has no columns ``kept``, ``n_lines``,
-    ``lines`` or ``doc_key``.
+    ``lines``, ``blank`` or ``doc_key``.
     """
     stay = written(kept_lines(docs, k, least), "kept-lines")
     rows = docs.withColumn("doc_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn(
         "lines", F.split(F.coalesce("text", F.lit("")), "\n"))
-    rows = rows.join(stay, "doc_key", "left")
     blank = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.trim(F.get("lines", i)) == "")
-    some = F.filter(F.coalesce("kept", F.array().cast("array<int>")), lambda i: i < F.size("lines"))
-    rows = rows.withColumn("kept", F.sort_array(F.concat(some, blank))).withColumn("n_lines", F.size("lines"))
+    # before the join, so that texts do not take part in it where only the numbers are asked for
+    rows = rows.withColumn("n_lines", F.size("lines")).withColumn("blank", blank).join(stay, "doc_key", "left")
+    some = F.filter(F.coalesce("kept", F.array().cast("array<int>")), lambda i: i < F.col("n_lines"))
+    rows = rows.withColumn("kept", F.sort_array(F.concat(some, "blank"))).drop("blank")
     return rows.withColumn("text", F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")).drop(
         "doc_key", "lines")
 
