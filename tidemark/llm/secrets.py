@@ -102,8 +102,8 @@ def find(blobs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> D
     ledger.add("scanned", fresh)
     now = F.array(*[F.struct(F.lit(r.name).alias("kind"), F.lit(r.version).alias("version"), F.lit(i).alias("rank"))
                     for i, r in enumerate(rules)])
-    found = ledger.read("findings", Ledger.FINDINGS).withColumn("rank", F.filter(
-        now, lambda r: (r["kind"] == F.col("kind")) & (r["version"] == F.col("version")))[0]["rank"])
+    found = ledger.read("findings", Ledger.FINDINGS).withColumn("rank", F.get(F.filter(
+        now, lambda r: (r["kind"] == F.col("kind")) & (r["version"] == F.col("version"))), F.lit(0))["rank"])
     return found.where("rank IS NOT NULL").groupBy("blob").agg(
         F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans"))
 
