@@ -36,11 +36,11 @@ def test_stages_by_brute_force(spark):
             after = {r["doc_id"]: r["text"] for r in rows}
             assert all(r["n_chars"] == len(r["text"]) for r in rows)
         if number == 10:
-            toxic = {r["doc_id"] for r in table(spark, SMALL, "labels").where("toxic = 1").collect()}
-            assert before.keys() - after.keys() <= toxic
+            clean = {r["doc_id"] for r in table(spark, SMALL, "labels").where("toxic = 0").collect()}
+            assert before.keys() > after.keys() and clean <= after.keys()
             assert all(after[i] == before[i] for i in after)
         elif number == 2:
-            assert sorted(after.items()) == expected_lines(list(before.items()), 2, 30)
+            assert sorted(after.items(), key=repr) == expected_lines(list(before.items()), 2, 30)
         elif number == 6:
             ids = sorted(before)
             codes = [fingerprint(before[i]) for i in ids]
