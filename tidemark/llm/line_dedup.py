@@ -10,14 +10,14 @@ only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import table, written
 
-#: Letters whose counts are compared before two lines meet, and before they are verified; an edit
-#: changes two counts at most, by one each.
-COUNTED, MORE_COUNTED = "eantir", "abcdehilmorstu ."
+#: Characters whose counts are compared before two lines meet; an edit changes two at most, by one each.
+COUNTED = "abcdehilmorstun."
 
 
 def segment(length: Column, i: Column, k: int) -> tuple[Column, Column]:
@@ -92,8 +92,9 @@ def count_of(line: Column, letter: str) -> Column:
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts of a few letters, modulo 16, in one integer."""
-    return sum((F.shiftleft(F.pmod(count_of(line, c), F.lit(16)), 4 * i) for i, c in enumerate(COUNTED)), F.lit(0))
+    """Counts of sixteen characters, modulo 16, in one 64-bit integer."""
+    nibbles = [F.shiftleft(F.pmod(count_of(line, c), F.lit(16)).cast("long"), 4 * i) for i, c in enumerate(COUNTED)]
+    return reduce(lambda a, b: a.bitwiseOR(b), nibbles)
 
 
 def count_difference(a: Column, b: Column) -> Column:
@@ -142,8 +143,7 @@ def near_repeats(lines: DataFrame, k: int, least: int, broadcast_rows: int = 500
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select(
         F.greatest("a_line", "b_line").alias("long"), F.least("a_line", "b_line").alias("short"))
-    differ = sum((F.abs(count_of(F.col("long.line"), c) - count_of(F.col("short.line"), c)) for c in MORE_COUNTED), F.lit(0))
-    near = both.where(differ <= 2 * k).where(edit_distance(F.col("long.line"), F.col("short.line"), k) <= k)
+    near = both.where(edit_distance(F.col("long.line"), F.col("short.line"), k) <= k)
     later = F.struct("long.place", "long.line") > F.struct("short.place", "short.line")
     return near.select(F.when(later, F.col("long.id")).otherwise(F.col("short.id")).alias("id")).distinct()
 
