@@ -145,5 +145,8 @@ def test_chunks_and_groups(spark):
     assert planning.chunk_plan(ids, F.lit(5), F.lit(5), 300).count() == 0
     few = planning.id_groups(spark.range(5))
     assert rows(few, "id", "worker") == [(i, i) for i in range(5)]
+    far = spark.range(1_000).select((F.xxhash64("id")).alias("id"))
+    ordered = sorted(r.id for r in far.collect())
+    assert rows(planning.id_groups(far), "id", "worker") == [(x, i // 125) for i, x in enumerate(ordered)]
     many = planning.id_groups(spark.range(20), width=3)
     assert rows(many, "id", "worker") == [(i, i // 2) for i in range(20)]

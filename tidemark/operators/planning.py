@@ -35,11 +35,21 @@ def chunk_plan(ids: DataFrame, start: Column, stop: Column, seconds: int) -> Dat
         "chunk_stop", F.col("chunk_start") + seconds)
 
 
-def id_groups(ids: DataFrame, workers: int = WORKERS, width: int = 65_536) -> DataFrame:
-    """Groups of ``int(count / workers)`` consecutive ids, at least one id each."""
+def id_groups(ids: DataFrame, workers: int = WORKERS, width: int | None = None, slices: int = 4_096) -> DataFrame:
+    """Groups of ``int(count / workers)`` consecutive ids, at least one id each.
+
+    Ids are numbered in slices of ``width`` numbers, or in ``slices`` even parts of their
+    range, so that neither dense nor sparse ids make one large or very many small slices.
+    """
     total = ids.agg(F.count(F.lit(1)).alias("n")).scalar()
     size = F.greatest(F.floor(total / F.lit(workers)), F.lit(1))
-    placed = numbered(ids, [], F.floor(F.col("id") / F.lit(width)), ["id"], "_at")
+    if width is None:
+        first, last = (ids.agg(f("id").cast("double").alias("x")).scalar() for f in (F.min, F.max))
+        part = F.greatest((last - first) / F.lit(slices), F.lit(1.0))
+        slice_of = F.floor((F.col("id").cast("double") - first) / part)
+    else:
+        slice_of = F.floor(F.col("id") / F.lit(width))
+    placed = numbered(ids, [], slice_of, ["id"], "_at")
     return placed.select("id", F.floor(F.col("_at") / size).cast("int").alias("worker"))
 
 

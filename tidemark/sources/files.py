@@ -17,12 +17,11 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 def write_log(log: DataFrame, path: str, mode: str = "append") -> None:
     """Write messages in folders by topic and date.
 
-    The shuffle puts one hour of one topic in one task, so that a large topic is written
-    by many tasks and a day still makes a moderate number of files.
+    Rows of one topic and day are brought together, and adaptive execution cuts those that
+    are large over many tasks, so files have a moderate size however a log is spread.
     """
     dated = log.withColumn("date", F.to_date("timestamp"))
-    spread = dated.repartition("topic", "date", F.date_trunc("hour", "timestamp"), "partition")
-    spread.write.mode(mode).partitionBy("topic", "date").parquet(path)
+    dated.hint("rebalance", "topic", "date").write.mode(mode).partitionBy("topic", "date").parquet(path)
 
 
 def append_table(df: DataFrame, path: str, columns: Sequence[str], date_from: str | None = "timebin",
