@@ -191,8 +191,8 @@ def line_dedup(docs: DataFrame, k: int = 2, least: int = 30) -> DataFrame:
     rows = rows.withColumn("n_lines", F.size("lines")).withColumn("blank", blank).join(stay, "doc_key", "left")
     some = F.filter(F.coalesce("kept", F.array().cast("array<int>")), lambda i: i < F.col("n_lines"))
     rows = rows.withColumn("kept", F.sort_array(F.concat(some, "blank"))).drop("blank")
-    return rows.withColumn("text", F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")).drop(
-        "doc_key", "lines")
+    text = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
+    return rows.withColumn("text", text).select(*docs.columns, "kept", "n_lines")
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
