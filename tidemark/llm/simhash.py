@@ -23,22 +23,27 @@ LOWERED = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BITS = 64
 
 
-def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
-    """The SimHash of a whole text; 0 without words.
+def shingle_hashes(text: str, shingle: int = 3, seed: int = 42) -> np.ndarray:
+    """A hash of each shingle of a whole text, repeats included; none without words.
 
     A-Z are lower-cased, words are runs of other characters than ASCII white space, shingles
-    are words joined by a space (all words where there are fewer), and a bit is set if it is
-    set in more than half of the shingles' hashes, repeats counted.
+    are words joined by a space (all words where there are fewer).
     """
     words = text.encode().translate(LOWERED).split()
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = [0, *ends.tolist()]
     ends = (ends - 1).tolist()[shingle - 1:] or [len(line)]
     view, digest = memoryview(line), xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(view[a:b], seed) for a, b in zip(starts, ends)), "<u8", len(ends))
+    return np.fromiter((digest(view[a:b], seed) for a, b in zip(starts, ends)), "<u8", len(ends))
+
+
+def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
+    """The SimHash of a whole text; 0 without words. A bit is set if it is set in more than
+    half of the shingles' hashes, repeats counted."""
+    hashes = shingle_hashes(text, shingle, seed)
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 8192):  # bounds memory for very long texts
         part = hashes[at:at + 8192].view(np.uint8).reshape(-1, 8)
