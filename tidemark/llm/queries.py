@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, embeddings, exact_dedup, line_dedup, packing, quality, secrets, simhash, token_counts, toxicity
+from tidemark.llm import (
+    bpe, embeddings, exact_dedup, line_dedup, packing, quality, secrets, simhash, spelling, token_counts, toxicity, whitening)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +16,8 @@ QUERIES = {
     "op8_embeddings": embeddings.op8_embeddings,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_whitening": whitening.op12_whitening,
 }
 
 SQL = {
