@@ -74,7 +74,7 @@ def test_run_gives_the_last_stage(spark):
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert queries.SQL.keys() <= names.keys()
 
 

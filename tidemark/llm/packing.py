@@ -19,13 +19,13 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import Memo, kind, table, texts
+from tidemark.llm.common import kind, table, texts
 
 SPECIAL = "<|endoftext|>"
 
 
 class ByteBpe:
-    """Identifiers of a byte-level BPE, each stretch between spaces encoded once per worker."""
+    """Identifiers of a byte-level BPE."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
@@ -33,23 +33,12 @@ class ByteBpe:
         self.model = tiktoken.Encoding(
             "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.special = np.array([len(ranks)], "<u4").tobytes()
-        self.chunks = Memo(lambda chunk: np.array(self.model.encode_ordinary(chunk), "<u4").tobytes())
 
     def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit identifiers of the whole text.
-
-        A space before a visible character always starts a word of the pattern, so the
-        stretches between such spaces are independent.
-        """
+        """Little-endian unsigned 32-bit identifiers of the whole text."""
         if SPECIAL in text:
             return self.special.join(self.encode(part) for part in text.split(SPECIAL))
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        # white space at the start of a stretch belongs to the words of the one before
-        if any(not chunk or chunk[0].isspace() for chunk in rest):
-            return np.array(self.model.encode_ordinary(text), "<u4").tobytes()
-        return self.chunks[first] + b"".join([self.chunks[" " + chunk] for chunk in rest])
+        return np.array(self.model.encode_ordinary(text), "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tidemark.llm import (
-    bpe, embeddings, exact_dedup, line_dedup, packing, quality, secrets, simhash, spelling, token_counts, toxicity, whitening)
+    bpe, embeddings, exact_dedup, line_dedup, packing, quality, secrets, simhash, spelling, token_counts, token_files, toxicity,
+    whitening)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -18,6 +19,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_spelling": spelling.op11_spelling,
     "op12_whitening": whitening.op12_whitening,
+    "op13_token_files": token_files.op13_token_files,
 }
 
 SQL = {
