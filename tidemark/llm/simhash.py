@@ -51,13 +51,13 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 3) -> DataFrame:
     """``doc_id, fp`` of each whole text, ``fp`` as a signed 64-bit integer; null texts are empty."""
     docs = texts(docs, id_column, text_column)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = np.array([fingerprint(t.as_py()) for t in part.column(1)], np.uint64).view(np.int64)
+            found = np.array([fingerprint(t.as_py(), shingle) for t in part.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], ["doc_id", "fp"])
 
     return docs.mapInArrow(batches, f"doc_id {kind(docs, 'doc_id')}, fp long")
@@ -192,14 +192,15 @@ def as_numpy(columns: list[pa.Array]) -> np.ndarray:
     return np.concatenate([c.to_numpy(zero_copy_only=False) for c in columns])
 
 
-def near_groups(docs: DataFrame, limit: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, limit: int = 3, id_column: str = "doc_id", text_column: str = "text",
+                shingle: int = 3) -> DataFrame:
     """One row per document: ``doc_id, fp, component_id``, the smallest identifier it can reach.
 
     Documents with equal fingerprints are in one component, those of texts without words
     (null and empty ones too) included; identifiers that are null are reached, not named,
     unless a component has no other. Repeated rows come back one for one.
     """
-    found = written(fingerprints(docs, id_column, text_column), "fingerprints")
+    found = written(fingerprints(docs, id_column, text_column, shingle), "fingerprints")
     distinct = written(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(near_links(distinct.select("fp"), limit))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
