@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import line_dedup, near_copies, packing, secrets, toxicity
+from tidemark.llm import line_dedup, packing, secrets, simhash, toxicity
 from tidemark.llm.common import free_name, table
 from tidemark.session import work_dir
 
@@ -41,9 +41,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents that links connect the one with the smallest identifier stays, once if
-    its row is repeated. Documents without identifier stay where their group has none. A link
-    is a similarity of 0.8 or more of the sets of five-word shingles."""
-    groups = near_copies.near_copies(docs.select("doc_id", "text"))
+    its row is repeated. Documents without identifier stay where their group has none. Links
+    are those of ``op6_simhash``: fingerprints of three-word shingles within three bits."""
+    groups = simhash.near_groups(docs.select("doc_id", "text"), limit=3, shingle=3)
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     first = first.select(F.col("doc_id").alias(free_name(docs, "first")))
     docs = docs.join(first, docs["doc_id"].eqNullSafe(first[first.columns[0]]), "left_semi")
