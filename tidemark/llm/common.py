@@ -107,16 +107,21 @@ def kind(df: DataFrame, column: str) -> str:
 
 
 class Memo(dict):
-    """A bounded memo for short keys: it starts again when full, and computes long keys anew."""
+    """A bounded memo for short keys, in two generations of at most ``most / 2``: when the new one
+    is full it takes the place of the old one, whose keys live on if they were met again. Long
+    keys are computed anew."""
 
     def __init__(self, make: Callable, most: int = 300_000, longest: int = 64):
         super().__init__()
-        self.make, self.most, self.longest = make, most, longest
+        self.make, self.half, self.longest, self.old = make, most // 2, longest, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= self.longest:
-            if len(self) >= self.most:
+            if len(self) >= self.half:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
