@@ -9,7 +9,7 @@ the open windows stand in an array with a place for each level.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -47,9 +47,10 @@ def byte_bpe(path: str) -> ByteBpe:
 
 
 def token_ids(docs: DataFrame, path: str | None = None, end_id: int = 1, id_column: str = "doc_id",
-              text_column: str = "text") -> DataFrame:
+              text_column: str = "text", layout: Callable[[bytes], bytes] = bytes) -> DataFrame:
     """``doc_id`` and ``ids``, binary: little-endian unsigned 32-bit token identifiers of each
-    whole text, then ``end_id``. A null or empty text has ``end_id`` alone."""
+    whole text, then ``end_id``, as ``layout`` arranges them. A null or empty text has ``end_id``
+    alone."""
     docs = texts(docs, id_column, text_column)
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     end = np.array([end_id], "<u4").tobytes()
@@ -57,7 +58,7 @@ def token_ids(docs: DataFrame, path: str | None = None, end_id: int = 1, id_colu
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path)
         for part in parts:
-            ids = pa.array([bpe.encode(t.as_py()) + end for t in part.column(1)], pa.binary())
+            ids = pa.array([layout(bpe.encode(t.as_py()) + end) for t in part.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
     return docs.mapInArrow(batches, f"doc_id {kind(docs, 'doc_id')}, ids binary")

@@ -191,16 +191,17 @@ def read_table(spark: SparkSession, path: str) -> tuple[bytes, bytes, int]:
     return np.array(ids, "<i8").tobytes(), np.array(frequencies, "<i8").tobytes(), scales[0]
 
 
-def write_tokens(tokens: DataFrame, path: str, block_ids: int = 1 << 20) -> None:
-    """Write ``doc_id, ids`` (binary: little-endian unsigned 32-bit) as a file set, by ascending
-    ``doc_id``; null identifiers of documents come first, rows of one identifier in any order.
+def write_tokens(tokens: DataFrame, path: str, block_ids: int = 1 << 20, planes: bool = False) -> None:
+    """Write ``doc_id, ids`` (binary: little-endian unsigned 32-bit, or ``to_planes`` of that) as a
+    file set, by ascending ``doc_id``; null identifiers of documents come first, rows of one
+    identifier in any order.
 
     A document that fits stands in one block of at most ``block_ids`` identifiers; longer ones
     are cut. Null or empty ``ids`` are documents of no tokens. The rows are kept once, so the
     ranges are drawn from and dealt by the same order whenever a task is repeated; identifiers
     that very many rows share are spread over parts by their place.
     """
-    rows = written(in_planes(tokens), "token-rows")
+    rows = written(tokens.select("doc_id", "ids") if planes else in_planes(tokens), "token-rows")
     coder = write_table(rows, path)
     order = ["doc_id", "mix", "place"]
     placed = rows.withColumn("place", F.monotonically_increasing_id()).withColumn("mix", F.xxhash64("place"))
@@ -314,5 +315,5 @@ def read_span(spark: SparkSession, path: str, first: int, last: int) -> DataFram
 
 def op13_token_files(spark, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "token-files")
-    write_tokens(token_ids(table(spark, sf_dir, "documents"), end_id=2), path)
+    write_tokens(token_ids(table(spark, sf_dir, "documents"), end_id=2, layout=to_planes), path, planes=True)
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
