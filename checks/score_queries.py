@@ -84,26 +84,19 @@ def asn_register_prefix(spark, sf):
 
 @query("hegemony_asns", """SELECT number, coalesce(d.name, '') AS name, coalesce(d.tartiflette, false) AS tartiflette,
     coalesce(d.disco, false) AS disco, coalesce(d.ashash, false) OR s.number IS NOT NULL AS ashash
-    FROM v_asn_dim d FULL JOIN (SELECT originasn_id AS number FROM v_hege_rows WHERE hege <> 0
-        UNION SELECT asn_id FROM v_hege_rows WHERE hege <> 0) s USING (number)""", "v_asn_dim v_hege v_hege_rows")
+    FROM v_asn_dim d FULL JOIN (SELECT originasn_id AS number FROM v_hege_rows
+        UNION SELECT asn_id FROM v_hege_rows) s USING (number)""", "v_asn_dim v_hege v_hege_rows")
 def hegemony_asns(spark, sf):
-    rows, _ = scores.as_hegemony(v.v_hege(spark, sf), 4)
-    return scores.registered(rows, v.v_asn_dim(spark, sf))[0]
-
-
-def _prefix_dims(spark, sf):
-    rows = prefix_hegemony(spark, sf)
-    return scores.registered(rows, v.v_asn_dim(spark, sf), countries=v.v_country_dim(spark, sf),
-                             names=v.v_country_names(spark, sf),
-                             special=dimensions.REGION_NAMES | dimensions.UNKNOWN_COUNTRY)
+    """AS 77 has only zero scores."""
+    return scores.as_numbers(v.v_hege(spark, sf), v.v_asn_dim(spark, sf))
 
 
 @query("prefix_asns", """SELECT number, coalesce(d.name, '') AS name, coalesce(d.tartiflette, false) AS tartiflette,
-    coalesce(d.disco, false) AS disco, coalesce(d.ashash, false) OR s.number IS NOT NULL AS ashash
-    FROM v_asn_dim d FULL JOIN (SELECT originasn_id AS number FROM v_prefix_rows WHERE hege <> 0
-        UNION SELECT asn_id FROM v_prefix_rows WHERE hege <> 0) s USING (number)""", "v_asn_dim v_prefix_rows")
+    coalesce(d.disco, false) AS disco, coalesce(d.ashash, false) AS ashash
+    FROM v_asn_dim d FULL JOIN (SELECT originasn_id AS number FROM v_prefix_rows
+        UNION SELECT asn_id FROM v_prefix_rows) s USING (number)""", "v_asn_dim v_prefix_rows")
 def prefix_asns(spark, sf):
-    return _prefix_dims(spark, sf)[0]
+    return scores.prefix_numbers(v.v_hege_prefix(spark, sf), v.v_asn_dim(spark, sf))
 
 
 def countries_sql(codes: str, special: str) -> str:
@@ -122,14 +115,13 @@ REGIONS = "WHEN 'EU' THEN 'European Union' WHEN 'AP' THEN 'Asia-Pacific'"
 @query("prefix_countries", countries_sql("SELECT country_id FROM v_prefix_rows JOIN v_prefix_cc USING (prefix) WHERE hege <> 0",
                                          f"{REGIONS} WHEN 'ZZ' THEN 'Unknown'"), PREFIX_VIEWS)
 def prefix_countries(spark, sf):
-    return _prefix_dims(spark, sf)[1]
+    return scores.prefix_countries(prefix_hegemony(spark, sf), v.v_country_dim(spark, sf), v.v_country_names(spark, sf))
 
 
-@query("country_dim", countries_sql("SELECT cc AS country_id FROM v_country WHERE hege <> 0", REGIONS), "v_country")
+@query("country_dim", countries_sql("SELECT cc AS country_id FROM v_country", REGIONS), "v_country")
 def country_dim(spark, sf):
-    rows = scores.country_hegemony(v.v_hege_country(spark, sf), 4)
-    return scores.registered(rows, v.v_asn_dim(spark, sf), ["asn_id"], v.v_country_dim(spark, sf),
-                             v.v_country_names(spark, sf))[1]
+    """One country has only zero scores."""
+    return scores.countries(v.v_hege_country(spark, sf), v.v_country_dim(spark, sf), v.v_country_names(spark, sf))
 
 
 @query("country_register", f"""SELECT {cc('n_nationkey')} AS code, n_name AS name, false AS tartiflette, false AS disco,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+ONLY_ZERO = ("CASE WHEN l_partkey % 100 = 77 OR l_suppkey BETWEEN 76 AND 78 THEN 0::DOUBLE ELSE l_discount END AS hege")
 PREFIX = "'10.' || ({c} // 256) % 256 || '.' || {c} % 256 || '.0/24'"
 
 
@@ -55,7 +56,7 @@ VIEWS = {
         list_transform(h, lambda x: abs(x - list_aggregate(h, 'median'))) AS d FROM v_scored WHERE len(h) > 5.4""",
     "v_dev": """SELECT *, list_aggregate(d, 'median') AS mad, list_aggregate(d, 'avg') AS mean_dev FROM v_stats""",
     "v_hege": f"""SELECT {month('l_shipdate')} AS ts, (l_suppkey - 1)::VARCHAR AS scope,
-        (l_partkey % 100)::VARCHAR AS asn, l_discount AS hege, l_quantity::INTEGER AS nb_peers FROM lineitem""",
+        (l_partkey % 100)::VARCHAR AS asn, {ONLY_ZERO}, l_quantity::INTEGER AS nb_peers FROM lineitem""",
     "v_hege_rows": """SELECT make_timestamp(ts * 1000000) AS timebin,
         CASE WHEN scope = '-1' THEN 0 ELSE scope::BIGINT END AS originasn_id, asn::BIGINT AS asn_id, hege, nb_peers
         FROM v_hege""",
@@ -66,11 +67,11 @@ VIEWS = {
         {PREFIX.format(c='l_partkey')} AS prefix, 167772160 + (l_partkey % 65536) * 256 AS net,
         unnest(CASE WHEN l_linenumber = 7 THEN [l_suppkey, l_suppkey + 1]
                WHEN l_suppkey = 0 THEN [0] ELSE [l_suppkey - 1] END) AS originasn_id,
-        l_partkey % 100 AS asn_id, l_discount AS hege, l_quantity::INTEGER AS nb_peers FROM lineitem""",
+        l_partkey % 100 AS asn_id, {ONLY_ZERO}, l_quantity::INTEGER AS nb_peers FROM lineitem""",
     "v_messages": """SELECT DISTINCT date_trunc('month', l_shipdate) AS bin, l_suppkey - 1 AS scope,
         l_partkey % 100 AS asn FROM lineitem""",
     "v_country": f"""SELECT make_timestamp({month('o_orderdate')} * 1000000) AS timebin, {cc('n_nationkey')} AS cc,
-        o_custkey % 50 AS asn, CASE WHEN o_orderkey % 10 = 0 THEN 0.0 ELSE o_totalprice / 600000 END AS hege,
+        o_custkey % 50 AS asn, CASE WHEN o_orderkey % 10 = 0 OR n_nationkey = 13 THEN 0.0 ELSE o_totalprice / 600000 END AS hege,
         o_totalprice AS original_weight, o_orderpriority AS weight, o_orderstatus = 'F' AS transit_only
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "v_asn_dim": """SELECT s_suppkey AS number, s_name AS name, true AS tartiflette, false AS disco,

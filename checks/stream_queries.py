@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from checks import views as v
 from checks.event_queries import HISTORY, SPEC, SPEC_MEDIAN, anomaly_sql, flat_anomalies
-from checks.registry import query
+from checks.registry import SQL, query
 from checks.score_queries import CONE
 from tidemark.operators import hegemony, probes
 from tidemark.operators.log import in_range
@@ -59,17 +59,30 @@ def anomalies_stream_median(spark, sf):
     return flat_anomalies(runs.drain(detector.anomalies_stream(stream, SPEC_MEDIAN), "anomalies"))
 
 
-@query("disco_stream", """SELECT streamtype, streamname, starttime, coalesce(last_end, starttime) AS endtime, avglevel,
-    totalprobes, nbdiscoprobes, last_end IS NULL AS ongoing FROM v_burst LEFT JOIN v_ends USING (o_orderkey)
-    WHERE NOT coalesce(short, false)""", "v_order_probes v_burst v_reconnect v_ends")
-def disco_stream(spark, sf):
-    """Bursts and reconnects are written as topics, read as streams and stored."""
+def _followed(spark, sf, files=1):
+    """Bursts and reconnects are written as topics, read as streams and followed; with more files,
+    reconnections come in batches before and after their burst."""
     base = work_dir(spark, "outages")
     streams = []
     for name, topic in (("bursts", v.v_burst(spark, sf)), ("reconnects", v.v_reconnect(spark, sf))):
-        topic.write.parquet(f"{base}/topic-{name}")
-        streams.append(runs.read_files(spark, f"{base}/topic-{name}", topic.schema))
-    for stored in outages.store(*streams, f"{base}/stored"):
-        stored.awaitTermination()
+        topic.repartition(files, "streamname" if name == "bursts" else "offset").write.parquet(f"{base}/topic-{name}")
+        streams.append(runs.read_files(spark, f"{base}/topic-{name}", topic.schema, files_per_trigger=1))
+    outages.follow(*streams, f"{base}/stored").awaitTermination()
+    return f"{base}/stored"
+
+
+@query("disco_stream", SQL["disco_events"])
+def disco_stream(spark, sf):
+    return outages.current_events(spark, _followed(spark, sf))
+
+
+@query("disco_lifecycle", SQL["disco_events"])
+def disco_lifecycle(spark, sf):
+    """Over several batches: inserts, updates and deletes of single events."""
+    return outages.current_events(spark, _followed(spark, sf, 3))
+
+
+@query("disco_lifecycle_probes", SQL["disco_probes"])
+def disco_lifecycle_probes(spark, sf):
     known = probes.probe_defaults(v.v_probe(spark, sf))
-    return outages.current(spark, f"{base}/stored", known)[0]
+    return outages.current_probes(spark, _followed(spark, sf, 3), known)

@@ -45,10 +45,16 @@ def v_series(spark, sf, read=table):
     return read(spark, sf, "events").select("event_id", "user_id", "value", F.col("ts").alias("timestamp"))
 
 
+def only_zero() -> Column:
+    """The score, 0 in every row that names AS 77, which must be registered all the same."""
+    named = (F.col("l_partkey") % 100 == 77) | F.col("l_suppkey").between(76, 78)
+    return F.when(named, 0.0).otherwise(F.col("l_discount"))
+
+
 def v_hege(spark, sf, read=table):
     return read(spark, sf, "lineitem").select(
         month_s("l_shipdate").alias("timestamp"), (F.col("l_suppkey") - 1).cast("string").alias("scope"),
-        (F.col("l_partkey") % 100).cast("string").alias("asn"), F.col("l_discount").alias("hege"),
+        (F.col("l_partkey") % 100).cast("string").alias("asn"), only_zero().alias("hege"),
         F.col("l_quantity").cast("int").alias("nb_peers"))
 
 
@@ -75,7 +81,7 @@ def v_hege_prefix(spark, sf, read=table):
     return read(spark, sf, "lineitem").select(
         month_s("l_shipdate").alias("timestamp"),
         F.concat(prefix_text("l_partkey"), F.lit("_"), origin).alias("scope"),
-        (F.col("l_partkey") % 100).cast("string").alias("asn"), F.col("l_discount").alias("hege"),
+        (F.col("l_partkey") % 100).cast("string").alias("asn"), only_zero().alias("hege"),
         F.col("l_quantity").cast("int").alias("nb_peers"))
 
 
@@ -107,7 +113,7 @@ def v_hege_country(spark, sf):
         .select(
             month_s("o_orderdate").alias("ts"), country_code("n_nationkey").alias("cc"),
             (F.col("o_custkey") % 50).cast("string").alias("asn"),
-            F.when(F.col("o_orderkey") % 10 == 0, 0.0).otherwise(F.col("o_totalprice") / 600000).alias("hege"),
+            F.when((F.col("o_orderkey") % 10 == 0) | (F.col("n_nationkey") == 13), 0.0).otherwise(F.col("o_totalprice") / 600000).alias("hege"),
             F.col("o_totalprice").alias("original_weight"), F.col("o_orderpriority").alias("weight"),
             (F.col("o_orderstatus") == "F").alias("transit_only"))
     )

@@ -66,5 +66,26 @@ def test_ipv6_against_ipaddress(spark):
         good.append(str(ipaddress.IPv6Address(random.getrandbits(128) & random.getrandbits(128))))
         good.append(ipaddress.IPv6Address(random.getrandbits(64) << 40).exploded)
     bad = ["1:2:3", "1::2::3", "12345::", "g::", "10.0.0.1", "1:2:3:4:5:6:7:8:9", "", ":", "1:2:3:4:5:6:7:8::", None]
-    want = [format(int(ipaddress.IPv6Address(x)), "0128b") for x in good] + [None] * len(bad)
-    assert one(spark, good + bad, network.ipv6_bits) == want
+    half = 1 << 63
+    want = [tuple(h - half for h in divmod(int(ipaddress.IPv6Address(x)), 1 << 64)) for x in good]
+    assert one(spark, good + bad, network.ipv6_longs) == [*want, *[None] * len(bad)]
+
+
+def test_ipv6_networks_against_ipaddress(spark):
+    random.seed(2)
+    cases = [(random.getrandbits(128), n) for n in (0, 1, 2, 31, 63, 64, 65, 100, 127, 128) for _ in range(6)]
+    cases += [((1 << 128) - 1, n) for n in (0, 1, 64, 65, 128)] + [((1 << 64) - 1, 128), ((1 << 64) - 1, 64)]
+    half = 1 << 63
+
+    def pair(x):
+        return tuple(h - half for h in divmod(x, 1 << 64)) if x < 1 << 128 else None
+
+    want = []
+    for x, n in cases:
+        net = x >> (128 - n) << (128 - n)
+        want.append((pair(net), pair(net + (1 << (128 - n)))))
+    df = spark.createDataFrame([(i, str(ipaddress.IPv6Address(x)), n) for i, (x, n) in enumerate(cases)],
+                               "i int, ip string, n int")
+    net = network.truncate(network.ipv6_longs(F.col("ip")), F.col("n"), 6)
+    got = df.select("i", net.alias("net"), network.after(net, F.col("n"), 6).alias("end")).orderBy("i").collect()
+    assert [(tuple(r["net"]), r["end"] and tuple(r["end"])) for r in got] == want

@@ -150,3 +150,16 @@ def test_chunks_and_groups(spark):
     assert rows(planning.id_groups(far), "id", "worker") == [(x, i // 125) for i, x in enumerate(ordered)]
     many = planning.id_groups(spark.range(20), width=3)
     assert rows(many, "id", "worker") == [(i, i // 2) for i in range(20)]
+
+
+def test_bursts_with_times_out_of_range(spark):
+    """They have no time, and neither meet a reconnection nor end the job."""
+    bursts = spark.createDataFrame(
+        [("ASN", 1, 1_000, 2.0, 5, {7: 10 ** 18}), ("ASN", 2, 10 ** 18, 2.0, 5, {7: 1_000})],
+        "streamtype string, streamname bigint, starttime bigint, level double, totalprobes bigint, probelist map<bigint, bigint>")
+    ends = spark.createDataFrame(
+        [("ASN", 2, 10 ** 18, 10 ** 18 + 900, {7: 5}, 1), ("ASN", 1, 1_000, 10 ** 18, {}, 2), ("ASN", 1, -10 ** 18, 9 * 10 ** 18, {}, 3)],
+        "streamtype string, streamname bigint, starttime bigint, endtime bigint, reconnectedprobes map<bigint, bigint>, offset bigint")
+    got = {r["streamname"]: r for r in outages.outage_events(bursts, ends).collect()}
+    assert got["2"]["starttime"] is None and got["2"]["ongoing"]
+    assert got["1"]["starttime"] is not None and len(got) == 2

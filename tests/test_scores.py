@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.functions.network import address, address_part, long_to_ip
+from tidemark.functions.network import address, address_part, length_part, long_to_ip
 from tidemark.operators import dimensions, hegemony, prefixes
 from tidemark.plans import mapped_tables, scores
 from tidemark.operators.mapping import MapSpec, map_rows
@@ -172,3 +172,69 @@ def test_a_busy_prefix_is_not_multiplied(spark):
     owned = roa.withColumnRenamed("asn", "originasn_id")
     met = prefixes.covering(pairs, address(address_part(F.col("prefix")), 4), F.lit(16), owned, 4, ["originasn_id"])
     assert met.count() == 125
+
+
+@pytest.mark.parametrize("af", [4, 6])
+@pytest.mark.parametrize("broadcast_rows", [0, 10 ** 6])
+def test_covering_equals_brute_force(spark, af, broadcast_rows):
+    """Nested and equal networks, 0.0.0.0/0, the last address, keys without a network, both ways."""
+    import ipaddress
+    import random
+    random.seed(af)
+    width, kind = (32, ipaddress.IPv4Network) if af == 4 else (128, ipaddress.IPv6Network)
+    top = 10 << (width - 8)
+
+    def some(n):
+        base = top + (random.getrandbits(8) << (width - 20)) + random.getrandbits(4)
+        return base >> (width - n) << (width - n)
+
+    nets = [(some(n), n) for n in random.choices([0, 8, 12, 14, 20, width - 2, width], k=120)]
+    nets += [((1 << width) - 1, width), (1 << (width - 1), 1), (0, 1)]
+    entries = [(str(kind(x)), random.randint(1, 3), i) for i, x in enumerate(nets)]
+    keys = [(str(kind((some(width), n), strict=False)), random.randint(1, 3)) for n in random.choices([9, 16, 24, width], k=80)]
+    keys += [(str(kind(((1 << width) - 1, width))), 1), (str(kind((0, width))), 2), ("x/8", 1)]
+    keys = sorted(set(keys))
+
+    def parsed(text):
+        try:
+            return kind(text)
+        except ValueError:
+            return None
+
+    table = prefixes.prefix_table(spark.createDataFrame(entries, "p string, origin int, entry int"), "p", af)
+    df = spark.createDataFrame(keys, "prefix string, origin int")
+    addr, length = address(address_part(F.col("prefix")), af), length_part(F.col("prefix"), af)
+    for on in ([], ["origin"]):
+        want = sorted((k, o, e) for k, o in keys for p, own, e in entries
+                      if parsed(k) and parsed(k).subnet_of(kind(p)) and (not on or o == own))
+        part = table if on else table.drop("origin")
+        got = prefixes.covering(df, addr, length, part, af, on, broadcast_rows)
+        assert rows(got, "prefix", "origin", "entry") == want
+
+
+def test_one_network_covers_all(spark):
+    """The network of all addresses over many keys: one row a key, whichever task it is in."""
+    table = spark.createDataFrame([(0, 0, "all")], "net bigint, len int, cc string")
+    keys = spark.range(100_000).select(long_to_ip(F.col("id") * 42_949).alias("ip"))
+    at = address(F.col("ip"), 4)
+    assert prefixes.covering(keys, at, F.lit(32), table, 4, broadcast_rows=0).count() == 100_000
+
+
+def test_times_out_of_range_are_rejected(spark):
+    spec = MapSpec("t", "out", ("at",), ("datetime",), ("at",))
+    ok, bad = map_rows(spark.createDataFrame([(1e18,), (1e300,), (float("nan"),), (12.0,), (None,)], "at double"), spec)
+    assert rows(ok.select(F.unix_seconds("at"))) == [(12,)]
+    assert rows(bad, "reason") == [("bad at",), ("bad at",), ("bad at",), ("missing at",)]
+
+
+def test_numbers_that_only_score_zero_are_registered(spark):
+    dim = spark.createDataFrame([], "number bigint, name string, tartiflette boolean, disco boolean, ashash boolean")
+    df = spark.createDataFrame([(0, "5", "6", 0.0, 1), (0, "7", "8", 0.5, 1)],
+                               "timestamp bigint, scope string, asn string, hege double, nb_peers int")
+    assert rows(scores.as_numbers(df, dim), "number", "ashash") == [(n, True) for n in (5, 6, 7, 8)]
+    by_prefix = df.withColumn("scope", F.concat(F.lit("10.0.0.0/8_"), "scope"))
+    assert rows(scores.prefix_numbers(by_prefix, dim), "number", "ashash") == [(n, False) for n in (5, 6, 7, 8)]
+    country = spark.createDataFrame([("AA", 0.0), ("BB", 1.0)], "cc string, hege double")
+    known = spark.createDataFrame([], "code string, name string, tartiflette boolean, disco boolean")
+    names = spark.createDataFrame([("AA", "Aland"), ("BB", "Beland")], "code string, name string")
+    assert rows(scores.countries(country, known, names), "code", "name") == [("AA", "Aland"), ("BB", "Beland")]

@@ -3,7 +3,7 @@ from datetime import datetime
 from conftest import rows
 from tidemark.operators import hegemony
 from tidemark.session import work_dir
-from tidemark.streaming import bins, runs
+from tidemark.streaming import bins, outages, runs
 
 SCHEMA = "timestamp bigint, scope string, asn string, hege double"
 DAY = 86400
@@ -37,3 +37,35 @@ def test_append_once_is_idempotent(spark):
     write(df, 0)
     write(df, 1)
     assert spark.read.parquet(path).count() == 6
+
+
+BURST = ("streamtype string, streamname string, starttime bigint, level double, totalprobes bigint, "
+         "probelist map<bigint, bigint>")
+BACK = "streamtype string, streamname string, starttime bigint, endtime bigint, reconnectedprobes map<bigint, bigint>, offset bigint"
+
+
+def test_outages_change_only_what_a_batch_touches(spark):
+    path, none = work_dir(spark, "test-outages"), []
+    batches = [
+        ([("ASN", "1", T0, 3.0, 9, {7: T0, 8: T0 + 1})], none),  # opens
+        ([("ASN", "2", T0, 3.0, 9, {7: T0})], [("ASN", "3", T0, T0 + 900, {9: T0 + 800}, 1)]),  # 3 waits for its burst
+        (none, [("ASN", "1", T0, T0 + 600, {8: T0 + 500}, 2)]),  # closes
+        ([("ASN", "3", T0, 4.0, 9, {9: T0})], [("ASN", "2", T0, T0 + 60, {}, 3)]),  # inserted closed; 2 was short
+        (none, [("ASN", "1", T0, T0 + 700, {}, 1), ("ASN", "2", T0, T0 + 900, {}, 9)]),  # older end; deleted stays so
+        ([("ASN", "4", 10 ** 18, 1.0, 1, {})], [("ASN", "1", T0, T0 + 800, {7: T0 + 650}, 5)]),
+    ]
+    for bursts, ends in batches:
+        spark.createDataFrame(bursts, BURST).coalesce(1).write.mode("append").parquet(f"{path}/bursts")
+        spark.createDataFrame(ends, BACK).coalesce(1).write.mode("append").parquet(f"{path}/ends")
+        streams = [runs.read_files(spark, f"{path}/{n}", spark.createDataFrame([], k).schema) for n, k in (("bursts", BURST), ("ends", BACK))]
+        outages.follow(*streams, f"{path}/out").awaitTermination()  # restarts from its checkpoint
+    log = spark.read.parquet(f"{path}/out/changes")
+    assert rows(log, "streamname", "version", "op", "ended") == [
+        ("1", 1, "insert", None), ("1", 2, "update", T0 + 600), ("1", 3, "update", T0 + 800), ("2", 1, "insert", None),
+        ("2", 2, "delete", None), ("3", 1, "insert", T0 + 900)]
+    found = outages.current_events(spark, f"{path}/out")
+    assert rows(found, "streamname", "nbdiscoprobes", "ongoing") == [("1", 2, False), ("3", 1, False)]
+    known = spark.createDataFrame([(7, "a", "p", [1.0, 2.0]), (8, "b", "q", None)],
+                                  "id bigint, address_v4 string, prefix_v4 string, coordinates array<double>")
+    probes = outages.current_probes(spark, f"{path}/out", known).selectExpr("probe_id", "unix_seconds(endtime) e", "lat", "lon")
+    assert rows(probes) == [(7, T0 + 650, 2.0, 1.0), (8, T0 + 1, None, None)]

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.clock import from_epoch_s
 from tidemark.operators.dimensions import lookup_location
 
 
@@ -39,7 +40,7 @@ def _cast(value: Column, kind: str) -> Column:
     if kind == "str":
         return value.cast("string")
     if kind == "datetime":
-        return F.timestamp_seconds(value.try_cast("double"))
+        return from_epoch_s(value.try_cast("double"))
     if kind == "atlas_location":
         return value.cast("string")
     raise ValueError(f"unknown type {kind}")

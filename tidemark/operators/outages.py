@@ -4,27 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.clock import from_epoch_s
+
 MIN_OUTAGE_S = 300  # Fixed value: shorter outages are removed.
 EVENT = ["streamtype", "streamname", "starttime"]
 
 
 def _event_key() -> list[Column]:
     return [F.lower("streamtype").alias("streamtype"), F.col("streamname").cast("string").alias("streamname"),
-            F.timestamp_seconds("starttime").alias("starttime")]
+            from_epoch_s(F.col("starttime")).alias("starttime")]
 
 
 def burst_events(bursts: DataFrame) -> DataFrame:
     """An open event per burst; its end is its start until it is known."""
     return bursts.select(
-        *_event_key(), F.timestamp_seconds("starttime").alias("endtime"),
+        *_event_key(), from_epoch_s(F.col("starttime")).alias("endtime"),
         F.col("level").alias("avglevel"), "totalprobes",
         F.size("probelist").alias("nbdiscoprobes"), F.lit(True).alias("ongoing"))
 
 
 def event_reconnects(reconnects: DataFrame, min_s: int = MIN_OUTAGE_S) -> DataFrame:
     """One row per event key: whether any reconnect is short, and the last long one."""
-    short = F.col("endtime") - F.col("starttime") < min_s
-    long_end = F.when(~short, F.struct(F.timestamp_seconds("endtime").alias("endtime"), "reconnectedprobes"))
+    short = F.try_subtract("endtime", "starttime") < min_s
+    long_end = F.when(~short, F.struct(from_epoch_s(F.col("endtime")).alias("endtime"), "reconnectedprobes"))
     rows = reconnects.select(*_event_key(), short.alias("_short"), long_end.alias("_long"),
                              F.when(~short, F.col("offset")).alias("_at"))
     return rows.groupBy(*EVENT).agg(
@@ -57,16 +59,16 @@ def outage_probes(bursts: DataFrame, reconnects: DataFrame, probes: DataFrame,
         .join(back, [*EVENT, "probe_id"], "left")
         .select(
             *[F.col(c) if c != "starttime" else F.col(c).alias("event_starttime") for c in EVENT], "probe_id",
-            F.timestamp_seconds("_start").alias("starttime"),
-            F.timestamp_seconds(F.coalesce("_end", "_start")).alias("endtime"),
+            from_epoch_s(F.col("_start")).alias("starttime"),
+            from_epoch_s(F.coalesce("_end", "_start")).alias("endtime"),
             "level", "ipv4", "prefixv4", "lat", "lon")
     )
 
 
 def unmatched_reconnects(bursts: DataFrame, reconnects: DataFrame, min_s: int = MIN_OUTAGE_S) -> DataFrame:
     """Long reconnects that have no event. A short one without an event is no error."""
-    long = reconnects.where(F.col("endtime") - F.col("starttime") >= min_s)
-    keyed = long.select(*_event_key(), F.timestamp_seconds("endtime").alias("endtime"), "offset")
+    long = reconnects.where(F.try_subtract("endtime", "starttime") >= min_s)
+    keyed = long.select(*_event_key(), from_epoch_s(F.col("endtime")).alias("endtime"), "offset")
     return keyed.join(bursts.select(*_event_key()), EVENT, "left_anti")
 
 

@@ -1,8 +1,8 @@
-"""Prefix lookups as equi joins.
+"""Prefix lookups by a sorted forward fill.
 
-An address or prefix is looked up by joining its networks at the lengths that occur in
-the table. At most 33 (IPv4) or 129 (IPv6) rows come from a key, and keys are made
-distinct first, so neither a range join nor a cross product is needed.
+A table of a counted, bounded size is broadcast. A larger one is flattened into disjoint
+ranges; distinct keys and ranges are sorted together, and each key takes the range that began
+last (``covering``). Neither way needs a range join or a cross product.
 
 Tables have ``net`` and ``len``, with ``net`` as ``functions.network`` writes it.
 """
@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.network import WIDTH, address, address_part, length_part, truncate
+from tidemark.functions.network import WIDTH, address, address_part, after, length_part, truncate
 from tidemark.session import kept
 
 # The origin validation states of RFC 6811.
@@ -21,6 +21,7 @@ VALID, INVALID, NOT_FOUND = "Valid", "Invalid", "NotFound"
 UNKNOWN_COUNTRY = "ZZ"
 
 ASN_BLOCK = 1024
+BROADCAST_NETWORKS = 500_000
 
 
 def prefix_table(df: DataFrame, prefix: str, af: int = 4) -> DataFrame:
@@ -30,27 +31,76 @@ def prefix_table(df: DataFrame, prefix: str, af: int = 4) -> DataFrame:
     return df.select(net.alias("net"), length.alias("len"), *[c for c in df.columns if c != prefix])
 
 
-def _lengths(table: DataFrame) -> Column:
-    """The lengths in a table, as one array of at most 129 numbers."""
-    return table.agg(F.collect_set("len").alias("lengths")).scalar()
+def chains(nets: DataFrame, lengths: Sequence[int], af: int, on: Sequence[str]) -> DataFrame:
+    """``nets`` (``net, len, *on, _rows``) as disjoint ranges: where each begins, ``_at``, with the
+    networks that cover all of it, ``_chain``. A range ends where the next one begins."""
+    starts = nets.select(*on, F.col("net").alias("_at"))
+    ends = nets.select(*on, after(F.col("net"), F.col("len"), af).alias("_at")).where(F.col("_at").isNotNull())
+    points = starts.union(ends).distinct()
+    each = points.withColumn("len", F.explode(F.array(*map(F.lit, lengths)))).withColumn(
+        "net", truncate(F.col("_at"), F.col("len"), af))
+    key = ["net", "len", *on]
+    # with the mark both sides are dealt anew, so that a short network that covers many can be split
+    met = each.withColumn("_mark", F.xxhash64(*key)).join(nets.withColumn("_mark", F.xxhash64(*key)), ["_mark", *key], "left")
+    return met.groupBy(*on, "_at").agg(F.collect_list(
+        F.when(F.col("_rows").isNotNull(), F.struct("len", "net", "_rows"))).alias("_chain"))
 
 
 def covering(keys: DataFrame, addr: Column, longest: Column, table: DataFrame, af: int,
-             on: Sequence[str] = ()) -> DataFrame:
+             on: Sequence[str] = (), broadcast_rows: int = BROADCAST_NETWORKS) -> DataFrame:
     """Each key with every table row whose network covers it; keys without one are absent.
 
-    ``on`` names further columns in which key and row must agree. Reduce the table to one
-    row per network and ``on`` first, and a key has at most one row for each length.
+    ``on`` names further columns in which key and row must agree. The rows of one network and
+    ``on`` go with it as a list, so reduce the table to few of them first.
+
+    The networks are counted first. Up to ``broadcast_rows`` of them are broadcast, and a key
+    looks its network up at each length that occurs, without a shuffle. Beyond that the table
+    becomes disjoint ranges (``by_ranges``). Both give the same rows.
+    """
+    rest = [c for c in table.columns if c not in ("net", "len", *on)]
+    nets = kept(table.where(F.col("net").isNotNull() & F.col("len").isNotNull()).groupBy("net", "len", *on).agg(
+        F.collect_list(F.struct(*rest)).alias("_rows")))
+    sizes = {r["len"]: r["count"] for r in nets.groupBy("len").count().collect()}  # at most 129 lengths
+    lengths = sorted(sizes)
+    if not lengths:
+        none = keys.where(F.lit(False))
+        return none.join(table, list(on)) if on else none.crossJoin(table.limit(0))
+    named = [*on, *[k for k in keys.columns if k not in on]]
+    if sum(sizes.values()) <= broadcast_rows:
+        key = ["net", "len", *on]
+        at = keys.withColumn("_at", addr).withColumn("_max", longest).withColumn(
+            "len", F.explode(F.array(*map(F.lit, lengths)))).where(F.col("len") <= F.col("_max"))
+        met = at.withColumn("net", truncate(F.col("_at"), F.col("len"), af)).join(F.broadcast(nets), key)
+        return met.select("net", "len", *named, F.explode("_rows").alias("_row")).select("net", "len", *named, "_row.*")
+    met = by_ranges(keys, addr, longest, nets, lengths, af, on)
+    each = met.select("_key", "_net", F.explode("_net._rows").alias("_row"))
+    return each.select("_net.net", "_net.len", *[F.col("_key")[c].alias(c) for c in named], "_row.*")
+
+
+def by_ranges(keys: DataFrame, addr: Column, longest: Column, nets: DataFrame, lengths: Sequence[int], af: int,
+              on: Sequence[str]) -> DataFrame:
+    """``_key, _net``: each key, as a struct, with each network that covers it.
+
+    Disjoint ranges and keys are sorted together. The last range at or before a key is carried
+    forward inside each sorted bucket, and from bucket to bucket as one row per bucket. A key
+    stays one row, however many lengths there are, and a short network is no join key of keys.
     """
-    at = (
-        keys.withColumn("_addr", addr)
-        .withColumn("_max", longest)
-        .withColumn("len", F.explode(_lengths(table)))
-        .where(F.col("len") <= F.col("_max"))
-        .withColumn("net", truncate(F.col("_addr"), F.col("len"), af))
-        .drop("_addr", "_max")
-    )
-    return at.join(table, ["net", "len", *on])
+    # kept, so that addresses are parsed once and not again for the bounds of the ranges
+    as_keys = kept(keys.select(*on, addr.alias("_at"), F.struct(*keys.columns).alias("_key"), longest.alias("_max")))
+    mixed = as_keys.where(F.col("_at").isNotNull()).unionByName(chains(nets, lengths, af, on), allowMissingColumns=True)
+    order = [*on, "_at", F.col("_key").isNotNull()]  # a range stands before the keys at its start
+    sorted_ = kept(mixed.repartitionByRange(*order).withColumn("_bucket", F.spark_partition_id()))
+    of_range = F.when(F.col("_key").isNull(), F.struct(*on, "_chain"))
+    last = sorted_.groupBy("_bucket").agg(
+        F.max_by(of_range, F.when(F.col("_key").isNull(), F.struct(*on, "_at"))).alias("_range"))
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket
+    before = last.select("_bucket", F.last("_range", ignorenulls=True).over(earlier).alias("_before"))
+    so_far = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = sorted_.withColumn("_range", F.last(of_range, ignorenulls=True).over(so_far)).where(F.col("_key").isNotNull())
+    met = filled.join(before, "_bucket").withColumn("_range", F.coalesce("_range", "_before"))
+    for c in on:
+        met = met.where(F.col(c) == F.col("_range").getField(c))
+    return met.select("_key", F.explode(F.filter(F.col("_range._chain"), lambda n: n["len"] <= F.col("_max"))).alias("_net"))
 
 
 def best_match(keys: DataFrame, ip: str, table: DataFrame, value: str, af: int = 4) -> DataFrame:

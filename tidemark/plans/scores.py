@@ -28,19 +28,26 @@ def as_hegemony(df: DataFrame, af: int, start: int | None = None, end: int | Non
     return stored, hegemony.cone(rows, af)
 
 
-def registered(rows: DataFrame, asns: DataFrame, columns: Sequence[str] = ("originasn_id", "asn_id"),
-               countries: DataFrame | None = None, names: DataFrame | None = None,
-               special: Mapping[str, str] = dimensions.REGION_NAMES) -> tuple[DataFrame, DataFrame | None]:
-    """``(asns, countries)``: the dimensions with all that score rows refer to.
+def as_numbers(df: DataFrame, asns: DataFrame, start: int | None = None, end: int | None = None,
+               time_col: str = "timestamp") -> DataFrame:
+    """The AS numbers with all that AS scores name, also those that only ever score zero."""
+    return dimensions.register_asns(asns, hegemony.score_rows(df, time_col, start, end), ["originasn_id", "asn_id"])
 
-    Without ``countries`` only AS numbers are registered. Prefix scores take
-    ``dimensions.UNKNOWN_COUNTRY`` as a further ``special`` name.
-    """
-    numbers = dimensions.register_asns(asns, rows, list(columns))
-    if countries is None:
-        return numbers, None
-    codes = rows.select(F.col("country_id").alias("code"))
-    return numbers, dimensions.register_countries(countries, codes, names, special)
+
+def prefix_numbers(df: DataFrame, asns: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
+    """The AS numbers with all that prefix scores name, zero scores included; flags stay."""
+    return dimensions.register_asns(asns, prefix_rows(df, start, end), ["originasn_id", "asn_id"], ashash=False)
+
+
+def prefix_countries(rows: DataFrame, known: DataFrame, names: DataFrame) -> DataFrame:
+    """The countries with those of stored prefix scores, the unknown one too."""
+    special = dimensions.REGION_NAMES | dimensions.UNKNOWN_COUNTRY
+    return dimensions.register_countries(known, rows.select(F.col("country_id").alias("code")), names, special)
+
+
+def countries(df: DataFrame, known: DataFrame, names: DataFrame) -> DataFrame:
+    """The countries with all that country scores name, also those that only ever score zero."""
+    return dimensions.register_countries(known, df.select(F.col("cc").alias("code")), names)
 
 
 def prefix_rows(df: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
