@@ -1,121 +1,91 @@
 """Outage events from two streams, bursts and reconnects, followed event by event.
 
 Each event has its own state: its burst, its last long reconnection and whether a short one
-came. Whatever order messages come in, a batch gives out what changed for the events it
-touches: an insert, an update or a delete, numbered by a version. A reconnection that comes
-before its burst waits in the state. Batches own their folder, so a retried batch leaves the
-same changes once.
+came. Whatever order messages come in, a batch gives out the events it touches, as an upsert
+or a delete. A reconnection that comes before its burst waits in the state. Batches own their
+folder, so a retried batch leaves the same changes once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.functions.clock import MAX_EPOCH_S, from_epoch_s
+from tidemark.functions.clock import from_epoch_s
 from tidemark.operators import outages
 from tidemark.streaming.runs import append_once, start, use_rocksdb
 
-KEY = ["streamtype", "streamname", "started"]
-EVENT = ("avglevel double, totalprobes bigint, nbdiscoprobes int, ended bigint, probes array<bigint>, "
-         "starts array<bigint>, ends array<bigint>")
-CHANGE = f"streamtype string, streamname string, started bigint, op string, version bigint, {EVENT}"
-STATE = ("version bigint, shown boolean, short boolean, level double, totalprobes bigint, probes array<bigint>, "
-         "starts array<bigint>, ended bigint, at bigint, back array<bigint>, back_times array<bigint>")
-EMPTY = (0, False, False, None, None, None, None, None, None, None, None)
+KEY = ["streamtype", "streamname", "starttime"]
 
 
-def _messages(kind: str, stream: DataFrame, probes: str, **columns: Column) -> DataFrame:
-    names = {"level": "double", "totalprobes": "bigint", "ended": "bigint", "at": "bigint"}
+def _messages(stream: DataFrame, keep: str | None, burst: Column | None = None, short: Column | None = None,
+              end: Column | None = None, at: Column | None = None) -> DataFrame:
+    named = {"burst": (burst, "struct<level: double, totalprobes: bigint, probes: array<bigint>, starts: array<bigint>>"),
+             "short": (short, "boolean"),
+             "end": (end, "struct<endtime: bigint, probes: array<bigint>, ends: array<bigint>>"), "at": (at, "bigint")}
     found = stream.select(
         F.lower("streamtype").alias("streamtype"), F.col("streamname").cast("string").alias("streamname"),
-        F.col("starttime").cast("bigint").alias("started"), F.lit(kind).alias("kind"),
-        *[columns.get(n, F.lit(None)).cast(t).alias(n) for n, t in names.items()],
-        F.map_keys(probes).cast("array<bigint>").alias("probes"), F.map_values(probes).cast("array<bigint>").alias("times"))
-    return found.where(F.col("started").between(-MAX_EPOCH_S, MAX_EPOCH_S))
+        from_epoch_s(F.col("starttime")).alias("starttime"),
+        *[(F.lit(None) if c is None else c).cast(t).alias(n) for n, (c, t) in named.items()])
+    found = found.where(F.col("starttime").isNotNull())
+    return found.withWatermark("starttime", keep) if keep else found
 
 
-def changes(bursts: DataFrame, reconnects: DataFrame, min_s: int = outages.MIN_OUTAGE_S) -> DataFrame:
-    """``op`` (insert, update, delete) and the event as it is now, for each event that a batch changes.
+def changes(bursts: DataFrame, reconnects: DataFrame, min_s: int = outages.MIN_OUTAGE_S,
+            keep: str | None = None) -> DataFrame:
+    """``op`` (upsert, delete) and the event as it is now, for each event that a batch touches.
 
     A short reconnection ends an event for good; of long ones the one with the largest offset
-    counts. Of several bursts of one key the first one counts. Messages whose start is out of
-    range are left out.
+    counts, and of several bursts of one key the smallest. Messages whose start is out of range
+    are left out. With ``keep`` an event's state goes, and later messages for it are dropped,
+    once all events are that much younger; without it state is kept for good.
     """
     use_rocksdb(bursts.sparkSession)
-    both = _messages("burst", bursts, "probelist", level=F.col("level"), totalprobes=F.col("totalprobes")).unionByName(
-        _messages("end", reconnects, "reconnectedprobes", ended=F.col("endtime"), at=F.col("offset")))
-
-    def listed(values) -> list[int]:
-        return [] if values is None else [int(v) for v in values]
-
-    def step(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        version, shown, short, level, total, probes, starts, ended, at, back, times = state.get if state.exists else EMPTY
-        before = (shown, ended, at)
-        for frame in frames:
-            for m in frame.to_dict("records"):
-                if m["kind"] == "burst":
-                    if probes is None:
-                        probes, starts = listed(m["probes"]), listed(m["times"])
-                        level = None if pd.isna(m["level"]) else float(m["level"])
-                        total = None if pd.isna(m["totalprobes"]) else int(m["totalprobes"])
-                elif not pd.isna(m["ended"]):
-                    offset = -1 if pd.isna(m["at"]) else int(m["at"])
-                    if m["ended"] - key[2] < min_s:
-                        short = True
-                    elif at is None or offset > at:
-                        ended, at, back, times = int(m["ended"]), offset, listed(m["probes"]), listed(m["times"])
-        shown = probes is not None and not short
-        changed = (shown, ended, at) != before and (shown or before[0])
-        version += changed
-        state.update((version, shown, short, level, total, probes, starts, ended, at, back, times))
-        if changed:
-            op = "delete" if not shown else "update" if before[0] else "insert"
-            own = dict(zip(back or [], times or []))
-            yield pd.DataFrame([{
-                "streamtype": key[0], "streamname": key[1], "started": key[2], "op": op, "version": version,
-                "avglevel": level, "totalprobes": total, "nbdiscoprobes": len(probes), "ended": ended, "probes": probes,
-                "starts": starts, "ends": [own.get(p, s) for p, s in zip(probes, starts)]}]).astype(
-                    {"totalprobes": "Int64", "ended": "Int64"})
-
-    return both.groupBy(*KEY).applyInPandasWithState(step, CHANGE, STATE, "update", GroupStateTimeout.NoTimeout)
+    lasted = F.try_subtract("endtime", "starttime")
+    long = lasted >= min_s
+    opened = _messages(bursts, keep, burst=F.struct(
+        F.col("level"), F.col("totalprobes"), F.map_keys("probelist"), F.map_values("probelist")))
+    closed = _messages(reconnects, keep, short=lasted < min_s, end=F.when(long, F.struct(
+        F.col("endtime"), F.map_keys("reconnectedprobes"), F.map_values("reconnectedprobes"))),
+        at=F.when(long, F.coalesce("offset", F.lit(-1))))
+    state = opened.unionByName(closed).groupBy(*KEY).agg(
+        F.min("burst").alias("burst"), F.coalesce(F.max("short"), F.lit(False)).alias("short"), F.max_by("end", "at").alias("end"))
+    return state.where(F.col("burst").isNotNull()).select(
+        *KEY, F.when(F.col("short"), "delete").otherwise("upsert").alias("op"), "burst", "end")
 
 
 def follow(bursts: DataFrame, reconnects: DataFrame, path: str, every: str | None = None,
-           min_s: int = outages.MIN_OUTAGE_S) -> StreamingQuery:
+           min_s: int = outages.MIN_OUTAGE_S, keep: str | None = None) -> StreamingQuery:
     """Start writing ``changes`` under ``path``, a folder per batch."""
-    return start(changes(bursts, reconnects, min_s), f"{path}/changes", checkpoint=f"{path}/checkpoint", mode="update",
-                 every=every, writer=append_once(f"{path}/changes"))
+    return start(changes(bursts, reconnects, min_s, keep), f"{path}/changes", checkpoint=f"{path}/checkpoint",
+                 mode="update", every=every, writer=append_once(f"{path}/changes"))
 
 
 def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of each event that has not been deleted."""
-    found = spark.read.parquet(f"{path}/changes").drop("batch")
-    rest = [c for c in found.columns if c not in (*KEY, "version")]
-    newest = found.groupBy(*KEY).agg(F.max_by(F.struct(*rest), "version").alias("_e"))
-    return newest.select(*KEY, "_e.*").where("op <> 'delete'").drop("op")
+    """Each event as its last change left it, unless that was a delete."""
+    found = spark.read.parquet(f"{path}/changes")
+    newest = found.groupBy(*KEY).agg(F.max_by(F.struct("op", "burst", "end"), "batch").alias("_e"))
+    return newest.select(*KEY, "_e.*").where("op = 'upsert'").drop("op")
 
 
 def current_events(spark: SparkSession, path: str) -> DataFrame:
     """The event table as of the last batch."""
     return latest(spark, path).select(
-        "streamtype", "streamname", from_epoch_s(F.col("started")).alias("starttime"),
-        from_epoch_s(F.coalesce("ended", "started")).alias("endtime"), "avglevel", "totalprobes", "nbdiscoprobes",
-        F.col("ended").isNull().alias("ongoing"))
+        *KEY, F.coalesce(from_epoch_s(F.col("end.endtime")), "starttime").alias("endtime"),
+        F.col("burst.level").alias("avglevel"), F.col("burst.totalprobes").alias("totalprobes"),
+        F.size("burst.probes").alias("nbdiscoprobes"), F.col("end").isNull().alias("ongoing"))
 
 
 def current_probes(spark: SparkSession, path: str, probes: DataFrame) -> DataFrame:
     """The known probes of the events of the last batch, with the end of their own outage."""
+    own = F.map_from_arrays("end.probes", "end.ends")
     each = latest(spark, path).select(
-        "streamtype", "streamname", "started", "avglevel", F.explode(F.arrays_zip("probes", "starts", "ends")).alias("p"))
+        *KEY, F.col("burst.level").alias("level"), F.explode(F.arrays_zip("burst.probes", "burst.starts")).alias("p"), own.alias("own"))
     known = probes.select(
         F.col("id").alias("probe_id"), F.col("address_v4").alias("ipv4"), F.col("prefix_v4").alias("prefixv4"),
         F.get("coordinates", F.lit(1)).alias("lat"), F.get("coordinates", F.lit(0)).alias("lon"))
+    end = F.coalesce(F.try_element_at("own", F.col("p.probes")), F.col("p.starts"))
     return each.join(known, F.col("p.probes") == F.col("probe_id")).select(
-        "streamtype", "streamname", from_epoch_s(F.col("started")).alias("event_starttime"), "probe_id",
-        from_epoch_s(F.col("p.starts")).alias("starttime"), from_epoch_s(F.col("p.ends")).alias("endtime"),
-        F.col("avglevel").alias("level"), "ipv4", "prefixv4", "lat", "lon")
+        "streamtype", "streamname", F.col("starttime").alias("event_starttime"), "probe_id",
+        from_epoch_s(F.col("p.starts")).alias("starttime"), from_epoch_s(end).alias("endtime"), "level", "ipv4", "prefixv4",
+        "lat", "lon")
