@@ -8,6 +8,7 @@ one, each distinct fragment once per worker, and the identifiers are put togethe
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -62,22 +63,28 @@ class WordBpe:
 
     def pieces(self, word: str) -> list[str]:
         """Cut where two letters stand together in no token."""
-        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.joined]
+        joined = self.joined
+        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in joined]
+        if not cuts:
+            return [word]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
 
     @staticmethod
     def _merge(model: models.BPE):
-        return lambda piece: np.array([t.id for t in model.tokenize(piece)], "<i4").tobytes()
+        return lambda piece: array("i", [t.id for t in model.tokenize(piece)]).tobytes()
 
     def _word(self, word: str) -> bytes:
         """A word in byte letters."""
         *inner, last = self.pieces(word)
+        if not inner:
+            return self.last_pieces[last]
         return b"".join([*map(self.inner_pieces.__getitem__, inner), self.last_pieces[last]])
 
     def _chunk(self, chunk: str) -> bytes:
         """A stretch of lower-case text without white space."""
-        return b"".join(self._word("".join(map(self.letters.__getitem__, w.encode())))
-                        for w in self.words.findall(chunk))
+        # visible ASCII characters are their own letters
+        return b"".join([self._word(w if w.isascii() and w.isprintable() else "".join(map(self.letters.__getitem__, w.encode())))
+                         for w in self.words.findall(chunk)])
 
     def encode(self, text: str) -> bytes:
         """The identifiers, as little-endian 32-bit integers."""
