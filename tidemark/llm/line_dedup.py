@@ -105,38 +105,52 @@ def count_difference(a: Column, b: Column) -> Column:
     return sum((one(i) for i in range(1, len(COUNTED))), one(0))
 
 
-def candidates(lines: DataFrame, k: int, least: int) -> DataFrame:
+def keys(line: Column, k: int, least: int) -> Column:
+    """Hashes of the ``k + 1`` segments of a line, then of the substrings that may meet a segment of a
+    line not longer than it; null where that line would have less than ``least`` characters."""
+    where = [(0, i, 0) for i in range(k + 1)] + probes(k)
+    places = F.array(*[F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+                       for less, i, shift in where])
+
+    def one(p: Column) -> Column:
+        size = F.length(line) - p["less"]
+        start, width = segment(size, p["i"], k)
+        return F.when(size >= least, F.xxhash64(p["i"], size, F.substring(line, start + p["shift"] + 1, width)))
+
+    return F.when(F.length(line) >= least, F.transform(places, one))
+
+
+def candidates(lines: DataFrame, k: int) -> DataFrame:
     """Distinct ``a, b``, ``a < b``: identifiers of lines that share a segment in a place where
-    ``k`` edits allow it, and whose letter counts ``k`` edits can bring together."""
-    def keyed(name: str, where: list[tuple[int, int, int]]) -> DataFrame:
-        """A row for each place: one short expression for all of them, which is what compiles well."""
-        places = F.array(*[F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
-                           for less, i, shift in where])
-        at = lines.select("id", "counts", "line", "size", F.explode(places).alias("p")).where(
-            F.col("size") - F.col("p.less") >= least)
-        start, size = segment(F.col("size") - F.col("p.less"), F.col("p.i"), k)
-        return at.select(F.col("id").alias(name), F.col("counts").alias(f"{name}_counts"), F.xxhash64(
-            F.col("p.i"), F.col("size") - F.col("p.less"),
-            F.substring("line", start + F.col("p.shift") + 1, size)).alias("key"))
-
-    held = keyed("a", [(0, i, 0) for i in range(k + 1)])
-    asked = keyed("b", probes(k))
+    ``k`` edits allow it, and whose letter counts ``k`` edits can bring together. ``lines`` has
+    ``id, counts, keys``."""
+    def keyed(name: str, first: int, n: int) -> DataFrame:
+        return lines.select(F.col("id").alias(name), F.col("counts").alias(f"{name}_counts"),
+                            F.explode(F.slice("keys", first, n)).alias("key")).where(F.col("key").isNotNull())
+
+    held, asked = keyed("a", 1, k + 1), keyed("b", k + 2, len(probes(k)))
     met = held.join(asked, "key").where((F.col("a") != F.col("b")) & (
         count_difference(F.col("a_counts"), F.col("b_counts")) <= 2 * k))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_repeats(lines: DataFrame, k: int, least: int, broadcast_rows: int = 500_000) -> DataFrame:
+def near_repeats(every: DataFrame, lines: DataFrame, k: int, broadcast_rows: int = 500_000) -> DataFrame:
     """``id`` of each line that lies within ``k`` edits of a line that comes before it.
 
-    ``lines`` has ``id, line, size, counts, place``. Few lines are candidates; their identifiers are
-    broadcast if there are at most ``broadcast_rows`` of them, and else joined by a shuffle.
+    ``every`` has each line as often as it stands, ``digest, line, place``; ``lines`` each once, with
+    ``id, digest, place, counts, keys``. Few lines are candidates, and only their texts are fetched;
+    what names them is broadcast if there are at most ``broadcast_rows``, and else joined by a shuffle.
     """
-    lines = lines.where(F.col("size") >= least)
-    pairs = written(candidates(lines, k, least), "line-pairs")
+    pairs = written(candidates(lines, k), "line-pairs")
     needed = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "lines-needed")
     few = needed.count() <= broadcast_rows
-    some = written(lines.join(F.broadcast(needed) if few else needed, "id", "left_semi"), "lines-met")
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few else df
+
+    first = written(lines.select("id", "digest", "place").join(small(needed), "id"), "lines-first")
+    found = every.join(small(first), ["digest", "place"])
+    some = written(found.select("id", F.length("line").alias("size"), "line", "place").dropDuplicates(["id"]), "lines-met")
 
     def side(name: str) -> DataFrame:
         return some.select(F.col("id").alias(name), F.struct("size", "line", "place", "id").alias(f"{name}_line"))
@@ -164,15 +178,19 @@ def kept_lines(docs: DataFrame, k: int = 2, least: int = 30) -> DataFrame:
     numbered = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_key"), F.posexplode(
         F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line")).where(F.trim("line") != "")
     place = F.col("doc_key").cast("decimal(20,0)") * F.lit(SPAN).cast("decimal(11,0)") + F.col("pos").cast("decimal(10,0)")
-    lines = numbered.groupBy("line").agg(F.min(place.cast("decimal(38,0)")).alias("place"))
-    lines = written(lines.select(F.monotonically_increasing_id().alias("id"), "line", F.length("line").alias("size"),
-                                 letter_counts(F.col("line")).alias("counts"), "place"), "lines")
-    gone = written(near_repeats(lines, k, least), "near-lines")
+    every = numbered.select("line", F.unhex(F.substring(F.sha2("line", 256), 1, 32)).alias("digest"),
+                            place.cast("decimal(38,0)").alias("place"))
+    # lines are equal if 128 bits of their SHA-256 are; keys and counts move in place of the texts
+    counts = F.when(F.length("line") >= least, letter_counts(F.col("line")))
+    lines = every.select("digest", "place", counts.alias("counts"), keys(F.col("line"), k, least).alias("keys")).groupBy(
+        "digest", "counts", "keys").agg(F.min("place").alias("place"))
+    lines = written(lines.select(F.monotonically_increasing_id().alias("id"), "*"), "lines")
+    gone = written(near_repeats(every, lines, k), "near-lines")
     stay = lines.select("id", "place").join(gone, "id", "left_anti")
     pos = F.pmod(F.col("place"), F.lit(SPAN).cast("decimal(11,0)")).cast("int")
     key = ((F.col("place") - pos) / F.lit(SPAN).cast("decimal(11,0)")).cast("long")
     return stay.select(key.alias("doc_key"), pos.alias("pos")).groupBy("doc_key").agg(
-        F.sort_array(F.collect_list("pos")).alias("kept"))
+        F.sort_array(F.collect_set("pos")).alias("kept"))
 
 
 def line_dedup(docs: DataFrame, k: int = 2, least: int = 30) -> DataFrame:
