@@ -8,8 +8,8 @@ from checks import views as v
 from checks.registry import query
 from tidemark.functions.identifiers import encode_key
 from tidemark.operators import exchange, log, probes
-from tidemark.session import work_dir
-from tidemark.sources import files
+from tidemark.session import kept, work_dir
+from tidemark.sources import files, indexed_log, published
 
 COLUMNS = 'topic, partition, "offset", key, event_id, value, "timestamp"'
 START, END = "2024-01-10 00:00:00", "2024-01-20 12:00:00"
@@ -233,3 +233,87 @@ def probe_filter(spark, sf):
 @query("ok_only", "SELECT * FROM v_ixpfx WHERE status = 'ok'", "v_ixpfx")
 def ok_only(spark, sf):
     return exchange.read_ok(v.v_ixpfx(spark, sf))
+
+
+def _indexed(spark, sf):
+    """The log appended in three batches, one of them twice, as a published log with an index."""
+    whole, path = kept(v.v_log(spark, sf)), work_dir(spark, "indexed")
+    third = F.least(F.floor(F.dayofmonth("timestamp") / 11), F.lit(2))
+    for batch in (0, 1, 1, 2):
+        indexed_log.append(whole.where(third == batch), path, "appends", batch)
+    return path, whole.schema
+
+
+@query("log_index_scan", f"SELECT {COLUMNS} FROM v_log", "v_log")
+def log_index_scan(spark, sf):
+    path, schema = _indexed(spark, sf)
+    return flat(indexed_log.read(spark, path, schema))
+
+
+@query("log_index_compacted", f"""SELECT {COLUMNS} FROM v_log
+    QUALIFY row_number() OVER (PARTITION BY topic, partition ORDER BY "offset" DESC) <= 40""", "v_log")
+def log_index_compacted(spark, sf):
+    """The batches written as one, then the ends of all partitions."""
+    path, schema = _indexed(spark, sf)
+    indexed_log.compact(spark, path, schema)
+    return flat(indexed_log.tail(spark, path, schema, 40, None))
+
+
+@query("log_index_latest", f"""SELECT {COLUMNS} FROM v_log
+    QUALIFY row_number() OVER (PARTITION BY topic, partition ORDER BY "offset" DESC) = 1""", "v_log")
+def log_index_latest(spark, sf):
+    path, schema = _indexed(spark, sf)
+    return flat(indexed_log.latest(spark, path, schema))
+
+
+@query("log_index_tail", f"""SELECT {COLUMNS} FROM v_log WHERE partition = 1
+    QUALIFY row_number() OVER (PARTITION BY topic ORDER BY "offset" DESC) <= 3""", "v_log")
+def log_index_tail(spark, sf):
+    path, schema = _indexed(spark, sf)
+    return flat(indexed_log.tail(spark, path, schema, 3, partition=1))
+
+
+@query("log_index_head", f"""SELECT {COLUMNS} FROM v_log WHERE "offset" < 5""", "v_log")
+def log_index_head(spark, sf):
+    path, schema = _indexed(spark, sf)
+    return flat(indexed_log.head(spark, path, schema, 5))
+
+
+@query("log_index_offsets", """SELECT topic, partition, min("offset") AS low, max("offset") + 1 AS high FROM v_log
+    GROUP BY ALL""", "v_log")
+def log_index_offsets(spark, sf):
+    return indexed_log.offsets(spark, _indexed(spark, sf)[0])
+
+
+@query("log_index_seek", f"""SELECT {COLUMNS} FROM v_log WHERE "timestamp" >= TIMESTAMP '{END}'""", "v_log")
+def log_index_seek(spark, sf):
+    """From the offsets that the index gives for a time on, the messages at or after it."""
+    path, schema = _indexed(spark, sf)
+    start = indexed_log.seek(spark, path, END).withColumnRenamed("offset", "from_offset")
+    found = indexed_log.read(spark, path, schema).join(F.broadcast(start), ["topic", "partition"])
+    return flat(log.scan_log(found.where("offset >= from_offset"), start=END))
+
+
+@query("log_copy_observed", f"""SELECT 'copied' AS topic, count(*) AS messages, count(*) AS stored FROM v_log
+    WHERE {IN_RANGE}""", "v_log")
+def log_copy_observed(spark, sf):
+    """The count that the writing pass has seen, and what is stored."""
+    path = work_dir(spark, "copy")
+    written = files.write_log(log.copy_log(v.v_log(spark, sf), "copied", start=START, end=END), path)
+    return files.read_log(spark, path).groupBy("topic").agg(
+        F.lit(written.rows).cast("bigint").alias("messages"), F.count(F.lit(1)).alias("stored"))
+
+
+@query("table_append_once", """SELECT timebin, originasn_id, asn_id, hege, 4 AS af FROM v_hege_rows WHERE hege <> 0""",
+       "v_hege v_hege_rows")
+def table_append_once(spark, sf):
+    """Four batches appended, each of them twice, then written as one."""
+    from tidemark.plans.scores import as_hegemony
+
+    path, columns = work_dir(spark, "scores"), ["timebin", "originasn_id", "asn_id", "hege", "af"]
+    rows = as_hegemony(v.v_hege(spark, sf), 4)[0].select(*columns)
+    for batch in (0, 1, 0, 2, 3, 1, 2, 3):
+        published.append_table_once(rows.where(F.col("asn_id") % 4 == batch), path, columns, "scores", batch)
+    dated = rows.withColumn("date", F.to_date("timebin")).schema
+    published.compact(spark, path, dated, ["date"])
+    return published.read(spark, path, dated).drop("date")

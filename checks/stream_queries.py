@@ -5,6 +5,8 @@ Each reads a table as a stream. The SQL covers the bins that the watermark has c
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from checks import views as v
 from checks.event_queries import HISTORY, SPEC, SPEC_MEDIAN, anomaly_sql, flat_anomalies
 from checks.registry import SQL, query
@@ -13,7 +15,7 @@ from tidemark.operators import hegemony, probes
 from tidemark.operators.log import in_range
 from tidemark.plans import scores
 from tidemark.session import work_dir
-from tidemark.streaming import bins, detector, outages, runs
+from tidemark.streaming import bins, detector, outages, registration, runs
 
 CLOSED = "timebin <= (SELECT max(timebin) FROM {0}) - INTERVAL 31 DAY"
 
@@ -86,3 +88,77 @@ def disco_lifecycle(spark, sf):
 def disco_lifecycle_probes(spark, sf):
     known = probes.probe_defaults(v.v_probe(spark, sf))
     return outages.current_probes(spark, _followed(spark, sf, 3), known)
+
+
+def _in_files(spark, rows, by, n=3):
+    """Some rows as a stream of ``n`` files, one a batch, cut by ranges of ``by``."""
+    path = work_dir(spark, "input")
+    rows.repartitionByRange(n, by).write.parquet(path)
+    return runs.read_files(spark, path, rows.schema, files_per_trigger=1)
+
+
+def _registered(spark, rows, by, plan, base, key):
+    path = work_dir(spark, "registered")
+    registration.register_stream(_in_files(spark, rows, by), plan, base, path, key).awaitTermination()
+    return path, registration.registered(spark, path, base.schema)
+
+
+def _named(rows, dim, ids, text):
+    """The rows with the texts that their ids stand for."""
+    for column, out in ids.items():
+        rows = rows.join(dim.select(F.col("id").alias(column), text.alias(out)), column).drop(column)
+    return rows
+
+
+LOCATION = ["type", "name", "af"]
+
+
+@query("delay_rows_stream", """SELECT make_timestamp(ts * 1000000) AS timebin, startpoint, endpoint, median, nbtracks,
+    nbprobes, entropy, hop, nbrealrtts FROM v_delay""", "v_delay")
+def delay_rows_stream(spark, sf):
+    """Locations are registered while the stream runs; ids are read back as the texts they stand for."""
+    rows, base = v.v_delay(spark, sf), v.v_location_dim(spark, sf)
+    plan = scores.network_delay
+    path, dim = _registered(spark, rows, "ts", plan, base, LOCATION)
+    found = registration.result(spark, path, plan(rows.limit(0), base)[0].schema)
+    return _named(found, dim, {"startpoint_id": "startpoint", "endpoint_id": "endpoint"},
+                  F.concat("type", "name", F.lit("v"), "af"))
+
+
+@query("delay_locations_stream", "SELECT type, name, af, 1::BIGINT AS ids, true AS own FROM v_delay_dim",
+       "v_location_dim v_delay v_delay_seen v_delay_dim")
+def delay_locations_stream(spark, sf):
+    """Each location has one id, and no id stands for two."""
+    _, dim = _registered(spark, v.v_delay(spark, sf), "ts", scores.network_delay, v.v_location_dim(spark, sf), LOCATION)
+    shared = dim.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return dim.join(shared, "id").groupBy(*LOCATION).agg(F.count(F.lit(1)).alias("ids"), (F.max("n") == 1).alias("own"))
+
+
+@query("tr_hegemony_stream", "SELECT timebin, origin, dependency, hege, 4 AS af, nbsamples FROM v_tr_rows",
+       "v_tr v_tr_rows")
+def tr_hegemony_stream(spark, sf):
+    rows, base = v.v_tr(spark, sf), v.v_location_dim(spark, sf)
+    plan = lambda batch, known: scores.tr_hegemony(batch, 4, known)
+    path, dim = _registered(spark, rows, "timestamp", plan, base, LOCATION)
+    found = registration.result(spark, path, plan(rows.limit(0), base)[0].schema)
+    return _named(found, dim, {"origin_id": "origin", "dependency_id": "dependency"}, F.concat("type", F.lit(":"), "name"))
+
+
+def _countries(spark, sf):
+    names = v.v_country_names(spark, sf)
+    base = v.v_country_dim(spark, sf).withColumn("known", F.lit(True))
+    plan = lambda batch, known: (
+        scores.country_hegemony(batch, 4), scores.countries(batch, known.drop("known"), names))
+    path, dim = _registered(spark, v.v_hege_country(spark, sf), "ts", plan, base, ["code"])
+    return path, dim
+
+
+@query("country_hegemony_stream", SQL["country_hegemony"])
+def country_hegemony_stream(spark, sf):
+    schema = scores.country_hegemony(v.v_hege_country(spark, sf), 4).schema
+    return registration.result(spark, _countries(spark, sf)[0], schema)
+
+
+@query("country_dim_stream", SQL["country_dim"])
+def country_dim_stream(spark, sf):
+    return _countries(spark, sf)[1]

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import log as logs
+from tidemark.sources.published import Written, observed
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -14,14 +15,16 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_log(log: DataFrame, path: str, mode: str = "append") -> None:
-    """Write messages in folders by topic and date.
+def write_log(log: DataFrame, path: str, mode: str = "append") -> Written:
+    """Write messages in folders by topic and date; returns their count and rate, of the same pass.
 
     Rows of one topic and day are brought together, and adaptive execution cuts those that
     are large over many tasks, so files have a moderate size however a log is spread.
     """
     dated = log.withColumn("date", F.to_date("timestamp"))
-    dated.hint("rebalance", "topic", "date").write.mode(mode).partitionBy("topic", "date").parquet(path)
+    # Counted after the exchange: tasks before it may run again when an executor is lost.
+    return observed(dated.hint("rebalance", "topic", "date"),
+                    lambda rows: rows.write.mode(mode).partitionBy("topic", "date").parquet(path))
 
 
 def append_table(df: DataFrame, path: str, columns: Sequence[str], date_from: str | None = "timebin",
