@@ -176,9 +176,10 @@ def test_classifiers_take_odd_rows(odd, none, spark):
     model = toxicity.train(odd.drop("score"), labels)
     assert toxicity.score(odd, model, "toxic_score").count() == len(ODD)
     assert toxicity.score(none, toxicity.train(none, labels.limit(0)), "s").count() == 0
-    pu = quality.train(odd, labels.where("label = 1"), odd)
-    assert all(0 <= r["score"] <= 1 for r in quality.score(odd, pu).collect())
-    assert quality.score(odd, quality.train(none, labels, none)).first()["score"] == 0.5
+    rows = quality.measured(odd)
+    pu = quality.train(rows, labels.where("label = 1"), odd)
+    assert all(0 <= r["score"] <= 1 for r in quality.score(rows, pu).collect())
+    assert quality.score(rows, quality.train(quality.measured(none), labels, none)).first()["score"] == 0.5
 
 
 def test_quality_on_held_out_rows(spark):
@@ -187,6 +188,68 @@ def test_quality_on_held_out_rows(spark):
     assert right > 0.97 and recall > 0.98
 
 
+def shaped(spark, n=240):
+    """Measures on few values, as ``train`` hands them on."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 3, (n, len(quality.NAMES))).astype(float)
+    pos, unl, half = rng.random(n) < 0.4, rng.random(n) < 0.8, rng.integers(0, 2, n)
+    rows = [([float(v) for v in a], bool(p), bool(u), int(h)) for a, p, u, h in zip(x, pos, unl, half)]
+    df = spark.createDataFrame(rows, "measures array<double>, pos boolean, unl boolean, half int").repartition(7)
+    return df, x, pos, unl, half
+
+
+def plain_risk(w, x, pos, unl, cuts, prior, l2):
+    """The risk row by row, from its definition."""
+    def mean(rows, sign):
+        losses = []
+        for row in rows:
+            at, f = 0, w[-1]
+            for v, c in zip(row, cuts):
+                f += w[at + sum(v > e for e in c)]
+                at += len(c) + 1
+            losses.append(np.log1p(np.exp(-sign * f)))
+        return np.mean(losses)
+
+    size = l2 / 2 * (w @ w)
+    if prior is None:
+        return mean(x[pos], 1) + mean(x[unl], -1) + size
+    return prior * mean(x[pos], 1) + max(0.0, mean(x[unl], -1) - prior * mean(x[pos], -1)) + size
+
+
+@pytest.mark.parametrize("prior", [None, 0.2, 0.95])
+def test_quality_risk_and_gradient_equal_a_plain_loop(spark, prior):
+    df, x, pos, unl, half = shaped(spark)
+    cuts = [np.array([0.0, 1.0])] * len(quality.NAMES)
+    w = np.random.default_rng(6).standard_normal(3 * len(quality.NAMES) + 1) / 3
+    for total, own in zip(quality.sums(df, cuts, [(None, w), (1, w)]), (np.full(len(x), True), half == 1)):
+        parts = quality.risks(total, w, prior, 0.01)
+        value, slope, _ = max(parts, key=lambda part: part[0])
+        plain = lambda w: plain_risk(w, x, pos & own, unl & own, cuts, prior, 0.01)
+        assert abs(value - plain(w)) < 1e-9
+        for j in (0, 7, 20, len(w) - 1):
+            by = np.eye(len(w))[j] * 1e-5
+            assert abs((plain(w + by) - plain(w - by)) / 2e-5 - slope[j]) < 1e-6
+
+
+def test_quality_fit_reaches_the_least_risk(spark):
+    df, x, pos, unl, _ = shaped(spark)
+    cuts, rule = [np.array([0.0, 1.0])] * len(quality.NAMES), quality.PuRule(l2=0.01)
+    for prior in (0.2, 0.95):
+        w = quality.descend(df, cuts, [None], prior, rule)[0]
+        least, rng = plain_risk(w, x, pos, unl, cuts, prior, rule.l2), np.random.default_rng(7)
+        for size in (0.3, 0.1, 0.03):
+            for _ in range(6):
+                other = w + rng.standard_normal(len(w)) * size
+                assert plain_risk(other, x, pos, unl, cuts, prior, rule.l2) > least - 2 * rule.gain
+
+
+def test_quality_cut_points_follow_all_rows(spark):
+    df = spark.range(4_000).select(F.array(*[F.col("id") / 4_000.0 if j else F.lit(0.0) for j in range(len(quality.NAMES))]).alias("measures"))
+    cuts = quality.cut_points(df, 4)
+    assert list(cuts[0]) == [0.0]
+    assert np.allclose(cuts[1], [0.0, 0.25, 0.5, 0.75], atol=1e-3)
+
+
 def test_prior_is_estimated_from_positives_and_unlabelled_alone():
     rng = np.random.default_rng(3)
     for prior in (0.3, 0.6, 0.9):

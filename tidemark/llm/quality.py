@@ -3,6 +3,9 @@
 Trusted positives and unlabelled text are enough: the share of positives among the
 unlabelled is estimated, and the classifier minimises the unbiased risk that follows from
 it, with the part that stands for the negatives kept from falling below zero.
+
+Cut points, prior and risk are sums over all positives and all unlabelled documents: measures
+are written once, and each step of Newton's method is one pass over them.
 """
 
 from __future__ import annotations
@@ -13,9 +16,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import kind, table, texts
+from tidemark.llm.common import kind, split_join, table, texts, written
 from tidemark.llm.toxicity import held_out, known_labels, sigmoid
 
 UPPER, DIGIT, SPACE, LETTER, END, SIGN = range(6)
@@ -55,15 +58,11 @@ def measures(text: str) -> list[float]:
 
 @dataclass(frozen=True)
 class PuRule:
-    """``most``: at most so many positives, and as many unlabelled documents, are learnt from:
-    those with the smallest hash of their identifier."""
-    most: int = 10_000
+    """``passes`` bounds the steps of one fit; it ends before when a step would gain less than ``gain``."""
     bins: int = 12
-    epochs: int = 60
-    batch: int = 1_000
-    rate: float = 0.02
+    passes: int = 30
+    gain: float = 1e-4
     l2: float = 1e-4
-    seed: int = 11
 
 
 @dataclass(frozen=True)
@@ -84,75 +83,177 @@ def one_hot(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(c, x[:, j], side="left") + starts[j] for j, c in enumerate(cuts)], axis=1)
 
 
-def cut_points(x: np.ndarray, bins: int) -> list[np.ndarray]:
-    """Quantiles of each measure, and zero on its own."""
-    return [np.unique(np.concatenate([[0.0], np.quantile(v, np.linspace(0, 1, bins + 1)[1:-1])])) for v in x.T]
+def class_prior(p: np.ndarray, u: np.ndarray, p_rows: np.ndarray | None = None, u_rows: np.ndarray | None = None) -> float:
+    """The share of positives among the unlabelled, from scores of rows not learnt from.
+
+    Above a score that only positives reach, unlabelled rows are as frequent as their share
+    of positives allows; the cut whose ratio has the smallest upper bound is taken. Equal
+    scores may be given once with their number of rows.
+    """
+    p_rows, u_rows = (np.ones(len(x)) if n is None else n for x, n in ((p, p_rows), (u, u_rows)))
+    if not p_rows.sum() or not u_rows.sum():
+        return 0.5
+    (p, p_sum), (u, u_sum) = ((x[o], np.cumsum(n[o])) for x, n, o in ((p, p_rows, np.argsort(p)), (u, u_rows, np.argsort(u))))
+    cuts = np.unique(p[np.searchsorted(p_sum, np.linspace(0, 0.8, 81) * p_sum[-1])])
+    above_p, above_u = (1 - np.concatenate([[0.0], n])[np.searchsorted(x, cuts, side="left")] / n[-1]
+                        for x, n in ((p, p_sum), (u, u_sum)))
+    bound = (above_u + 1.5 / np.sqrt(u_sum[-1]) + 1.5 / np.sqrt(p_sum[-1])) / above_p
+    best = int(np.argmin(bound))
+    return float(np.clip(above_u[best] / above_p[best], 1e-3, 1 - 1e-3))
+
+
+GRID = 16_384
+
+
+def cut_points(rows: DataFrame, bins: int) -> list[np.ndarray]:
+    """Quantiles of each measure over all rows, on a fine grid of its logarithm, and zero on its own."""
+    counts = rows.select(F.posexplode("measures").alias("j", "v")).groupBy(
+        "j", F.floor(F.log1p("v") * GRID).alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("j").orderBy("place")
+    whole = Window.partitionBy("j")
+    below = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(whole))
+    # A place is a cut if a quantile lies in it.
+    at = below.where(F.floor(F.col("upto") * bins / F.col("all")) > F.floor((F.col("upto") - F.col("n")) * bins / F.col("all")))
+    found = [{0.0} for _ in NAMES]
+    for r in at.where(F.col("upto") < F.col("all")).select("j", "place").collect():
+        if r["place"]:
+            found[r["j"]].add(float(np.expm1((r["place"] + 1) / GRID)))
+    return [np.array(sorted(c)) for c in found]
+
+
+def sums(rows: DataFrame, cuts: list[np.ndarray], weights: list[tuple[int | None, np.ndarray]]) -> list[dict[str, tuple]]:
+    """For each weights, of the rows of its half (all with none), and for ``pos`` and ``unl`` rows:
+    count, sum of log(1 + e^f), of x, of s x and of s (1 - s) x x', where s is the sigmoid of f.
+
+    A task gives one sum, 16 tasks unite them, and the driver gets 16 rows of a fixed size.
+    """
+    d = len(weights[0][1])
+    width = 2 + 2 * d + d * d
+    sent = rows.sparkSession.sparkContext.broadcast((cuts, weights))
+
+    def passed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts, weights = sent.value
+        total = np.zeros((len(weights), 2, width))
+        for part in parts:
+            bins = one_hot(np.array(part.column("measures").to_pylist(), dtype=float).reshape(-1, len(NAMES)), cuts)
+            x = np.zeros((len(bins), d))
+            np.put_along_axis(x, bins, 1.0, axis=1)
+            x[:, -1] = 1.0
+            half = part.column("half").to_numpy()
+            kinds = [part.column(c).to_numpy(zero_copy_only=False) for c in ("pos", "unl")]
+            for k, (own, w) in enumerate(weights):
+                f = x @ w
+                s, loss = sigmoid(f), np.logaddexp(0, f)
+                for c, of in enumerate(kinds):
+                    pick = of if own is None else of & (half == own)
+                    xs, ss = x[pick], s[pick]
+                    total[k, c] += np.concatenate([[len(xs), loss[pick].sum()], xs.sum(0), ss @ xs,
+                                                   ((xs * (ss * (1 - ss))[:, None]).T @ xs).ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    def united(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(sent.value[1]) * 2 * width)
+        for part in parts:
+            for each in part.column(0):
+                total += np.frombuffer(each.as_buffer())
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    few = rows.mapInArrow(passed, "sums binary").repartition(16).mapInArrow(united, "sums binary").collect()
+    total = sum(np.frombuffer(r["sums"]) for r in few).reshape(len(weights), 2, width)
+    return [{c: (t[0], t[1], t[2:2 + d], t[2 + d:2 + 2 * d], t[2 + 2 * d:].reshape(d, d)) for c, t in zip(("pos", "unl"), two)}
+            for two in total]
+
+
+def risks(total: dict[str, tuple], w: np.ndarray, prior: float | None, l2: float) -> list[tuple]:
+    """Value, gradient and curvature of the functions whose larger one is the risk.
+
+    With a ``prior`` the risk is prior E_p[l(f)] + max(0, E_u[l(-f)] - prior E_p[l(-f)]) with the
+    logistic loss l. It is the larger of its first term and the plain sum, whose terms in p join
+    to -prior E_p[f]; both are convex. Without one, positives are told from unlabelled rows.
+    """
+    (n, lp, xp, sp, hp), (m, lu, _, su, hu) = total["pos"], total["unl"]
+    size, ridge = 0.5 * l2 * (w @ w), l2 * np.eye(len(w))
+    first = (lp - xp @ w) / n, (sp - xp) / n, hp / n
+    if prior is None:
+        each = [(first[0] + lu / m, first[1] + su / m, first[2] + hu / m)]
+    else:
+        each = [tuple(prior * t for t in first), (lu / m - prior * (xp @ w) / n, su / m - prior * xp / n, hu / m)]
+    return [(value + size, slope + l2 * w, curve + ridge) for value, slope, curve in each]
 
 
-def descend(p: np.ndarray, u: np.ndarray, size: int, rule: PuRule, prior: float | None) -> tuple[np.ndarray, float]:
-    """Weights by mini-batches with Adam. ``p`` and ``u`` are bin numbers.
+def best_step(parts: list[tuple]) -> tuple[np.ndarray, float]:
+    """The step that makes the larger of the quadratic models least, and what it should gain.
 
-    With a ``prior``, the risk is prior E_p[l(f)] + max(0, E_u[l(-f)] - prior E_p[l(-f)]) with
-    the logistic loss l; where the second part is negative in a batch, the step undoes it.
-    Without one, positives are told from unlabelled rows.
+    It is the least point of the mixture of both whose least value is largest; that value is
+    concave in the share, which is narrowed from both sides.
     """
-    rng = np.random.default_rng(rule.seed)
-    w, m, v, step = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1), 0
-    for _ in range(rule.epochs):
-        po, uo = rng.permutation(len(p)), rng.permutation(len(u))
-        parts = max(1, len(u) // rule.batch)
-        for pi, ui in zip(np.array_split(po, parts), np.array_split(uo, parts)):
-            if not len(pi) or not len(ui):
+    def mixed(share: float) -> tuple[float, np.ndarray]:
+        value, slope, curve = (share * a + (1 - share) * b for a, b in zip(parts[0], parts[-1]))
+        step = -np.linalg.solve(curve, slope)
+        return value + slope @ step / 2, step
+
+    low, high = (0.0, 1.0) if len(parts) > 1 else (1.0, 1.0)
+    while high - low > 1e-9:
+        third = (high - low) / 3
+        if mixed(low + third)[0] < mixed(high - third)[0]:
+            low += third
+        else:
+            high -= third
+    bound, step = mixed((low + high) / 2)
+    return step, float(max(value for value, _, _ in parts) - bound)
+
+
+def descend(rows: DataFrame, cuts: list[np.ndarray], halves: list[int | None], prior: float | None, rule: PuRule
+            ) -> list[np.ndarray]:
+    """Weights by Newton's method, one for each of ``halves``, all from the same passes.
+
+    A step is halved where the risk would grow.
+    """
+    d = sum(len(c) + 1 for c in cuts) + 1
+    n = len(halves)
+    base, trial, step, best, done = [np.zeros(d)] * n, [np.zeros(d)] * n, [np.zeros(d)] * n, [np.inf] * n, [False] * n
+    for _ in range(rule.passes):
+        for k, total in enumerate(sums(rows, cuts, list(zip(halves, trial)))):
+            if done[k]:
+                continue
+            if not total["pos"][0] or not total["unl"][0]:
+                done[k] = True
                 continue
-            fp, fu = sigmoid(w[p[pi]].sum(1) + w[-1]), sigmoid(w[u[ui]].sum(1) + w[-1])
-            if prior is None:
-                gp, gu = (fp - 1) / len(pi), fu / len(ui)
+            parts = risks(total, trial[k], prior, rule.l2)
+            value = max(part[0] for part in parts)
+            if value <= best[k]:
+                base[k], best[k] = trial[k], value
+                step[k], gain = best_step(parts)
+                done[k] = gain < rule.gain
             else:
-                below = -np.log(np.clip(1 - fu, 1e-12, 1)).mean() - prior * -np.log(np.clip(1 - fp, 1e-12, 1)).mean()
-                if below >= 0:
-                    gp, gu = (prior * (fp - 1) - prior * fp) / len(pi), fu / len(ui)
-                else:
-                    gp, gu = prior * fp / len(pi), -fu / len(ui)
-            g = rule.l2 * w
-            for rows, each in ((p[pi], gp), (u[ui], gu)):
-                g[:size] += np.bincount(rows.ravel(), np.repeat(each, rows.shape[1]), minlength=size)
-                g[-1] += each.sum()
-            step += 1
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            w = w - rule.rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return w[:size], float(w[-1])
-
-
-def class_prior(p: np.ndarray, u: np.ndarray) -> float:
-    """The share of positives among the unlabelled, from scores of rows not learnt from.
+                step[k] = step[k] / 2
+            trial[k] = base[k] + step[k]
+        if all(done):
+            break
+    return base
 
-    Above a score that only positives reach, unlabelled rows are as frequent as their share
-    of positives allows; the cut whose ratio has the smallest upper bound is taken.
-    """
-    if not len(p) or not len(u):
-        return 0.5
-    cuts = np.unique(np.quantile(p, np.linspace(0, 0.8, 81)))
-    above_p, above_u = (1 - np.searchsorted(np.sort(x), cuts, side="left") / len(x) for x in (p, u))
-    bound = (above_u + 1.5 / np.sqrt(len(u)) + 1.5 / np.sqrt(len(p))) / above_p
-    best = int(np.argmin(bound))
-    return float(np.clip(above_u[best] / above_p[best], 0.05, 0.98))
 
+def out_of_half(rows: DataFrame, cuts: list[np.ndarray], weights: list[np.ndarray]) -> float:
+    """The class prior from scores of each half by the weights of the other, counted on a grid."""
+    sent = rows.sparkSession.sparkContext.broadcast((cuts, weights))
 
-def fit(p: np.ndarray, u: np.ndarray, rule: PuRule) -> PuModel:
-    """Learn from measures of positives and of unlabelled texts; without either, scores are a half."""
-    if not len(p) or not len(u):
-        return PuModel([np.zeros(0)] * len(NAMES), np.zeros(len(NAMES)), 0.0, 0.5)
-    cuts = cut_points(np.concatenate([p, u]), rule.bins)
-    size = sum(len(c) + 1 for c in cuts)
-    bp, bu = one_hot(p, cuts), one_hot(u, cuts)
-    # each half is scored by weights learnt on the other
-    scores = [[], []]
-    for half in (0, 1):
-        w, b = descend(bp[half::2], bu[half::2], size, rule, None)
-        scores[0].append(w[bp[1 - half::2]].sum(1) + b)
-        scores[1].append(w[bu[1 - half::2]].sum(1) + b)
-    prior = float(np.mean([class_prior(a, b) for a, b in zip(*scores)]))
-    return PuModel(cuts, *descend(bp, bu, size, rule, prior), prior)
+    def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts, weights = sent.value
+        for part in parts:
+            bins = one_hot(np.array(part.column("measures").to_pylist(), dtype=float).reshape(-1, len(NAMES)), cuts)
+            half = part.column("half").to_numpy()
+            f = np.where(half == 0, *[w[bins].sum(1) + w[-1] for w in (weights[1], weights[0])])
+            place = np.floor(np.clip(f, -30, 30) * 32).astype("int32")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(place), part.column("half"), part.column("pos"), part.column("unl")], ["place", "half", "pos", "unl"])
+
+    found = rows.mapInArrow(scored, "place int, half int, pos boolean, unl boolean").groupBy("half", "place").agg(
+        F.count_if("pos").alias("pos"), F.count_if("unl").alias("unl")).toPandas()
+    priors = []
+    for _, g in found.groupby("half"):
+        place = g["place"].to_numpy("float64")
+        priors.append(class_prior(place, place, g["pos"].to_numpy("float64"), g["unl"].to_numpy("float64")))
+    return float(np.mean(priors)) if priors else 0.5
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -167,25 +268,30 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(batches, f"doc_id {kind(docs, 'doc_id')}, measures array<double>")
 
 
-def train(docs: DataFrame, positives: DataFrame, unlabelled: DataFrame, rule: PuRule = PuRule()) -> PuModel:
-    """Learn from texts of ``docs`` whose ``doc_id`` is in ``positives`` or in ``unlabelled``.
+def train(rows: DataFrame, positives: DataFrame, unlabelled: DataFrame, rule: PuRule = PuRule()) -> PuModel:
+    """Learn from all ``measured`` rows whose ``doc_id`` is in ``positives`` or in ``unlabelled``.
 
-    Of each at most ``rule.most`` identifiers are taken, so they are broadcast, and a few
-    numbers for each come to the driver. A document may be in both.
+    A document may be in both; null identifiers are in neither. Without rows of either kind,
+    scores are a half. ``rows`` is best a written table, as each pass reads it.
     """
-    def rows(ids: DataFrame) -> np.ndarray:
-        some = ids.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(
-            F.xxhash64("doc_id"), "doc_id").limit(rule.most)
-        picked = measured(docs.join(F.broadcast(some), "doc_id")).dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
-        return np.array(picked["measures"].to_pylist(), dtype=float).reshape(-1, len(NAMES))
-
-    return fit(rows(positives), rows(unlabelled), rule)
+    marks = [ids.select("doc_id", F.lit(k == 0).alias("pos"), F.lit(k == 1).alias("unl"))
+             for k, ids in enumerate((positives, unlabelled))]
+    marks = marks[0].unionByName(marks[1]).where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max("pos").alias("pos"), F.max("unl").alias("unl"))
+    used = written(split_join(rows, marks, ["doc_id"]).select(
+        "measures", "pos", "unl", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")), "quality")
+    has = used.agg(F.count_if("pos").alias("pos"), F.count_if("unl").alias("unl")).first()
+    if not has["pos"] or not has["unl"]:
+        return PuModel([np.zeros(0)] * len(NAMES), np.zeros(len(NAMES)), 0.0, 0.5)
+    cuts = cut_points(used, rule.bins)
+    prior = out_of_half(used, cuts, descend(used, cuts, [0, 1], None, rule))
+    w = descend(used, cuts, [None], prior, rule)[0]
+    return PuModel(cuts, w[:-1], float(w[-1]), prior)
 
 
-def score(docs: DataFrame, model: PuModel) -> DataFrame:
-    """``doc_id, score``: the probability of being positive, for each whole text."""
-    rows = measured(docs)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def score(rows: DataFrame, model: PuModel) -> DataFrame:
+    """``doc_id, score``: the probability of being positive, for each of the ``measured`` rows."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -193,7 +299,7 @@ def score(docs: DataFrame, model: PuModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(sigmoid(sent.value.logits(x)))], ["doc_id", "score"])
 
-    return rows.mapInArrow(batches, f"doc_id {kind(rows, 'doc_id')}, score double")
+    return rows.select("doc_id", "measures").mapInArrow(batches, f"doc_id {kind(rows, 'doc_id')}, score double")
 
 
 FOLDS, FOLD = 4, 2
@@ -203,6 +309,7 @@ def op4_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     known = known_labels(table(spark, sf_dir, "labels"), "quality", FOLDS, FOLD)
     web = docs.select("doc_id").where(~held_out(F.col("doc_id"), FOLDS, FOLD))
-    model = train(docs, known.where("label = 1"), web)
-    return score(docs, model).select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "score",
+    rows = written(measured(docs), "measures")
+    model = train(rows, known.where("label = 1"), web)
+    return score(rows, model).select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "score",
                                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
