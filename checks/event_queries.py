@@ -84,7 +84,10 @@ def bgp_elements(spark, sf):
     string_agg(prefix, ' ' ORDER BY pos) AS prefixes FROM v_chunk
     GROUP BY collector, record_type, time, run, chunk""", "v_bgp v_run v_chunk")
 def bgp_batches(spark, sf):
-    b = bgp.batch_records(bgp.bgp_elements(v.v_bgp(spark, sf)))
+    return flat_batches(bgp.batch_records(bgp.bgp_elements(v.v_bgp(spark, sf))))
+
+
+def flat_batches(b):
     return b.select("rec.collector", "record_type", "pos", "rec.time", F.size("elements").alias("size"),
                     F.array_join(F.transform("elements", lambda e: e["fields"]["prefix"]), " ").alias("prefixes"))
 

@@ -211,7 +211,11 @@ def guarded_replace(spark, sf):
     CASE WHEN placed THEN lat ELSE 0 END AS lat FROM v_probe_archive
     QUALIFY row_number() OVER (PARTITION BY id ORDER BY "offset" DESC) = 1""", "v_probe_archive")
 def probe_snapshot(spark, sf):
-    last = probes.probe_defaults(probes.latest_snapshot(v.v_probe_archive(spark, sf), "id"))
+    return flat_snapshot(probes.latest_snapshot(v.v_probe_archive(spark, sf), "id"))
+
+
+def flat_snapshot(last):
+    last = probes.probe_defaults(last)
     return last.select("id", "offset", "address_v4", "prefix_v4", F.col("coordinates")[0].alias("lon"),
                        F.col("coordinates")[1].alias("lat"))
 

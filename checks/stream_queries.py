@@ -8,14 +8,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import views as v
-from checks.event_queries import HISTORY, SPEC, SPEC_MEDIAN, anomaly_sql, flat_anomalies
+from checks.event_queries import HISTORY, SPEC, SPEC_MEDIAN, anomaly_sql, flat_anomalies, flat_batches
+from checks.log_queries import flat_snapshot
 from checks.registry import SQL, query
 from checks.score_queries import CONE
-from tidemark.operators import hegemony, probes
-from tidemark.operators.log import in_range
+from tidemark.operators import bgp, hegemony, probes
 from tidemark.plans import scores
 from tidemark.session import work_dir
-from tidemark.streaming import bins, detector, outages, registration, runs
+from tidemark.streaming import bins, carried, detector, outages, records, registration, runs, snapshot
 
 CLOSED = "timebin <= (SELECT max(timebin) FROM {0}) - INTERVAL 31 DAY"
 
@@ -40,19 +40,26 @@ def hegemony_rows_stream(spark, sf):
     return runs.drain(scores.as_hegemony(v.v_hege(spark, sf, v.stream_table), 4)[0], "scores")
 
 
-def series_stream(spark, sf):
-    """The series as three files in time order, one for each batch."""
-    series, path = v.v_series(spark, sf), work_dir(spark, "series")
-    bounds = [None, "2024-01-11", "2024-01-21", None]
-    for start, end in zip(bounds, bounds[1:]):
-        in_range(series, "timestamp", start, end).coalesce(1).write.mode("append").parquet(path)
-    return runs.read_files(spark, path, series.schema, files_per_trigger=1)
+def in_turn(spark, rows, by, run, n=3, part=None):
+    """Write rows in ``n`` parts by equal ranges of ``by``, or by ``part(range)``; after each one start
+    ``run(stream)``, which goes on from its checkpoint, and let it take what is there."""
+    path = work_dir(spark, "turns")
+    low, high = rows.agg(F.min(by), F.max(by)).first()
+    at = F.floor((by - F.lit(low)) / F.lit(((high or 0) - (low or 0)) // n + 1))
+    cut = rows.withColumn("_part", at if part is None else part(at))
+    for k in range(n):
+        cut.where(F.col("_part") == k).drop("_part").write.mode("append").parquet(path)
+        run(runs.read_files(spark, path, rows.schema)).awaitTermination()
 
 
 @query("anomalies_stream", anomaly_sql("mean_dev"), HISTORY)
 def anomalies_stream(spark, sf):
-    """State crosses batches."""
-    return flat_anomalies(runs.drain(detector.anomalies_stream(series_stream(spark, sf), SPEC), "anomalies"))
+    """State crosses batches and restarts."""
+    series, path = v.v_series(spark, sf), work_dir(spark, "anomalies")
+    found = lambda rows: detector.anomalies_stream(rows, SPEC)
+    in_turn(spark, series, F.unix_micros("timestamp"),
+            lambda stream: runs.start(found(stream), f"{path}/found", checkpoint=f"{path}/checkpoint"))
+    return flat_anomalies(spark.read.parquet(f"{path}/found"))
 
 
 @query("anomalies_stream_median", anomaly_sql("mad"), HISTORY)
@@ -162,3 +169,86 @@ def country_hegemony_stream(spark, sf):
 @query("country_dim_stream", SQL["country_dim"])
 def country_dim_stream(spark, sf):
     return _countries(spark, sf)[1]
+
+
+@query("bgp_batches_stream", SQL["bgp_batches"])
+def bgp_batches_stream(spark, sf):
+    """Files end in the middle of records."""
+    rows, path = v.v_bgp(spark, sf), work_dir(spark, "records")
+    in_turn(spark, rows, F.col("pos"), lambda stream: records.batch_stream(bgp.bgp_elements(stream), path), n=4)
+    return flat_batches(records.batched(spark, path, bgp.bgp_elements(rows), ended=True))
+
+
+@query("valid_records_stream", SQL["valid_records"])
+def valid_records_stream(spark, sf):
+    rows, path = v.v_bgp(spark, sf), work_dir(spark, "valid")
+    in_turn(spark, rows, F.col("pos"), lambda stream: records.valid_stream(stream, path), n=2)
+    good, bad = (carried.result(spark, path, name, rows.schema).select("pos", "status", F.lit(kept).alias("kept"))
+                 for name, kept in (("valid", True), ("rejects", False)))
+    return good.unionByName(bad)
+
+
+@query("visibility_stream", f"""SELECT timebin, prefix, originasn_id, max(nb_peers)::INTEGER AS nb_peers, peer_max,
+    round(100.0 * max(nb_peers) / peer_max, 6) AS visibility FROM v_prefix_rows JOIN v_peer_max USING (timebin)
+    WHERE {CLOSED.format('v_prefix_rows')} GROUP BY timebin, prefix, originasn_id, peer_max""", "v_prefix_rows v_peer_max")
+def visibility_stream(spark, sf):
+    """The most peers of earlier bins are known to later batches."""
+    rows, path = v.v_hege_prefix(spark, sf), work_dir(spark, "visibility")
+    in_turn(spark, rows, F.col("timestamp"),
+            lambda stream: bins.visibility_stream(scores.prefix_rows(stream), path, "31 days"))
+    return bins.visible(spark, path).withColumn("visibility", F.round("visibility", 6))
+
+
+TURNS = """WITH r AS (SELECT timebin, originasn_id, asn_id, hege, n, ts, min(ts) OVER () AS low,
+        (max(ts) OVER () - min(ts) OVER ()) // 3 + 1 AS width FROM (SELECT make_timestamp(ts * 1000000) AS timebin, *
+        FROM (SELECT epoch(date_trunc('month', l_shipdate))::BIGINT AS ts, l_suppkey AS originasn_id, l_partkey AS asn_id,
+            l_discount AS hege, l_linenumber AS n FROM lineitem))),
+    p AS (SELECT *, CASE WHEN n = 7 THEN 2 ELSE (ts - low) // width END AS part FROM r),
+    s AS (SELECT part, max(max(timebin)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+        FROM p GROUP BY part),
+    found AS (SELECT p.*, coalesce(timebin <= newest - INTERVAL 31 DAY, false) AS late FROM p JOIN s USING (part)) """
+
+
+def _late(spark, sf):
+    """Rows in order of time, but for those of line 7, which all come in the last part."""
+    path = work_dir(spark, "late")
+    rows = v.table(spark, sf, "lineitem").select(
+        F.timestamp_seconds(v.month_s("l_shipdate")).alias("timebin"), F.col("l_suppkey").alias("originasn_id"),
+        F.col("l_partkey").alias("asn_id"), F.col("l_discount").alias("hege"), F.col("l_linenumber").alias("n"))
+    in_turn(spark, rows, F.unix_seconds("timebin"), lambda stream: bins.lateness_stream(stream, path, "31 days"),
+            part=lambda at: F.when(F.col("n") == 7, 2).otherwise(at))
+    return path, rows.schema
+
+
+@query("late_rows", TURNS + "SELECT timebin, originasn_id, asn_id, hege, n, late FROM found")
+def late_rows(spark, sf):
+    path, schema = _late(spark, sf)
+    on_time, late = (carried.result(spark, path, name, schema) for name in ("on_time", "late"))
+    return on_time.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+
+
+@query("complete_bins", TURNS + """SELECT timebin, asn_id, count(*) AS n, sum(CASE WHEN originasn_id NOT IN (0, -1)
+    AND asn_id <> originasn_id AND hege <> 0 THEN 1 ELSE 0 END)::BIGINT AS conesize FROM found
+    WHERE NOT late AND timebin <= (SELECT max(timebin) FROM found) - INTERVAL 31 DAY GROUP BY timebin, asn_id""")
+def complete_bins(spark, sf):
+    """Cones of the closed bins, of what was on time."""
+    path, schema = _late(spark, sf)
+    rows = bins.complete(spark, path, schema, "31 days")
+    cones = hegemony.cone(rows, 4).select("timebin", "asn_id", "conesize")
+    return rows.groupBy("timebin", "asn_id").agg(F.count(F.lit(1)).alias("n")).join(cones, ["timebin", "asn_id"])
+
+
+def _snapshot(spark, sf):
+    path, told = work_dir(spark, "snapshot"), work_dir(spark, "told")
+    rows = v.v_probe_archive(spark, sf)
+    tell = lambda changed, batch: changed.write.mode("overwrite").parquet(f"{told}/batch={batch}")
+    in_turn(spark, rows, F.col("offset"),
+            lambda stream: snapshot.snapshot_stream(stream, path, "id", ("offset",), observers=[tell]))
+    return path, told, rows.schema
+
+
+@query("probe_snapshot_stream", SQL["probe_snapshot"])
+def probe_snapshot_stream(spark, sf):
+    path, _, schema = _snapshot(spark, sf)
+    snapshot.tidy(spark, path, schema, "id")
+    return flat_snapshot(snapshot.current(spark, path, schema, "id"))

@@ -88,6 +88,13 @@ def read(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return _read(spark, f"{path}/data", live_folders(spark, path), schema)
 
 
+def read_batch(spark: SparkSession, path: str, schema: StructType | str, query: str, batch: int) -> DataFrame:
+    """The rows that one batch of ``query`` has published; none if it has not."""
+    wanted = (F.col("query") == query) & (F.col("batch") == batch) & (F.col("rows") > 0)
+    found = entries(spark, path).where(wanted).head()
+    return _read(spark, f"{path}/data", [found["folder"]] if found else [], schema)
+
+
 def read_index(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """The index rows of all published batches."""
     return _read(spark, f"{path}/index", live_folders(spark, path), schema)

@@ -6,9 +6,13 @@ it. Rows that come later are dropped and counted by the query's progress.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from tidemark.operators.hegemony import counts_for_cone
+from tidemark.operators.hegemony import counts_for_cone, peer_max, visibility
+from tidemark.session import kept
+from tidemark.streaming import carried
 
 
 def cone_stream(rows: DataFrame, af: int, delay: str) -> DataFrame:
@@ -29,3 +33,72 @@ def moas_stream(rows: DataFrame, delay: str) -> DataFrame:
         rows.withWatermark("timebin", delay).groupBy("timebin", "prefix")
         .agg((F.min("originasn_id") != F.max("originasn_id")).alias("moas"))
     )
+
+
+MOST = "nb_peers int"
+VISIBLE = "timebin timestamp, prefix string, originasn_id bigint, nb_peers int, peer_max int, visibility double"
+
+
+def _seen_from(closed: DataFrame, handed: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Visibility in the bins that have just closed, by the most peers of these and all bins before."""
+    closed = kept(closed)
+    before = handed.select(F.lit(None).cast("timestamp").alias("timebin"), "nb_peers")  # a null bin comes first
+    peers = kept(peer_max(closed.select("timebin", "nb_peers").unionByName(before)))
+    rows = closed.join(peers, "timebin").withColumn("visibility", visibility(F.col("nb_peers"), F.col("peer_max")))
+    most = peers.groupBy().agg(F.max("peer_max").alias("nb_peers")).where("nb_peers IS NOT NULL")
+    return {"visibility": rows}, most
+
+
+def visibility_stream(rows: DataFrame, path: str, delay: str, every: str | None = None) -> StreamingQuery:
+    """Start writing, for complete bins, how much of the peers sees each prefix and origin.
+
+    ``rows`` has ``timebin, prefix, originasn_id, nb_peers``; of several counts of one bin the largest
+    holds. The watermark closes bins in time order, and the most peers of all closed bins, one
+    number, goes from batch to batch and is never reset. Rows without a time are left out.
+    """
+    closed = (
+        rows.where(F.col("timebin").isNotNull()).withWatermark("timebin", delay).groupBy("timebin", "prefix", "originasn_id")
+        .agg(F.max("nb_peers").cast("int").alias("nb_peers"))
+    )
+    return carried.carry_stream(closed, _seen_from, MOST, path, every=every)
+
+
+def visible(spark: SparkSession, path: str) -> DataFrame:
+    """The visibility in all bins that are closed."""
+    return carried.result(spark, path, "visibility", VISIBLE)
+
+
+NEWEST = "newest bigint"  # in microseconds
+
+
+def closed_until(newest: DataFrame, delay: str) -> Column:
+    """The last time that is closed, from the newest one seen: one value. Null if none was."""
+    row = newest.head()
+    return F.timestamp_micros(F.lit(row["newest"] if row else None).cast("bigint")) - F.expr(f"INTERVAL {delay}")
+
+
+def by_lateness(time: str, delay: str) -> carried.Plan:
+    """``on_time`` and ``late`` rows: late ones lie ``delay`` or more behind a row of an earlier batch.
+
+    Every row is in one of the two; one without a time is on time.
+    """
+    def plan(batch: DataFrame, handed: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+        late = F.coalesce(F.col(time) <= closed_until(handed, delay), F.lit(False))
+        seen = batch.select(F.unix_micros(time).alias("newest")).unionByName(handed).groupBy().agg(F.max("newest").alias("newest"))
+        return {"on_time": batch.where(~late), "late": batch.where(late)}, seen.where("newest IS NOT NULL")
+    return plan
+
+
+def lateness_stream(rows: DataFrame, path: str, delay: str, time: str = "timebin", every: str | None = None) -> StreamingQuery:
+    """Start sorting a stream's rows into ``on_time`` and ``late`` tables under ``path``.
+
+    Rows that a watermark would drop and only count are kept as an output.
+    """
+    return carried.carry_stream(rows, by_lateness(time, delay), NEWEST, path, every=every)
+
+
+def complete(spark: SparkSession, path: str, schema: StructType, delay: str, time: str = "timebin") -> DataFrame:
+    """The rows that were on time, of the bins that are closed. No later batch adds to these bins,
+    so any aggregate of them is final."""
+    closed = closed_until(carried.left(spark, path, NEWEST), delay)
+    return carried.result(spark, path, "on_time", schema).where(F.col(time) <= closed)

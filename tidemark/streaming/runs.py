@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -62,3 +64,41 @@ def drain(stream: DataFrame, label: str = "drained", mode: str = "append") -> Da
 
 def dated(stream: DataFrame, column: str = "timebin") -> DataFrame:
     return stream.withColumn("date", F.to_date(column))
+
+
+def with_restarts(begin: Callable[[], StreamingQuery], restarts: int | None = None, first_s: float = 1.0,
+                  most_s: float = 300.0, wait: Callable[[float], None] = time.sleep) -> int:
+    """Run a stream to its end and start it again when it fails; returns how often it was.
+
+    Pauses double from ``first_s`` to ``most_s``, and begin anew once a run has finished a batch.
+    After ``restarts`` failures without one the last error is raised; without it, never. ``begin``
+    names the same checkpoint each time.
+    """
+    again = failed = 0
+    while True:
+        query = begin()
+        try:
+            query.awaitTermination()
+            return again
+        except StreamingQueryException:
+            failed = 1 if query.recentProgress else failed + 1
+            if restarts is not None and failed > restarts:
+                raise
+        again += 1
+        wait(min(first_s * 2 ** (failed - 1), most_s))
+
+
+def until_idle(query: StreamingQuery, idle_s: float, poll_s: float = 1.0) -> bool:
+    """Stop a running stream once ``idle_s`` seconds have passed without input; whether it was stopped.
+
+    False means that it ended by itself.
+    """
+    busy, seen = time.monotonic(), None
+    while not query.awaitTermination(poll_s):
+        last = next((p for p in reversed(query.recentProgress) if p.numInputRows), None)
+        if query.status["isTriggerActive"] and query.status["isDataAvailable"] or (last and last.batchId != seen):
+            busy, seen = time.monotonic(), last and last.batchId
+        elif time.monotonic() - busy >= idle_s:
+            query.stop()
+            return True
+    return False
