@@ -221,7 +221,7 @@ def test_quality_risk_and_gradient_equal_a_plain_loop(spark, prior):
     df, x, pos, unl, half = shaped(spark)
     cuts = [np.array([0.0, 1.0])] * len(quality.NAMES)
     w = np.random.default_rng(6).standard_normal(3 * len(quality.NAMES) + 1) / 3
-    for total, own in zip(quality.sums(df, cuts, [(None, w), (1, w)]), (np.full(len(x), True), half == 1)):
+    for total, own in zip(quality.sums(quality.binned(df, cuts), [(None, w), (1, w)]), (np.full(len(x), True), half == 1)):
         parts = quality.risks(total, w, prior, 0.01)
         value, slope, _ = max(parts, key=lambda part: part[0])
         plain = lambda w: plain_risk(w, x, pos & own, unl & own, cuts, prior, 0.01)
@@ -235,7 +235,7 @@ def test_quality_fit_reaches_the_least_risk(spark):
     df, x, pos, unl, _ = shaped(spark)
     cuts, rule = [np.array([0.0, 1.0])] * len(quality.NAMES), quality.PuRule(l2=0.01)
     for prior in (0.2, 0.95):
-        w = quality.descend(df, cuts, [None], prior, rule)[0]
+        w = quality.descend(quality.binned(df, cuts), sum(len(c) + 1 for c in cuts) + 1, [None], prior, rule)[0]
         least, rng = plain_risk(w, x, pos, unl, cuts, prior, rule.l2), np.random.default_rng(7)
         for size in (0.3, 0.1, 0.03):
             for _ in range(6):

@@ -121,7 +121,41 @@ def cut_points(rows: DataFrame, bins: int) -> list[np.ndarray]:
     return [np.array(sorted(c)) for c in found]
 
 
-def sums(rows: DataFrame, cuts: list[np.ndarray], weights: list[tuple[int | None, np.ndarray]]) -> list[dict[str, tuple]]:
+def binned(rows: DataFrame, cuts: list[np.ndarray]) -> DataFrame:
+    """``bins`` in place of ``measures``: the number of each measure's bin among all bins, two bytes each."""
+    sent = rows.sparkSession.sparkContext.broadcast(cuts)
+    kept = [c for c in rows.columns if c != "measures"]
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            x = np.array(part.column("measures").to_pylist(), dtype=float).reshape(-1, len(NAMES))
+            bins = one_hot(x, sent.value).astype("<u2")
+            yield pa.RecordBatch.from_arrays([pa.array([b.tobytes() for b in bins], pa.binary()), *[part.column(c) for c in kept]],
+                                             ["bins", *kept])
+
+    return rows.mapInArrow(batches, ", ".join(["bins binary", *[f"{c} {kind(rows, c)}" for c in kept]]))
+
+
+def bins_of(part: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(part.column("bins").to_pylist()), "<u2").reshape(-1, len(NAMES)).astype(np.int64)
+
+
+def moments(bins: np.ndarray, s: np.ndarray, d: int) -> list[np.ndarray]:
+    """Sums of x, of s x and of s (1 - s) x x', where x is 1 at the row's ``bins`` (ascending) and at the last place.
+
+    Only the places of ones are added up, so a row costs the pairs of its bins, not ``d`` squared.
+    """
+    at = np.column_stack([bins, np.full(len(bins), d - 1)])
+    m, curve = at.shape[1], np.zeros(d * d)
+    for i in range(m):
+        pairs = at[:, i:i + 1] * d + at[:, i:]
+        curve += np.bincount(pairs.ravel(), np.repeat(s * (1 - s), m - i), d * d)
+    upper = curve.reshape(d, d)
+    return [np.bincount(at.ravel(), minlength=d), np.bincount(at.ravel(), np.repeat(s, m), d),
+            (upper + np.triu(upper, 1).T).ravel()]
+
+
+def sums(rows: DataFrame, weights: list[tuple[int | None, np.ndarray]]) -> list[dict[str, tuple]]:
     """For each weights, of the rows of its half (all with none), and for ``pos`` and ``unl`` rows:
     count, sum of log(1 + e^f), of x, of s x and of s (1 - s) x x', where s is the sigmoid of f.
 
@@ -129,30 +163,25 @@ def sums(rows: DataFrame, cuts: list[np.ndarray], weights: list[tuple[int | None
     """
     d = len(weights[0][1])
     width = 2 + 2 * d + d * d
-    sent = rows.sparkSession.sparkContext.broadcast((cuts, weights))
+    sent = rows.sparkSession.sparkContext.broadcast(weights)
 
     def passed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts, weights = sent.value
+        weights = sent.value
         total = np.zeros((len(weights), 2, width))
         for part in parts:
-            bins = one_hot(np.array(part.column("measures").to_pylist(), dtype=float).reshape(-1, len(NAMES)), cuts)
-            x = np.zeros((len(bins), d))
-            np.put_along_axis(x, bins, 1.0, axis=1)
-            x[:, -1] = 1.0
+            bins = bins_of(part)
             half = part.column("half").to_numpy()
             kinds = [part.column(c).to_numpy(zero_copy_only=False) for c in ("pos", "unl")]
             for k, (own, w) in enumerate(weights):
-                f = x @ w
+                f = w[bins].sum(axis=1) + w[-1]
                 s, loss = sigmoid(f), np.logaddexp(0, f)
                 for c, of in enumerate(kinds):
                     pick = of if own is None else of & (half == own)
-                    xs, ss = x[pick], s[pick]
-                    total[k, c] += np.concatenate([[len(xs), loss[pick].sum()], xs.sum(0), ss @ xs,
-                                                   ((xs * (ss * (1 - ss))[:, None]).T @ xs).ravel()])
+                    total[k, c] += np.concatenate([[pick.sum(), loss[pick].sum()], *moments(bins[pick], s[pick], d)])
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
     def united(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(sent.value[1]) * 2 * width)
+        total = np.zeros(len(sent.value) * 2 * width)
         for part in parts:
             for each in part.column(0):
                 total += np.frombuffer(each.as_buffer())
@@ -203,17 +232,15 @@ def best_step(parts: list[tuple]) -> tuple[np.ndarray, float]:
     return step, float(max(value for value, _, _ in parts) - bound)
 
 
-def descend(rows: DataFrame, cuts: list[np.ndarray], halves: list[int | None], prior: float | None, rule: PuRule
-            ) -> list[np.ndarray]:
-    """Weights by Newton's method, one for each of ``halves``, all from the same passes.
+def descend(rows: DataFrame, d: int, halves: list[int | None], prior: float | None, rule: PuRule) -> list[np.ndarray]:
+    """``d`` weights by Newton's method over ``binned`` rows, for each of ``halves``, all from the same passes.
 
     A step is halved where the risk would grow.
     """
-    d = sum(len(c) + 1 for c in cuts) + 1
     n = len(halves)
     base, trial, step, best, done = [np.zeros(d)] * n, [np.zeros(d)] * n, [np.zeros(d)] * n, [np.inf] * n, [False] * n
     for _ in range(rule.passes):
-        for k, total in enumerate(sums(rows, cuts, list(zip(halves, trial)))):
+        for k, total in enumerate(sums(rows, list(zip(halves, trial)))):
             if done[k]:
                 continue
             if not total["pos"][0] or not total["unl"][0]:
@@ -233,14 +260,14 @@ def descend(rows: DataFrame, cuts: list[np.ndarray], halves: list[int | None], p
     return base
 
 
-def out_of_half(rows: DataFrame, cuts: list[np.ndarray], weights: list[np.ndarray]) -> float:
+def out_of_half(rows: DataFrame, weights: list[np.ndarray]) -> float:
     """The class prior from scores of each half by the weights of the other, counted on a grid."""
-    sent = rows.sparkSession.sparkContext.broadcast((cuts, weights))
+    sent = rows.sparkSession.sparkContext.broadcast(weights)
 
     def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts, weights = sent.value
+        weights = sent.value
         for part in parts:
-            bins = one_hot(np.array(part.column("measures").to_pylist(), dtype=float).reshape(-1, len(NAMES)), cuts)
+            bins = bins_of(part)
             half = part.column("half").to_numpy()
             f = np.where(half == 0, *[w[bins].sum(1) + w[-1] for w in (weights[1], weights[0])])
             place = np.floor(np.clip(f, -30, 30) * 32).astype("int32")
@@ -284,8 +311,9 @@ def train(rows: DataFrame, positives: DataFrame, unlabelled: DataFrame, rule: Pu
     if not has["pos"] or not has["unl"]:
         return PuModel([np.zeros(0)] * len(NAMES), np.zeros(len(NAMES)), 0.0, 0.5)
     cuts = cut_points(used, rule.bins)
-    prior = out_of_half(used, cuts, descend(used, cuts, [0, 1], None, rule))
-    w = descend(used, cuts, [None], prior, rule)[0]
+    rows, d = written(binned(used, cuts), "quality-bins"), sum(len(c) + 1 for c in cuts) + 1
+    prior = out_of_half(rows, descend(rows, d, [0, 1], None, rule))
+    w = descend(rows, d, [None], prior, rule)[0]
     return PuModel(cuts, w[:-1], float(w[-1]), prior)
 
 
