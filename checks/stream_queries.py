@@ -11,7 +11,7 @@ from checks import views as v
 from checks.event_queries import HISTORY, SPEC, SPEC_MEDIAN, anomaly_sql, flat_anomalies, flat_batches
 from checks.log_queries import flat_snapshot
 from checks.registry import SQL, query
-from checks.score_queries import CONE
+from checks.score_queries import CONE, COUNTRY_SCORES
 from tidemark.operators import bgp, hegemony, probes
 from tidemark.plans import scores
 from tidemark.session import work_dir
@@ -160,7 +160,7 @@ def _countries(spark, sf):
     return path, dim
 
 
-@query("country_hegemony_stream", SQL["country_hegemony"])
+@query("country_hegemony_stream", COUNTRY_SCORES.format("v_country"), "v_country")
 def country_hegemony_stream(spark, sf):
     schema = scores.country_hegemony(v.v_hege_country(spark, sf), 4).schema
     return registration.result(spark, _countries(spark, sf)[0], schema)

@@ -3,6 +3,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registry import QUERIES, SQL
+from checks import score_queries  # noqa: F401
 from conftest import rows
 from tidemark.functions.network import address, address_part, length_part, long_to_ip
 from tidemark.operators import dimensions, hegemony, prefixes
@@ -238,3 +240,14 @@ def test_numbers_that_only_score_zero_are_registered(spark):
     known = spark.createDataFrame([], "code string, name string, tartiflette boolean, disco boolean")
     names = spark.createDataFrame([("AA", "Aland"), ("BB", "Beland")], "code string, name string")
     assert rows(scores.countries(country, known, names), "code", "name") == [("AA", "Aland"), ("BB", "Beland")]
+
+
+def test_no_country_is_left_out_of_the_scores(spark, tmp_path):
+    spark.createDataFrame([(1, 7, datetime(2024, 1, 5), 60000.0, "HIGH", "F"), (10, 7, datetime(2024, 1, 5), 9.0, "LOW", "O")],
+                          "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_totalprice double, "
+                          "o_orderpriority string, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(7, 13)], "c_custkey bigint, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(13, "X")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    found = QUERIES["country_hegemony"](spark, str(tmp_path))
+    assert rows(found, "country_id", "asn_id", "hege") == [("CD", 7, 0.1)]
+    assert "= 13" not in SQL["country_hegemony"]
