@@ -163,3 +163,13 @@ def test_bursts_with_times_out_of_range(spark):
     got = {r["streamname"]: r for r in outages.outage_events(bursts, ends).collect()}
     assert got["2"]["starttime"] is None and got["2"]["ongoing"]
     assert got["1"]["starttime"] is not None and len(got) == 2
+
+
+def test_chunks_of_few_ids_are_dealt_to_tasks(spark):
+    ids = spark.createDataFrame([(1, 0, 7001), (2, 5, 5), (3, 100, 103), (4, None, 9)], "id bigint, a bigint, b bigint").coalesce(1)
+    plan = planning.chunk_plan(ids, F.col("a"), F.col("b"), 10, run=7, per_task=100)
+    assert rows(plan, "id", "chunk_start", "chunk_stop") == sorted(
+        [(1, c, c + 10) for c in range(0, 7001, 10)] + [(3, 100, 110)])
+    assert plan.columns == ["id", "a", "b", "chunk_start", "chunk_stop"]
+    shares = plan.groupBy(F.spark_partition_id()).count().collect()
+    assert len(shares) == 8 and max(r["count"] for r in shares) < 200

@@ -14,6 +14,9 @@ MAX_INTERVAL_S = 3600
 MAX_LAG_S = 43_000
 WORKERS = 8
 
+CHUNKS_IN_RUN = 1_000
+CHUNKS_PER_TASK = 4_000_000
+
 
 def select_measurements(df: DataFrame, as_of: Column, min_participants: int = MIN_PARTICIPANTS) -> DataFrame:
     """Ids of running IPv4 traceroute measurements that started by ``as_of``.
@@ -28,10 +31,23 @@ def select_measurements(df: DataFrame, as_of: Column, min_participants: int = MI
     ).select("id").distinct()
 
 
-def chunk_plan(ids: DataFrame, start: Column, stop: Column, seconds: int) -> DataFrame:
-    """``[start, stop)`` in steps of ``seconds`` for every id; the last step may run over."""
-    steps = F.when(start < stop, F.sequence(start, stop - 1, F.lit(seconds).cast("bigint")))
-    return ids.select("*", F.explode(steps).alias("chunk_start")).withColumn(
+def chunk_plan(ids: DataFrame, start: Column, stop: Column, seconds: int, run: int = CHUNKS_IN_RUN,
+               per_task: int = CHUNKS_PER_TASK) -> DataFrame:
+    """``[start, stop)`` in steps of ``seconds`` for every id; the last step may run over.
+
+    A few ids may have very many steps. They are cut into runs of ``run`` steps, and if there are
+    more than ``per_task`` steps in all, the runs are dealt to tasks before they are written out.
+    """
+    def steps(first, last, step):
+        return F.when(first <= last, F.sequence(first, last, F.lit(step).cast("bigint")))
+
+    total = ids.agg(F.sum(F.when(start < stop, F.ceil((stop - start) / F.lit(seconds))))).first()[0] or 0
+    last = F.when(start < stop, stop - 1)
+    runs = ids.select("*", last.alias("_last"), F.explode(steps(start, last, seconds * run)).alias("_first"))
+    if total > per_task:
+        runs = runs.repartition(-(-total // per_task))
+    end = F.least("_last", F.try_add("_first", F.lit(seconds * (run - 1)).cast("bigint")))
+    return runs.select(*ids.columns, F.explode(steps(F.col("_first"), end, seconds)).alias("chunk_start")).withColumn(
         "chunk_stop", F.col("chunk_start") + seconds)
 
 
