@@ -3,10 +3,12 @@ import statistics
 from dataclasses import replace
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tidemark.operators import dense_history
 from tidemark.operators.detector import DetectorSpec, anomalies, rolling_mad, scored, with_history
 from tidemark.session import work_dir
 from tidemark.streaming import detector as streamed, runs
@@ -209,3 +211,17 @@ def test_stream_index_equals_row_by_row(monkeypatch, metric):
     plain = streamed.deviations(us, values, spec)
     monkeypatch.setattr(streamed, "INDEXED_ROWS", 1)
     assert np.allclose(streamed.deviations(us, values, spec), plain, equal_nan=True)
+
+
+def test_sums_are_not_part_of_the_search_and_equal_windows_are_answered_once(monkeypatch):
+    of, asked = dense_history.Sums.of, []
+    monkeypatch.setattr(dense_history.Sums, "of", lambda self, lo, hi: asked.append(len(lo)) or of(self, lo, hi))
+    values = np.random.default_rng(5).integers(0, 50, 400) / 8
+    lo, hi = np.repeat(np.arange(0, 300, 3), 4), np.repeat(np.arange(1, 301, 3) + np.arange(100) % 7, 4)
+    n, median, mad, mean_dev = dense_history.window_stats(values, lo, hi)
+    for i in range(0, 400, 4):
+        window = values[lo[i]:hi[i]]
+        away = np.abs(window - np.median(window))
+        assert (n[i], median[i], mad[i]) == (len(window), np.median(window), np.median(away))
+        assert mean_dev[i] == pytest.approx(away.mean(), abs=1e-9)
+    assert len(asked) <= 2 * 6 and sum(asked) <= 2 * 6 * 100

@@ -1,8 +1,8 @@
 """Exact median and deviations for blocks with very many rows.
 
 A list per row costs a block's square. Here the values of one block are indexed once (a
-wavelet matrix over their ranks), and each row's window is answered from the index for
-all rows together, in about ``n log^2 n``.
+wavelet matrix over their ranks), and each distinct window is answered from the index,
+many together, in about ``n log^2 n``.
 """
 
 from __future__ import annotations
@@ -38,79 +38,75 @@ class Sums:
 class Ranges:
     """Order statistics of any stretch ``values[lo:hi]``, for arrays of stretches.
 
-    Sums are of distances from a value in the middle of all, ``centre``, which are smaller.
+    Sums are of distances from a value in the middle of all, ``centre``, which are smaller. There is a
+    level for each bit of the ranks of distinct values; sums are kept of the order behind a level, in
+    which the lower and the higher values of a stretch are stretches again.
     """
 
     def __init__(self, values: np.ndarray):
-        order = np.argsort(values, kind="stable")
-        self.sorted = values[order]
-        self.centre = self.sorted[len(values) // 2]
-        self.sums = Sums(values - self.centre)
-        rank = np.empty(len(values), dtype=np.int64)
-        rank[order] = np.arange(len(values))
-        self.levels, self.upper = [], {}
-        for bit in reversed(range(max(1, int(len(values) - 1).bit_length()))):
+        self.sorted, rank = np.unique(values, return_inverse=True)
+        self.centre = self.sorted[np.partition(rank, len(rank) // 2)[len(rank) // 2]]
+        self.away = self.sorted - self.centre
+        self.levels = []
+        for bit in reversed(range(max(1, int(len(self.sorted) - 1).bit_length()))):
             low = (rank >> bit) & 1 == 0
             before = np.concatenate([[0], np.cumsum(low)])
-            self.levels.append((bit, before, Sums(np.where(low, self.sorted[rank] - self.centre, 0.0))))
             rank = np.concatenate([rank[low], rank[~low]])
-            self.upper[bit] = Sums(self.sorted[rank] - self.centre)
-        self.bottom = Sums(self.sorted[rank] - self.centre)
+            self.levels.append((bit, before, Sums(self.away[rank])))
 
-    def kth(self, lo, hi, k):
-        """The value with ``k`` smaller ones before it in its stretch, and the sum of those from the centre."""
-        rank, below = np.zeros(len(lo), dtype=np.int64), np.zeros(len(lo))
+    def _find(self, lo, hi, k, lower=None, upper=None):
+        """The rank of the value with ``k`` smaller ones before it in its stretch, how many equal ones are
+        before it, and how many there are. Sums of smaller and larger values are added to ``lower`` and ``upper``."""
+        rank = np.zeros(len(lo), dtype=np.int64)
         for bit, before, sums in self.levels:
             from_low, to_low = before[lo], before[hi]
+            from_high, to_high = before[-1] + lo - from_low, before[-1] + hi - to_low
             high = k >= to_low - from_low
-            below += np.where(high, sums.of(lo, hi), 0.0)
+            if lower is not None:
+                at = np.flatnonzero(high)
+                lower[at] += sums.of(from_low[at], to_low[at])
+            if upper is not None:
+                at = np.flatnonzero(~high)
+                upper[at] += sums.of(from_high[at], to_high[at])
             k = np.where(high, k - (to_low - from_low), k)
             rank |= high.astype(np.int64) << bit
-            lo = np.where(high, before[-1] + lo - from_low, from_low)
-            hi = np.where(high, before[-1] + hi - to_low, to_low)
-        return self.sorted[rank], below
+            lo, hi = np.where(high, from_high, from_low), np.where(high, to_high, to_low)
+        return rank, k, hi - lo
+
+    def kth(self, lo, hi, k):
+        """The value with ``k`` smaller ones before it in its stretch."""
+        return self.sorted[self._find(lo, hi, k)[0]]
 
     def median(self, lo, hi):
         n = hi - lo
-        return (self.kth(lo, hi, (n - 1) // 2)[0] + self.kth(lo, hi, n // 2)[0]) / 2
+        return (self.kth(lo, hi, (n - 1) // 2) + self.kth(lo, hi, n // 2)) / 2
 
     def mean_dev(self, lo, hi, median):
         n = hi - lo
         half = (n + 1) // 2
-        last, below = self.kth(lo, hi, half - 1)
+        below, above = np.zeros(len(lo)), np.zeros(len(lo))
+        rank, before, _ = self._find(lo, hi, half - 1, lower=below)
+        below += (before + 1) * self.away[rank]
+        alone = half >= n
+        rank, before, equal = self._find(lo, hi, np.where(alone, 0, half), upper=above)
+        above = np.where(alone, 0.0, above + (equal - before) * self.away[rank])
         middle = median - self.centre
-        upper = self.kth_above(lo, hi, half)
-        return (middle * half - (below + last - self.centre) + upper - middle * (n - half)) / n
-
-    def kth_above(self, lo, hi, k):
-        """The sum, from the centre, of what follows the ``k`` smallest values of each stretch."""
-        above = np.zeros(len(lo))
-        none = k >= hi - lo
-        k = np.where(none, 0, k)
-        for bit, before, sums in self.levels:
-            from_low, to_low = before[lo], before[hi]
-            high = k >= to_low - from_low
-            up = before[-1] + lo - from_low, before[-1] + hi - to_low
-            above += np.where(high, 0.0, self.upper[bit].of(*up))
-            k = np.where(high, k - (to_low - from_low), k)
-            lo, hi = np.where(high, up[0], from_low), np.where(high, up[1], to_low)
-        # equal values remain, of which those from the k-th on count
-        return np.where(none, 0.0, above + self.bottom.of(lo + k, np.maximum(hi, lo + k)))
+        return (middle * half - below + above - middle * (n - half)) / n
 
-    def kth_dev(self, lo, hi, median, k):
-        """The ``k``-th smallest distance from the median.
+    def mad(self, lo, hi, median):
+        """The median distance from the median.
 
-        Distances grow to both sides of the middle; a search finds how many of the
-        ``k + 1`` smallest lie on the lower side.
+        Distances grow to both sides of the middle; a search finds how many of the smaller
+        half lie on the lower side. With an even number the next distance counts too.
         """
         n = hi - lo
-        half = (n + 1) // 2
+        half, k = (n + 1) // 2, (n - 1) // 2
 
         def lower(i):
-            return median - self.kth(lo, hi, np.clip(half - 1 - i, 0, n - 1))[0]
+            return median - self.kth(lo, hi, np.clip(half - 1 - i, 0, n - 1))
 
         def upper(j):
-            return self.kth(lo, hi, np.clip(half + j, 0, n - 1))[0] - median
+            return self.kth(lo, hi, np.clip(half + j, 0, n - 1)) - median
 
         first, last = np.maximum(0, k + 1 - (n - half)), np.minimum(k + 1, half)
         while (first < last).any():
@@ -119,8 +115,24 @@ class Ranges:
             last = np.where(more | (first >= last), last, middle)
             first = np.where(more, middle + 1, first)
         taken = k + 1 - first
-        return np.maximum(np.where(first > 0, lower(first - 1), -np.inf),
-                          np.where(taken > 0, upper(taken - 1), -np.inf))
+        low = np.maximum(np.where(first > 0, lower(first - 1), -np.inf),
+                         np.where(taken > 0, upper(taken - 1), -np.inf))
+        high = np.minimum(np.where(first < half, lower(first), np.inf),
+                          np.where(taken < n - half, upper(taken), np.inf))
+        return np.where(n % 2 == 1, low, (low + high) / 2)
+
+
+def window_stats(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, at_once: int = 200_000):
+    """Length, median and both deviations of each stretch. Equal stretches, as of rows of one time, are answered
+    once, and only so many together that a step's arrays stay small."""
+    ranges, width = Ranges(values), len(values) + 1
+    asked, back = np.unique(lo * width + hi, return_inverse=True)
+    found = np.empty((3, len(asked)))
+    for i in range(0, len(asked), at_once):
+        lo_, hi_ = np.divmod(asked[i:i + at_once], width)
+        median = ranges.median(lo_, hi_)
+        found[:, i:i + at_once] = median, ranges.mad(lo_, hi_, median), ranges.mean_dev(lo_, hi_, median)
+    return hi - lo, *found[:, back]
 
 
 def block_stats(block: pa.Table, span: int, min_samples: float, ties: list[str]) -> pa.Table:
@@ -136,11 +148,7 @@ def block_stats(block: pa.Table, span: int, min_samples: float, ties: list[str])
     lo, hi = lo[asked], hi[asked]
     picked = block.take(pa.array(asked)).drop_columns(["_us", "_value", "_own", *ties])
     if len(asked):
-        ranges = Ranges(values[known])
-        median = ranges.median(lo, hi)
-        n = hi - lo
-        mad = (ranges.kth_dev(lo, hi, median, (n - 1) // 2) + ranges.kth_dev(lo, hi, median, n // 2)) / 2
-        stats = n, median, mad, ranges.mean_dev(lo, hi, median)
+        stats = window_stats(values[known], lo, hi)
     else:
         stats = (np.array([]),) * 4
     for name, kind, column in zip(("hist_n", "hist_median", "hist_mad", "hist_mean_dev"),

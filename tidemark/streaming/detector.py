@@ -36,8 +36,7 @@ def deviations(us: np.ndarray, values: np.ndarray, spec: DetectorSpec) -> np.nda
         index = Ranges(past)
         middle = index.median(low, high)
         if spec.dev_metric == "median":
-            n = high - low
-            spread = (index.kth_dev(low, high, middle, (n - 1) // 2) + index.kth_dev(low, high, middle, n // 2)) / 2
+            spread = index.mad(low, high, middle)
         else:
             spread = index.mean_dev(low, high, middle)
     else:
