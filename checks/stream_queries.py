@@ -14,7 +14,7 @@ from checks.registry import SQL, query
 from checks.score_queries import CONE, COUNTRY_SCORES
 from tidemark.operators import bgp, hegemony, probes
 from tidemark.plans import scores
-from tidemark.session import work_dir
+from tidemark.session import kept, work_dir
 from tidemark.streaming import bins, carried, detector, outages, records, registration, runs, snapshot
 
 CLOSED = "timebin <= (SELECT max(timebin) FROM {0}) - INTERVAL 31 DAY"
@@ -68,15 +68,19 @@ def anomalies_stream_median(spark, sf):
     return flat_anomalies(runs.drain(detector.anomalies_stream(stream, SPEC_MEDIAN), "anomalies"))
 
 
-def _followed(spark, sf, files=1):
-    """Bursts and reconnects are written as topics, read as streams and followed; with more files,
-    reconnections come in batches before and after their burst."""
+def _followed(spark, sf, turns=1):
+    """Bursts and reconnects are written as topics, read as streams and followed; in more turns,
+    reconnections come in batches before and after their burst. A turn has as many files as it needs."""
     base = work_dir(spark, "outages")
-    streams = []
-    for name, topic in (("bursts", v.v_burst(spark, sf)), ("reconnects", v.v_reconnect(spark, sf))):
-        topic.repartition(files, "streamname" if name == "bursts" else "offset").write.parquet(f"{base}/topic-{name}")
-        streams.append(runs.read_files(spark, f"{base}/topic-{name}", topic.schema, files_per_trigger=1))
-    outages.follow(*streams, f"{base}/stored").awaitTermination()
+    topics = {"bursts": (v.v_burst(spark, sf), "streamname"), "reconnects": (v.v_reconnect(spark, sf), "offset")}
+    dealt = {name: topic.withColumn("_turn", F.pmod(F.xxhash64(by), F.lit(turns))) for name, (topic, by) in topics.items()}
+    if turns > 1:
+        dealt = {name: kept(topic) for name, topic in dealt.items()}
+    for k in range(turns):
+        for name, topic in dealt.items():
+            topic.where(F.col("_turn") == k).drop("_turn").write.mode("append").parquet(f"{base}/topic-{name}")
+        streams = [runs.read_files(spark, f"{base}/topic-{name}", topic.schema) for name, (topic, _) in topics.items()]
+        outages.follow(*streams, f"{base}/stored").awaitTermination()
     return f"{base}/stored"
 
 

@@ -1,9 +1,13 @@
 from datetime import datetime
 
-from conftest import rows
+from pyspark.sql import functions as F
+
+from checks import event_queries, stream_queries, views  # noqa: F401
+from checks.registry import QUERIES
+from conftest import SMALL, rows
 from tidemark.operators import hegemony
 from tidemark.session import work_dir
-from tidemark.streaming import bins, outages, runs
+from tidemark.streaming import bins, outages, registration, runs
 
 SCHEMA = "timestamp bigint, scope string, asn string, hege double"
 DAY = 86400
@@ -72,3 +76,35 @@ def test_outages_change_only_what_a_batch_touches(spark):
                                   "id bigint, address_v4 string, prefix_v4 string, coordinates array<double>")
     probes = outages.current_probes(spark, f"{path}/out", known).selectExpr("probe_id", "unix_seconds(endtime) e", "lat", "lon")
     assert rows(probes) == [(7, T0 + 650, 2.0, 1.0), (8, T0 + 1, None, None)]
+
+
+def test_a_topic_has_as_many_files_as_it_needs(spark, monkeypatch):
+    """No task writes or reads a whole topic."""
+    base, turns = work_dir(spark, "test-topics"), []
+    for name in ("v_burst", "v_reconnect"):
+        topic = getattr(views, name)(spark, SMALL).repartition(8, F.monotonically_increasing_id())
+        monkeypatch.setattr(views, name, lambda spark, sf, topic=topic: topic)
+    monkeypatch.setattr(stream_queries, "work_dir", lambda spark, label: base)
+    follow = outages.follow
+    monkeypatch.setattr(outages, "follow", lambda *a: turns.append(1) or follow(*a))
+    for n in (1, 3):
+        base, turns = work_dir(spark, "test-topics"), []
+        stored = stream_queries._followed(spark, SMALL, n)
+        assert len(turns) == n and stored == f"{base}/stored"
+        assert len(spark.read.parquet(f"{base}/topic-bursts").inputFiles()) >= 8
+        batches = spark.read.parquet(f"{stored}/changes").select("batch").distinct().count()
+        assert batches == n and outages.current_events(spark, stored).count() == QUERIES["disco_events"](spark, SMALL).count()
+
+
+def test_registering_streams_have_batches_of_many_files(spark):
+    seen = []
+
+    def plan(batch, known):
+        seen.append((batch.select(F.input_file_name()).distinct().count(), batch.count()))
+        return batch.select("ts"), known
+
+    base = spark.createDataFrame([], "id bigint, k string")
+    data = spark.range(80).select(F.when(F.col("id") % 8 != 0, F.col("id") % 3).alias("ts")).repartition(8, F.col("id"))
+    path, _ = stream_queries._registered(spark, data, "ts", plan, base, ["k"])
+    assert len(seen) == 3 and min(files for files, _ in seen) > 1 and sum(n for _, n in seen) == 80
+    assert registration.result(spark, path, data.schema).where("ts IS NULL").count() == 10
