@@ -101,16 +101,11 @@ def disco_lifecycle_probes(spark, sf):
     return outages.current_probes(spark, _followed(spark, sf, 3), known)
 
 
-def _in_files(spark, rows, by, n=3):
-    """Some rows as a stream of ``n`` files, one a batch, cut by ranges of ``by``."""
-    path = work_dir(spark, "input")
-    rows.repartitionByRange(n, by).write.parquet(path)
-    return runs.read_files(spark, path, rows.schema, files_per_trigger=1)
-
-
 def _registered(spark, rows, by, plan, base, key):
+    """Batches by ranges of ``by``, each of as many files as it needs; rows without it come first."""
     path = work_dir(spark, "registered")
-    registration.register_stream(_in_files(spark, rows, by), plan, base, path, key).awaitTermination()
+    in_turn(spark, rows, F.col(by), lambda stream: registration.register_stream(stream, plan, base, path, key),
+            part=lambda at: F.coalesce(at, F.lit(0)))
     return path, registration.registered(spark, path, base.schema)
 
 
