@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import QUERIES, SQL
 from checks import score_queries  # noqa: F401
-from conftest import rows
+from conftest import SMALL, rows
 from tidemark.functions.network import address, address_part, length_part, long_to_ip
 from tidemark.operators import dimensions, hegemony, prefixes
 from tidemark.plans import mapped_tables, scores
@@ -251,3 +251,49 @@ def test_no_country_is_left_out_of_the_scores(spark, tmp_path):
     found = QUERIES["country_hegemony"](spark, str(tmp_path))
     assert rows(found, "country_id", "asn_id", "hege") == [("CD", 7, 0.1)]
     assert "= 13" not in SQL["country_hegemony"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_origins_that_no_entry_names_are_left_out_before_lookups(spark):
+    keys = spark.createDataFrame([("10.0.0.0/24", 1), ("10.0.0.0/24", 2), ("10.0.0.0/24", None)], "prefix string, originasn_id bigint")
+    table = spark.createDataFrame([(167772160, 8, 1, "x"), (167772160, 16, 1, "y"), (167772160, 16, None, "z")],
+                                  "net bigint, len int, originasn_id bigint, what string")
+    at = address(address_part(F.col("prefix")), 4)
+    for broadcast_rows in (0, 100):
+        found = prefixes.covering(keys, at, F.lit(24), table, 4, ["originasn_id"], broadcast_rows)
+        assert rows(found, "originasn_id", "len", "what") == [(1, 8, "x"), (1, 16, "y")]
+    assert "LeftSemi" in plan_of(found)
+
+
+def test_validation_reads_the_scores_once(spark):
+    plan = plan_of(QUERIES["rov_status"](spark, SMALL))
+    assert "lineitem.parquet" not in plan  # only the written pairs are read again
+
+
+def test_country_codes_need_no_validation_and_no_peers(spark):
+    df = spark.createDataFrame(
+        [(0, "10.0.0.0/24_1", 0.5), (0, "10.0.1.0/24_1", 0.0), (0, "11.0.0.0/24_2", 0.5), (10 ** 18, "12.0.0.0/24_2", 0.5),
+         (0, "13.0.0.0/8_2", 0.1)], "timestamp bigint, scope string, hege double").withColumn(
+        "asn", F.lit("7")).withColumn("nb_peers", F.lit(3))
+    geo = spark.createDataFrame([(167772160, 8, "AA"), (167772160, 24, None), (218103808, 16, "BB"), (201326592, 8, "CC")],
+                                "net bigint, len int, cc string")
+    assert rows(scores.prefix_codes(df, 4, geo), "prefix", "country_id") == [
+        ("10.0.0.0/24", "ZZ"), ("11.0.0.0/24", "ZZ"), ("13.0.0.0/8", "BB")]
+    roa = spark.createDataFrame([], "net bigint, len int, max_len int, asn bigint, descr string")
+    blocks = spark.createDataFrame([], "net bigint, len int, status string")
+    asns = spark.createDataFrame([], "lo bigint, hi bigint, status string")
+    whole = scores.prefix_hegemony(df, 4, geo, roa, roa, blocks, asns)
+    assert rows(whole.select("prefix", "country_id").distinct()) == rows(scores.prefix_codes(df, 4, geo))
+    assert "Window" not in plan_of(QUERIES["prefix_countries"](spark, SMALL))
+
+
+def test_the_longest_prefix_sorts_no_row_per_length(spark):
+    table = spark.createDataFrame([(167772160, 8, "b"), (167772160, 8, "a"), (167772160, 16, None), (None, 8, "z")],
+                                  "net bigint, len int, cc string")
+    ips = spark.createDataFrame([("10.0.0.1",), ("10.1.0.1",), ("11.0.0.1",), ("no",), (None,)], "ip string")
+    found = prefixes.best_match(ips, "ip", table, "cc")
+    assert rows(found) == [("10.0.0.1", None), ("10.1.0.1", "b")]
+    assert "SortAggregate" not in plan_of(found)
