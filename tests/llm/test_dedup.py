@@ -110,6 +110,35 @@ def test_line_dedup_odd_rows(odd, none):
     assert line_dedup.line_dedup(none).count() == 0
 
 
+def test_keys_are_cut_from_a_form_of_fixed_width(spark):
+    """The hashes are those of the characters, and no expression walks over a line for each of them."""
+    lines = ["abcé😀f" * 9, "x" * 31, "short", "ä" * 30]
+    key = line_dedup.keys(F.col("units"), F.col("size"), 2, 30)
+    assert "length(" not in str(key)
+    rows = spark.createDataFrame([(x, len(x)) for x in lines], "line string, size int")
+    got = rows.withColumn("units", F.encode("line", "UTF-32")).select("line", key.alias("keys"))
+    for line, hashes in got.collect():
+        if len(line) < 30:
+            assert hashes is None
+            continue
+        want = []
+        for n, (less, i, shift) in enumerate([(0, 0, 0), (0, 1, 0), (0, 2, 0), *line_dedup.probes(2)]):
+            size = len(line) - less
+            small, more = divmod(size, 3)
+            start, width = small * i + max(0, i - 3 + more) + shift, small + (i >= 3 - more)
+            if size >= 30:
+                want.append((n, i, size, line[start:start + width].encode("utf-32-be")))
+        known = spark.createDataFrame(want, "n int, i int, size int, part binary")
+        found = {r["n"]: r["h"] for r in known.select("n", F.xxhash64("i", "size", "part").alias("h")).collect()}
+        assert hashes == [found.get(n) for n in range(15)]
+
+
+def test_texts_meet_their_kept_lines_by_one_kind_of_join(odd):
+    """A small table takes the join of a large one, so that its disk grows with the input."""
+    plan = line_dedup.line_dedup(odd)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_probes_are_those_of_the_scheme():
     assert len(line_dedup.probes(1)) == 4
     assert len(line_dedup.probes(2)) == 12

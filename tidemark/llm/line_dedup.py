@@ -105,19 +105,24 @@ def count_difference(a: Column, b: Column) -> Column:
     return sum((one(i) for i in range(1, len(COUNTED))), one(0))
 
 
-def keys(line: Column, k: int, least: int) -> Column:
+def keys(units: Column, length: Column, k: int, least: int) -> Column:
     """Hashes of the ``k + 1`` segments of a line, then of the substrings that may meet a segment of a
-    line not longer than it; null where that line would have less than ``least`` characters."""
+    line not longer than it; null where that line would have less than ``least`` characters.
+
+    ``units`` is the line in UTF-32, four bytes a character, and ``length`` its characters, both columns
+    of their own: a substring is then found without walking over all that is before it.
+    """
     where = [(0, i, 0) for i in range(k + 1)] + probes(k)
     places = F.array(*[F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
                        for less, i, shift in where])
 
     def one(p: Column) -> Column:
-        size = F.length(line) - p["less"]
+        size = length - p["less"]
         start, width = segment(size, p["i"], k)
-        return F.when(size >= least, F.xxhash64(p["i"], size, F.substring(line, start + p["shift"] + 1, width)))
+        return F.when(size >= least, F.xxhash64(
+            p["i"], size, F.substring(units, (start + p["shift"]) * 4 + 1, width * 4)))
 
-    return F.when(F.length(line) >= least, F.transform(places, one))
+    return F.when(length >= least, F.transform(places, one))
 
 
 def candidates(lines: DataFrame, k: int) -> DataFrame:
@@ -181,9 +186,12 @@ def kept_lines(docs: DataFrame, k: int = 2, least: int = 30) -> DataFrame:
     every = numbered.select("line", F.unhex(F.substring(F.sha2("line", 256), 1, 32)).alias("digest"),
                             place.cast("decimal(38,0)").alias("place"))
     # lines are equal if 128 bits of their SHA-256 are; keys and counts move in place of the texts
-    counts = F.when(F.length("line") >= least, letter_counts(F.col("line")))
-    lines = every.select("digest", "place", counts.alias("counts"), keys(F.col("line"), k, least).alias("keys")).groupBy(
-        "digest", "counts", "keys").agg(F.min("place").alias("place"))
+    counts = F.when(F.col("length") >= least, letter_counts(F.col("line")))
+    lines = every.withColumn("units", F.encode("line", "UTF-32")).withColumn(
+        "length", F.shiftright(F.octet_length("units"), 2))
+    lines = lines.select("digest", "place", counts.alias("counts"), keys(
+        F.col("units"), F.col("length"), k, least).alias("keys")).groupBy("digest", "counts", "keys").agg(
+            F.min("place").alias("place"))
     lines = written(lines.select(F.monotonically_increasing_id().alias("id"), "*"), "lines")
     gone = written(near_repeats(every, lines, k), "near-lines")
     stay = lines.select("id", "place").join(gone, "id", "left_anti")
@@ -205,8 +213,10 @@ def line_dedup(docs: DataFrame, k: int = 2, least: int = 30) -> DataFrame:
     rows = docs.withColumn("doc_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn(
         "lines", F.split(F.coalesce("text", F.lit("")), "\n"))
     blank = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.trim(F.get("lines", i)) == "")
-    # before the join, so that texts do not take part in it where only the numbers are asked for
-    rows = rows.withColumn("n_lines", F.size("lines")).withColumn("blank", blank).join(stay, "doc_key", "left")
+    # before the join, so that texts do not take part in it where only the numbers are asked for; one kind of
+    # join whatever the size, so that what small tables take on disk tells what large ones do
+    rows = rows.withColumn("n_lines", F.size("lines")).withColumn("blank", blank).join(
+        stay.hint("merge"), "doc_key", "left")
     some = F.filter(F.coalesce("kept", F.array().cast("array<int>")), lambda i: i < F.col("n_lines"))
     rows = rows.withColumn("kept", F.sort_array(F.concat(some, "blank"))).drop("blank")
     text = F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")
