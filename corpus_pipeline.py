@@ -44,11 +44,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     its row is repeated. Documents without identifier stay where their group has none. Links
     are those of ``op6_simhash``: fingerprints of three-word shingles within three bits."""
     groups = simhash.near_groups(docs.select("doc_id", "text"), limit=3, shingle=3)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    first = first.select(F.col("doc_id").alias(free_name(docs, "first")))
-    docs = docs.join(first, docs["doc_id"].eqNullSafe(first[first.columns[0]]), "left_semi")
+    # plain keys without nulls: the rows dealt for the join are then dealt for the repeated ones too, and texts move once
+    known, key = free_name(docs, "known"), free_name(docs, "key")
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn(known, F.col("doc_id").isNotNull()).withColumn(
+            key, F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)))
+
+    first = keyed(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))).select(known, key).distinct()
     mark = free_name(docs, "mark")
-    return docs.withColumn(mark, F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", mark]).drop(mark)
+    docs = keyed(docs).join(first, [known, key], "left_semi").withColumn(mark, F.xxhash64("doc_id", "text"))
+    return docs.dropDuplicates([known, key, mark]).drop(known, key, mark)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

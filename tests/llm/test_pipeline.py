@@ -67,6 +67,18 @@ def test_stages_take_odd_rows(spark, odd, none):
     assert corpus_pipeline.pack_windows(spark, none, SMALL).count() == 0
 
 
+def test_near_copies_move_texts_once(spark, odd):
+    """The rows dealt to meet what stays are not dealt again to drop repeated ones."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = corpus_pipeline.drop_near_copies(spark, odd, SMALL)._jdf.queryExecution().executedPlan()
+        shuffled = [line for line in plan.verboseStringWithSuffix(10_000).split("\n\n") if "Exchange" in line and "text" in line]
+        assert len(shuffled) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(rows[0].asDict())
