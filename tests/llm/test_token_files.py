@@ -91,6 +91,30 @@ def test_order_cuts_and_spans(spark):
         assert not found or found[0][0] == first
 
 
+def test_counts_are_made_of_many_identifiers(monkeypatch):
+    """A count goes over the whole vocabulary: not once for each text."""
+    draw = np.random.default_rng(4)
+    values = [draw.integers(0, 50_000 if i % 7 else 9, i % 50).astype("<u4") for i in range(2_000)]
+    calls, plain = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    for at_once in (1, 1_000, 1 << 20):
+        calls.clear()
+        assert np.array_equal(token_files.counted(iter(values), at_once), plain(np.concatenate(values)))
+        assert at_once == 1 or len(calls) <= sum(map(len, values)) // at_once + 1
+    assert len(token_files.counted(iter([]))) == 0
+
+
+def test_blocks_without_cut_documents_are_decoded_once(spark):
+    """The pieces of cut documents come from blocks that hold some, not from all of them again."""
+    path = work_dir(spark, "files")
+    rows = [(i, np.arange(n, dtype="<u4").tobytes()) for i, n in enumerate([10, 10, 300, 10])]
+    token_files.write_tokens(spark.createDataFrame(rows, "doc_id long, ids binary").coalesce(1), path, block_ids=64)
+    got = token_files.read_tokens(spark, path)
+    assert sorted((r["doc_id"], bytes(r["ids"])) for r in got.collect()) == rows
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and plan.count("Filter exists(docs") == 1
+
+
 def test_odd_rows(spark, odd, none):
     path = work_dir(spark, "files")
     token_files.write_tokens(packing.token_ids(odd, end_id=2).withColumnRenamed("x", "part"), path)

@@ -9,6 +9,7 @@ the open windows stand in an array with a place for each level.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -38,7 +39,7 @@ class ByteBpe:
         """Little-endian unsigned 32-bit identifiers of the whole text."""
         if SPECIAL in text:
             return self.special.join(self.encode(part) for part in text.split(SPECIAL))
-        return np.array(self.model.encode_ordinary(text), "<u4").tobytes()
+        return array("I", self.model.encode_ordinary(text)).tobytes()
 
 
 @lru_cache(maxsize=2)

@@ -16,6 +16,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -154,16 +155,26 @@ def in_planes(tokens: DataFrame) -> DataFrame:
         batches, f"doc_id {kind(tokens, 'doc_id')}, ids binary")
 
 
+def counted(values: Iterator[np.ndarray], at_once: int = 1 << 20) -> np.ndarray:
+    """How often each identifier stands in ``values``. A count goes over the whole vocabulary, so it is
+    made of ``at_once`` identifiers or more, not value by value."""
+    total, held, size = np.zeros(0, np.int64), [], 0
+    for value in chain(values, [None]):
+        if value is not None:
+            held.append(value)
+            size += len(value)
+        if held and (value is None or size >= at_once):
+            seen = np.bincount(np.concatenate(held), minlength=len(total))
+            seen[:len(total)] += total
+            total, held, size = seen, [], 0
+    return total
+
+
 def count_ids(rows: DataFrame) -> DataFrame:
     """``id, count`` over all identifiers of ``in_planes``. A task gives one row per identifier it met."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for part in parts:
-            for value in part.column(0):
-                seen = np.bincount(from_planes(value.as_py()), minlength=len(total))
-                seen[:len(total)] += total
-                total = seen
+        total = counted(from_planes(value.as_py()) for part in parts for value in part.column(0))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "count"])
 
@@ -256,7 +267,7 @@ def write_tokens(tokens: DataFrame, path: str, block_ids: int = 1 << 20, planes:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of every document of a file set: ``start`` counts the
     identifiers of all documents before it. Blocks are decoded independently; only documents
-    cut into several blocks are put together by a shuffle."""
+    cut into several blocks are put together by a shuffle, from the blocks that hold a piece of one."""
     coder = read_table(spark, path)
     blocks = spark.read.parquet(f"{path}/blocks")
     id_type = blocks.schema["docs"].dataType.elementType["doc_id"].dataType.simpleString()
@@ -278,17 +289,22 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.repeat(number, len(lengths)), *[docs.field(f) for f in names], ids], ["part", *names, "ids"])
 
-    pieces = blocks.select("part", "docs", "payload").mapInArrow(batches, (
-        f"part long, doc_id {id_type}, row long, start long, n_tokens long, begin long, ids binary"))
     base = small_side(spark.read.parquet(f"{path}/parts").select("part", "base"), 200_000)
-    pieces = pieces.join(base, "part").withColumn("start", F.col("start") + F.col("base"))
+
+    def decoded(some: DataFrame) -> DataFrame:
+        pieces = some.select("part", "docs", "payload").mapInArrow(batches, (
+            f"part long, doc_id {id_type}, row long, start long, n_tokens long, begin long, ids binary"))
+        return pieces.join(base, "part").withColumn("start", F.col("start") + F.col("base"))
+
     is_whole = F.octet_length("ids") == F.col("n_tokens") * 4
-    cut = pieces.where(~is_whole).groupBy("part", "row").agg(
+    whole = decoded(blocks).where(is_whole)
+    holds_cut = F.exists("docs", lambda d: d["length"] < d["n_tokens"])
+    cut = decoded(blocks.where(holds_cut)).where(~is_whole).groupBy("part", "row").agg(
         F.first("doc_id").alias("doc_id"), F.first("start").alias("start"), F.first("n_tokens").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("begin", "ids"))).alias("pieces"))
     joined = F.aggregate("pieces", F.lit(b""), lambda a, p: F.concat(a, p["ids"]))
     columns = ["doc_id", "start", "n_tokens", "ids"]
-    return pieces.where(is_whole).select(*columns).union(cut.withColumn("ids", joined).select(*columns))
+    return whole.select(*columns).union(cut.withColumn("ids", joined).select(*columns))
 
 
 def read_span(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
