@@ -7,13 +7,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, packing, quality, secrets, token_counts, toxicity
-from tidemark.llm.common import table
+from tidemark.llm.common import in_slices, table
 from tidemark.session import work_dir
 
 from .helpers import ODD
@@ -108,6 +109,42 @@ def test_packing(hard):
     assert packing.pack(tokens.limit(0)).count() == 0
 
 
+def test_identifiers_of_many_texts_are_made_at_once(monkeypatch):
+    """They are the library's, and texts without special tokens take one call, not one each."""
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    bpe, draw = packing.byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken")), random.Random(5)
+    some = ["a", "word", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "é", "'s", "'S", "1", "!",
+            "😀", "中文"]
+    odd = [packing.SPECIAL, packing.MARK, packing.ROW, packing.CUT, "<|"]
+    calls, plain = [], bpe.model.encode_to_numpy
+    monkeypatch.setattr(bpe.model, "encode_to_numpy", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    for i in range(150):
+        values = ["".join(draw.choices(some + odd * (i % 3 == 0), k=draw.randrange(12))) for _ in range(i % 20)]
+        expected = [[*ids.ids, 7] for ids in library.encode_batch(values, add_special_tokens=False)]
+        calls.clear()
+        got = bpe.encode_each(pa.array(values, pa.string()), 7)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in got.to_pylist()] == expected
+        assert i % 3 == 0 or len(calls) == 1
+
+
+def test_batches_are_cut_by_their_bytes():
+    values = ["x" * (i % 50) for i in range(1_000)] + ["y" * 5_000, None]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(1_002)), pa.array(values)], ["doc_id", "text"])
+    parts = list(in_slices(iter([whole.slice(0, 0), whole]), 1, 500))
+    assert pa.Table.from_batches(parts).combine_chunks().equals(pa.Table.from_batches([whole]))
+    sizes = [sum(len(v or "") for v in p.column(1).to_pylist()) for p in parts]
+    assert max(s for p, s in zip(parts, sizes) if p.num_rows > 1) <= 500 and len(parts) < 70
+
+
+def test_packing_is_one_pass_over_texts(spark, hard):
+    """Tokens are packed in the process that makes them, with the same rows as in two."""
+    plan = packing.op7_packing(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    docs = hard.coalesce(1)
+    one, two = packing.pack_texts(docs, at_once=3).collect(), packing.pack(packing.token_ids(docs)).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
+
+
 def test_a_document_goes_to_the_best_level():
     rng = np.random.default_rng(2)
     p = packing.Packer(16, 100)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import work_dir
@@ -106,6 +109,22 @@ def kind(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
+def in_slices(parts: Iterator[pa.RecordBatch], column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into runs of rows with about ``most`` bytes of a text column, one row at least.
+
+    Spark fills a batch by rows, so one may hold all texts of a task; what a function makes of a
+    batch, and what goes back at once, is bounded by these runs instead.
+    """
+    for part in parts:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(part.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < part.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield part.slice(start, stop - start)
+            start = stop
+
+
 class Memo(dict):
     """A bounded memo for short keys, in two generations of at most ``most / 2``: when the new one
     is full it takes the place of the old one, whose keys live on if they were met again. Long
