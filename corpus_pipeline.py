@@ -71,7 +71,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training windows of 2048 tokens; see ``packing.pack``."""
-    return packing.pack(packing.token_ids(docs))
+    return packing.pack_texts(docs)
 
 
 STAGES = [

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import components, in_units, kind, split_join, table, texts, written
+from tidemark.llm.common import components, in_slices, in_units, kind, split_join, table, texts, written
 
 LOWERED = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BITS = 64
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     docs = texts(docs, id_column, text_column)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in in_slices(parts, 1):
             found = np.array([fingerprint(t.as_py(), shingle) for t in part.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], ["doc_id", "fp"])
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.common import Memo, kind, table, texts
+from tidemark.llm.common import in_slices, kind, table, texts
 
 WORD = re.compile(r"\w+")
 FIRST, SECOND, SKIP = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -35,18 +35,11 @@ class Ftrl:
     seed: int = 7
 
 
-def hash_of(word: str) -> int:
-    return xxhash.xxh64_intdigest(word)
-
-
-_hashes = Memo(hash_of)
-
-
 def features(text: str, bits: int) -> np.ndarray:
     """The distinct hashed features of a whole text: words, neighbouring pairs, and pairs with
     one word between them."""
     words = WORD.findall(text.lower())
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     grams = np.concatenate([h * FIRST, h[:-1] * FIRST + h[1:] * SECOND, h[:-2] * SKIP + h[2:] * SECOND])
     mixed = (grams ^ (grams >> np.uint64(29))) * SECOND
     return np.unique((mixed >> np.uint64(64 - bits)).astype(np.int32))
@@ -122,7 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, rule: Ftrl = Ftrl()) -> Model:
     bits = rule.bits
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in in_slices(parts, 0):
             found = pa.array([features(t.as_py(), bits).tobytes() for t in part.column(0)], pa.binary())
             yield pa.RecordBatch.from_arrays([*part.columns[1:], found], ["doc_id", "label", "features"])
 
@@ -141,7 +134,7 @@ def score(docs: DataFrame, model: Model, name: str = "score", text_column: str =
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         w = m.dense()
-        for part in parts:
+        for part in in_slices(parts, at):
             sums = np.array([w[features(t.as_py() or "", m.bits)].sum(dtype=np.float64) for t in part.column(at)])
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sigmoid(sums + m.bias), pa.float64())], names)
 
