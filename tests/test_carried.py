@@ -107,6 +107,39 @@ def test_the_most_peers_are_never_reset(spark, monkeypatch, dies):
     assert rows(bins.visible(spark, path), "visibility") == [(40.0,), (50.0,), (50.0,), (100.0,), (100.0,)]
 
 
+@pytest.mark.parametrize("dies", [None, "/visibility", "/carried"])
+def test_bins_are_closed_by_the_batch_that_passes_them(spark, monkeypatch, dies):
+    """Only rows of open bins are handed on; a bin's rows may come in several batches, late ones are left out."""
+    path, day = work_dir(spark, "test-closing"), timedelta(1)
+    batches = [[(T0, "a", 1, 10), (T0, "a", 1, 4), (T0 + day, "a", 1, 5), (T0 + 2 * day, "a", 1, 6), (T0 + 2 * day, None, 1, None)],
+               [(T0 + day, "b", 1, 90), (T0 + 2 * day, "a", 1, 7), (T0 + 2 * day, "a", 2, 1)], [],
+               [(T0 + 3 * day, "a", 1, 20), (T0 + 9 * day, "a", 1, 40)]]
+    write, left = carried.carrying(bins.closing("1 DAY"), bins.OPEN, path), []
+    for i, batch in enumerate(batches):
+        batch = spark.createDataFrame(batch, SEEN)
+        if dies and i == 3:
+            die_once(monkeypatch, dies)
+            with pytest.raises(RuntimeError):
+                write(batch, i)
+        write(batch, i)
+        left.append(carried.left(spark, path, bins.OPEN).where("timebin IS NOT NULL").count())
+    assert left == [2, 3, 3, 1]
+    assert sorted(map(tuple, bins.visible(spark, path).drop("visibility").collect()), key=str) == sorted([
+        (T0, "a", 1, 10, 10), (T0 + day, "a", 1, 5, 10), (T0 + 2 * day, "a", 1, 7, 10), (T0 + 2 * day, "a", 2, 1, 10),
+        (T0 + 2 * day, None, 1, None, 10), (T0 + 3 * day, "a", 1, 20, 20)], key=str)
+
+
+def test_closed_bins_are_in_no_state(spark):
+    """A run over what is there now takes one batch, and no row of a closed bin waits in state for a second one."""
+    path, files = work_dir(spark, "test-visibility"), work_dir(spark, "test-rows")
+    spark.range(200).selectExpr("timestamp_seconds(id * 86400) timebin", "'a' prefix", "id originasn_id", "1 nb_peers").write.parquet(files)
+    query = bins.visibility_stream(spark.readStream.schema(SEEN).parquet(files), path, "31 days")
+    query.awaitTermination()
+    assert sum(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators) == 0
+    assert bins.visible(spark, path).count() == 200 - 31
+    assert carried.left(spark, path, bins.OPEN).count() == 31 + 1
+
+
 def test_late_rows_are_an_output(spark):
     path, day = work_dir(spark, "test-late"), timedelta(1)
     schema = spark.createDataFrame([], "timebin timestamp, n int").schema

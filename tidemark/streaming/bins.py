@@ -35,13 +35,19 @@ def moas_stream(rows: DataFrame, delay: str) -> DataFrame:
     )
 
 
+KEYS = ["timebin", "prefix", "originasn_id"]
 MOST = "nb_peers int"
+#: Rows of open bins, and one row without a time: the most peers of all closed bins and the newest time.
+OPEN = "timebin timestamp, prefix string, originasn_id bigint, nb_peers int, newest bigint"
 VISIBLE = "timebin timestamp, prefix string, originasn_id bigint, nb_peers int, peer_max int, visibility double"
 
 
 def _seen_from(closed: DataFrame, handed: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
     """Visibility in the bins that have just closed, by the most peers of these and all bins before."""
-    closed = kept(closed)
+    return _seen(kept(closed), handed)
+
+
+def _seen(closed: DataFrame, handed: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
     before = handed.select(F.lit(None).cast("timestamp").alias("timebin"), "nb_peers")  # a null bin comes first
     peers = kept(peer_max(closed.select("timebin", "nb_peers").unionByName(before)))
     rows = closed.join(peers, "timebin").withColumn("visibility", visibility(F.col("nb_peers"), F.col("peer_max")))
@@ -49,18 +55,32 @@ def _seen_from(closed: DataFrame, handed: DataFrame) -> tuple[dict[str, DataFram
     return {"visibility": rows}, most
 
 
+def closing(delay: str) -> carried.Plan:
+    """``_seen_from`` for the bins that a batch closes; the rows of open bins are handed on."""
+    def plan(batch: DataFrame, handed: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+        sums = handed.where("timebin IS NULL")
+        late = F.coalesce(F.col("timebin") <= closed_until(sums.select("newest"), delay), F.lit(False))
+        both = batch.where(~late).select(*KEYS, "nb_peers").unionByName(
+            handed.where("timebin IS NOT NULL").select(*KEYS, "nb_peers"))
+        rows = kept(both.groupBy(*KEYS).agg(F.max("nb_peers").cast("int").alias("nb_peers")))
+        newest = kept(rows.select(F.unix_micros("timebin").alias("newest")).unionByName(sums.select("newest")).groupBy().agg(
+            F.max("newest").alias("newest")).where("newest IS NOT NULL"))
+        is_closed = F.col("timebin") <= closed_until(newest, delay)
+        found, most = _seen(rows.where(is_closed), sums.where("nb_peers IS NOT NULL").select("nb_peers"))
+        still = rows.where(~is_closed).unionByName(newest.join(most, F.lit(True), "left"), allowMissingColumns=True)
+        return found, still.select(*KEYS, "nb_peers", "newest")
+    return plan
+
+
 def visibility_stream(rows: DataFrame, path: str, delay: str, every: str | None = None) -> StreamingQuery:
     """Start writing, for complete bins, how much of the peers sees each prefix and origin.
 
     ``rows`` has ``timebin, prefix, originasn_id, nb_peers``; of several counts of one bin the largest
-    holds. The watermark closes bins in time order, and the most peers of all closed bins, one
-    number, goes from batch to batch and is never reset. Rows without a time are left out.
+    holds. A bin is closed by the batch that brings a time ``delay`` past it, and later rows of it are left
+    out. Only the rows of open bins, the most peers of all closed bins, which is never reset, and the newest
+    time go from batch to batch; what a batch closes is in no state. Rows without a time are left out.
     """
-    closed = (
-        rows.where(F.col("timebin").isNotNull()).withWatermark("timebin", delay).groupBy("timebin", "prefix", "originasn_id")
-        .agg(F.max("nb_peers").cast("int").alias("nb_peers"))
-    )
-    return carried.carry_stream(closed, _seen_from, MOST, path, every=every)
+    return carried.carry_stream(rows.where(F.col("timebin").isNotNull()), closing(delay), OPEN, path, every=every)
 
 
 def visible(spark: SparkSession, path: str) -> DataFrame:
